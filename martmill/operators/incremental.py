@@ -1,15 +1,15 @@
 """Incremental loads.
 
 The upper half works on DataFrames: which delta rows qualify, and what the target
-holds afterwards. The lower half keeps targets on disk: whole-table versions, and
-day-partitioned tables of which only the touched days are rewritten. One writer per
+holds afterwards. The lower half keeps targets on disk: tables that
+take additions or are replaced as a whole, and tables of which only the touched periods are rewritten. One writer per
 target is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,124 +116,157 @@ def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(n for n in names if n.startswith(prefix))
 
 
-class VersionedTable:
-    """A table kept as numbered directories.
+class StoredTable:
+    """A table kept as numbered directories: ``base=n`` holds a whole table, ``add=n`` rows added since.
 
-    Spark writes ``_SUCCESS`` last, so a version exists for readers only once it is whole. A
-    failed load leaves the previous version in place, and a load may read the version it replaces.
+    Spark writes ``_SUCCESS`` last, so a directory exists for readers only once it is whole: a failed
+    load changes nothing and can be run again, and a load may read what it replaces.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _versions(self, committed: bool) -> list[int]:
+    def _numbered(self, committed: bool) -> list[tuple[int, str]]:
         out = []
-        for name in _children(self.spark, self.path, "v="):
-            fs, marker = _fs(self.spark, f"{self.path}/{name}/_SUCCESS")
-            if not committed or fs.exists(marker):
-                out.append(int(name[2:]))
+        for prefix in ("base=", "add="):
+            for name in _children(self.spark, self.path, prefix):
+                fs, marker = _fs(self.spark, f"{self.path}/{name}/_SUCCESS")
+                if not committed or fs.exists(marker):
+                    out.append((int(name[len(prefix):]), name))
         return sorted(out)
 
-    @property
-    def version(self) -> int | None:
-        committed = self._versions(committed=True)
-        return committed[-1] if committed else None
+    def _live(self) -> list[str]:
+        names = [name for _, name in self._numbered(committed=True)]
+        bases = [i for i, name in enumerate(names) if name.startswith("base=")]
+        return names[bases[-1]:] if bases else []
 
     def read(self) -> DataFrame | None:
-        """The latest whole version, or None before the first load."""
-        version = self.version
-        return None if version is None else self.spark.read.parquet(f"{self.path}/v={version}")
+        """The table as of the last load, or None before the first one."""
+        parts = [self.spark.read.parquet(f"{self.path}/{name}") for name in self._live()]
+        if not parts:
+            return None
+        out = parts[0]
+        for part in parts[1:]:
+            out = append_new_columns(out, part)
+        return out
+
+    def _write(self, df: DataFrame, kind: str) -> None:
+        taken = self._numbered(committed=False)
+        number = (taken[-1][0] if taken else 0) + 1
+        df.write.mode("errorifexists").parquet(f"{self.path}/{kind}={number}")
+
+    def replace(self, df: DataFrame) -> None:
+        self._write(df, "base")
 
-    def write(self, df: DataFrame) -> DataFrame:
-        taken = self._versions(committed=False)
-        version = (taken[-1] if taken else 0) + 1
-        df.write.mode("errorifexists").parquet(f"{self.path}/v={version}")
-        return self.read()
+    def append(self, df: DataFrame) -> None:
+        """Add rows without touching the stored ones. New columns read as NULL in older rows."""
+        self._write(df, "add" if self._live() else "base")
+
+    def prune(self) -> None:
+        """Delete the directories the table no longer reads."""
+        live = set(self._live())
+        for _, name in self._numbered(committed=True):
+            if live and name not in live:
+                fs, path = _fs(self.spark, f"{self.path}/{name}")
+                fs.delete(path, True)
 
 
 def load_incremental(
-    table: VersionedTable,
+    table: StoredTable,
     build: Callable[[DataFrame | None], DataFrame],
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
-) -> DataFrame:
-    """One run of an incremental model: whole input the first time, delta and merge after that.
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+) -> None:
+    """One run of an incremental model: the whole input the first time, a delta after that.
 
-    ``build`` gets the current target, or None on the first run, and returns the rows to load.
+    ``build`` gets the current target, or None on the first run, and returns the rows to load. They
+    are appended, or, with ``merge``, combined with the target into a new whole table. A merge
+    uses its delta twice, so the delta is stored first.
     """
     target = table.read()
     rows = build(target)
-    return table.write(rows if target is None else merge(target, rows))
+    if target is None:
+        table.replace(rows)
+    elif merge is None:
+        table.append(rows)
+    else:
+        table.replace(merge(target, materialise(rows, "delta")))
+
 
+class PeriodTable:
+    """A table partitioned by a date column that holds the first day of each period.
 
-class DayPartitionedTable:
-    """A table partitioned by a day column; loads rewrite the touched days only."""
+    The period is whatever the caller truncates to: days, months. Loads rewrite the touched periods only.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, day: str):
+    def __init__(self, spark: SparkSession, path: str, period: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.day = day
+        self.period = period
 
-    def days(self) -> list[str]:
-        return [name[len(self.day) + 1:] for name in _children(self.spark, self.path, f"{self.day}=")]
+    def periods(self) -> list[str]:
+        return [name[len(self.period) + 1:] for name in _children(self.spark, self.path, f"{self.period}=")]
 
-    def read(self) -> DataFrame | None:
-        if not self.days():
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def last_period(self) -> DataFrame | None:
+        """The rows of the latest period, which holds the high-water mark, or None for a new table."""
+        periods = self.periods()
+        if not periods:
             return None
-        return self.spark.read.option("basePath", self.path).parquet(self.path)
+        return self.read().filter(F.col(self.period).cast("string") == periods[-1])
 
-    def _overwrite(self, df: DataFrame, spread: Sequence[str], touched: Sequence[str] | None) -> None:
-        # Range partitioning on the day and then the key: few days per task, hence few files,
-        # while a day with very many rows still goes to several tasks.
+    def _overwrite(self, df: DataFrame, spread: Sequence[str], mode: str) -> None:
+        # Range partitioning on the period and then the key: few periods per task, hence few files,
+        # while a period with very many rows still goes to several tasks.
         (
-            df.repartitionByRange(self.day, *spread)
+            df.repartitionByRange(self.period, *spread)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if touched is not None else "static")
-            .partitionBy(self.day)
+            .option("partitionOverwriteMode", mode)
+            .partitionBy(self.period)
             .parquet(self.path)
         )
 
-    def _drop_days(self, days: Sequence[str]) -> None:
-        for day in days:
-            fs, path = _fs(self.spark, f"{self.path}/{self.day}={day}")
+    def _drop(self, periods: Iterable[str]) -> None:
+        for period in periods:
+            fs, path = _fs(self.spark, f"{self.path}/{self.period}={period}")
             fs.delete(path, True)
 
-    def _day_list(self, df: DataFrame) -> list[str]:
-        # Calendar days, not rows: at most one value per partition directory.
-        return [r[0] for r in df.select(F.col(self.day).cast("string")).distinct().collect()]
-
-    def create(self, df: DataFrame, spread: Sequence[str]) -> DataFrame:
-        self._overwrite(df, spread, None)
-        return self.read()
-
-    def replace_days(
-        self, batch: DataFrame, start: dt.date, end_exclusive: dt.date, spread: Sequence[str]
-    ) -> DataFrame:
-        """Replace the days in ``[start, end_exclusive)``; days without new rows become empty."""
-        day = F.col(self.day).cast("date")
-        batch = materialise(batch.filter((day >= F.lit(start)) & (day < F.lit(end_exclusive))), "days")
-        written = set(self._day_list(batch))
-        self._overwrite(batch, spread, sorted(written))
-        stale = [d for d in self.days() if str(start) <= d < str(end_exclusive) and d not in written]
-        self._drop_days(stale)
-        return self.read()
-
-    def upsert(self, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Upsert by key; a key may move to another day.
-
-        A narrow pass over keys and days finds the days that hold replaced rows. Only these and
-        the days of the delta are rebuilt, from a copy stored first: a failed load
+    def _period_list(self, df: DataFrame) -> set[str]:
+        # Calendar periods, not rows: at most one value per partition directory.
+        return {r[0] for r in df.select(F.col(self.period).cast("string")).distinct().collect()}
+
+    def create(self, df: DataFrame, spread: Sequence[str]) -> None:
+        self._overwrite(df, spread, "static")
+
+    def replace(self, batch: DataFrame, start: dt.date, end_exclusive: dt.date, spread: Sequence[str]) -> None:
+        """Replace the periods that begin in ``[start, end_exclusive)``; those without new rows become empty."""
+        first = F.col(self.period).cast("date")
+        batch = materialise(batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive))), "batch")
+        written = self._period_list(batch)
+        self._overwrite(batch, spread, "dynamic")
+        self._drop(p for p in self.periods() if str(start) <= p < str(end_exclusive) and p not in written)
+
+    def replace_mentioned(self, batch: DataFrame, spread: Sequence[str]) -> None:
+        """Replace just the periods the batch has rows for."""
+        self._overwrite(materialise(batch, "batch"), spread, "dynamic")
+
+    def upsert(self, delta: DataFrame, keys: Sequence[str]) -> None:
+        """Upsert by key; a key may move to another period.
+
+        A narrow pass over keys and periods finds the periods that hold replaced rows. Only these and
+        the periods of the delta are rebuilt, from a copy stored first: a failed load
         can be run again.
         """
-        target = self.read()
-        if target is None:
-            return self.create(delta, keys)
+        if not self.periods():
+            self.create(delta, keys)
+            return
         delta = materialise(delta, "delta")
-        hit = target.select(*keys, self.day).join(delta.select(*keys), list(keys), "left_semi")
-        touched = sorted(set(self._day_list(hit)) | set(self._day_list(delta)))
-        old = target.filter(F.col(self.day).cast("string").isin(touched))
+        target = self.read()
+        hit = target.select(*keys, self.period).join(delta.select(*keys), list(keys), "left_semi")
+        touched = self._period_list(hit) | self._period_list(delta)
+        old = target.filter(F.col(self.period).cast("string").isin(sorted(touched)))
         merged = materialise(upsert_merge(old, delta, keys), "merged")
-        written = set(self._day_list(merged))
-        self._overwrite(merged, keys, touched)
-        self._drop_days([d for d in touched if d not in written and d in self.days()])
-        return self.read()
+        self._overwrite(merged, keys, "dynamic")
+        self._drop((touched - self._period_list(merged)) & set(self.periods()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martmill.session import materialise
+from martmill.session import materialise, materialise_counted
 
 
 def downstream_count(edges: DataFrame, min_children: int = 2) -> DataFrame:
@@ -16,27 +16,34 @@ def downstream_count(edges: DataFrame, min_children: int = 2) -> DataFrame:
     return counted.withColumn("is_candidate", F.col("downstream_count") >= min_children)
 
 
-def view_chain_hops(edges: DataFrame, relations: DataFrame, max_depth: int = 50) -> DataFrame:
+def view_chain_hops(
+    edges: DataFrame, relations: DataFrame, max_depth: int = 200, steps_per_round: int = 4
+) -> DataFrame:
     """Fewest steps downstream from each view to something stored.
 
-    ``relations`` holds ``name, is_stored``. Works backwards from the stored relations, one join per
-    step; a view is settled in the step that first reaches it, so cycles end by
-    themselves. Each step's new views are written out, which keeps every plan short.
+    ``relations`` holds ``name, is_stored``. Works backwards from the stored relations, a few joins per
+    round; a view is settled in the round that first reaches it, so cycles end by
+    themselves. The new views of each round are written out, which keeps every plan short.
     """
     views = relations.filter(~F.col("is_stored")).select("name")
     arcs = edges.select("parent", "child").distinct().join(views, F.col("parent") == F.col("name"), "left_semi")
     arcs = materialise(arcs, "arcs")
     frontier = relations.filter("is_stored").select(F.col("name").alias("child"))
     found: DataFrame | None = None
-    for hops in range(1, max_depth + 1):
-        reached = arcs.join(frontier, "child", "left_semi").select(F.col("parent").alias("view_name")).distinct()
+    for settled in range(0, max_depth, steps_per_round):
+        reached = None
+        for hops in range(settled + 1, settled + steps_per_round + 1):
+            views_here = arcs.join(frontier, "child", "left_semi").select(F.col("parent").alias("view_name")).distinct()
+            step = views_here.withColumn("min_hops_to_table", F.lit(hops))
+            reached = step if reached is None else reached.unionByName(step)
+            frontier = views_here.withColumnRenamed("view_name", "child")
+        nearest = reached.groupBy("view_name").agg(F.min("min_hops_to_table").alias("min_hops_to_table"))
         if found is not None:
-            reached = reached.join(found, "view_name", "left_anti")
-        step = materialise(reached.withColumn("min_hops_to_table", F.lit(hops)), "hops")
-        if found is not None and step.isEmpty():
-            break
-        found = step if found is None else found.unionByName(step)
-        frontier = step.select(F.col("view_name").alias("child"))
-    else:
-        raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")
-    return found
+            nearest = nearest.join(found, "view_name", "left_anti")
+        stored, n = materialise_counted(nearest, "hops")
+        found = stored if found is None else found.unionByName(stored)
+        last = stored.filter(F.col("min_hops_to_table") == settled + steps_per_round)
+        if n == 0 or last.isEmpty():
+            return found
+        frontier = last.select(F.col("view_name").alias("child"))
+    raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")

@@ -67,11 +67,15 @@ def _row_failure(check: Check) -> Column | None:
     return None
 
 
-_SUMMARY = ("check", "table", "column", "failures")
+def _orphan_count(check: Check, child: DataFrame, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Child rows are counted per key before they meet the parent: a hot key is one row by then."""
+    keys = child.groupBy(check.column).agg(F.count(F.lit(1)).alias("_n"))
+    orphans = check_relationships(keys, check.column, parent, parent_column)
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
 
 
-def _summary_row(check: Check, failing: DataFrame) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
+def _labelled(check: Check, counted: DataFrame) -> DataFrame:
+    return counted.select(
         F.lit(check.kind).alias("check"),
         F.lit(check.table).alias("table"),
         F.lit(check.column).alias("column"),
@@ -81,21 +85,22 @@ def _summary_row(check: Check, failing: DataFrame) -> DataFrame:
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row ``(check, table, column, failures)`` per check."""
-    per_table: dict[str, list[Check]] = defaultdict(list)
+    per_frame: dict[int, list[Check]] = defaultdict(list)
     parts: list[DataFrame] = []
     for check in checks:
+        frame = tables[check.table]
         if _row_failure(check) is not None:
-            per_table[check.table].append(check)
+            per_frame[id(frame)].append(check)
         elif check.kind == "unique":
-            parts.append(_summary_row(check, check_unique(tables[check.table], check.column)))
+            failing = check_unique(frame, check.column)
+            parts.append(_labelled(check, failing.agg(F.count(F.lit(1)).alias("failures"))))
         elif check.kind == "relationships":
             parent, parent_column = check.argument
-            failing = check_relationships(tables[check.table], check.column, tables[parent], parent_column)
-            parts.append(_summary_row(check, failing))
+            parts.append(_labelled(check, _orphan_count(check, frame, tables[parent], parent_column)))
         else:
             raise ValueError(f"unknown check {check.kind!r}")
-    for table, listed in per_table.items():
-        counts = tables[table].agg(
+    for listed in per_frame.values():
+        counts = tables[listed[0].table].agg(
             *[F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(listed)]
         )
         rows = F.array(
@@ -113,7 +118,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select(*_SUMMARY)
+    return out
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from martmill.functions.columns import (
     initcap, map_codes, rename_project, round_to, scale_by, select_except, select_subset,
 )
 from martmill.operators.incremental import (
-    VersionedTable, append_new_columns, inc_anti_key, inc_watermark_strict, load_incremental, upsert_merge,
+    StoredTable, inc_anti_key, inc_watermark_strict, load_incremental, upsert_merge,
 )
 from martmill.operators.joins import join_left
 from martmill.operators.quality import Check, not_null_unique
@@ -157,18 +157,22 @@ def fct_order_products(
 
 
 def run_fct_order_products(
-    table: VersionedTable, order_products: DataFrame, products: DataFrame, orders: DataFrame, site: SiteOptions = PLAIN
+    table: StoredTable, order_products: DataFrame, products: DataFrame, orders: DataFrame, site: SiteOptions = PLAIN
 ) -> DataFrame:
-    """One incremental run against a stored fact, with the CSV copy where the site wants one."""
+    """One incremental run against a stored fact, with the CSV copy where the site wants one.
+
+    New keys are appended, with any new columns; past a high-water mark, rows are merged by key.
+    """
 
     def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
-        if site.strategy == "watermark":
-            return upsert_merge(target, rows, "order_product_id", order=["loaded_at"])
-        return append_new_columns(target, rows)
+        return upsert_merge(target, rows, "order_product_id", order=["loaded_at"])
 
-    result = load_incremental(
-        table, lambda target: fct_order_products(order_products, products, orders, site, target), merge
+    load_incremental(
+        table,
+        lambda target: fct_order_products(order_products, products, orders, site, target),
+        merge if site.strategy == "watermark" else None,
     )
+    result = table.read()
     if site.export_dir:
         export_csv(result, site.export_dir)
     return result

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martmill.functions.columns import rename_project
+from martmill.functions.columns import rename_project, trunc_month
 from martmill.operators.aggregates import count_and_sum
-from martmill.operators.incremental import inc_watermark_inclusive
+from martmill.operators.incremental import PeriodTable, inc_watermark_inclusive
 from martmill.operators.joins import join_inner, join_left, join_left_preagg
 from martmill.operators.quality import Check, not_null_unique
 
@@ -217,6 +217,16 @@ def orders_fact(orders: DataFrame, geo: DataFrame, target: DataFrame | None = No
     )
 
 
+def run_orders_fact(table: PeriodTable, orders: DataFrame, geo: DataFrame) -> None:
+    """One incremental run of the order facts, stored by order month.
+
+    The high-water mark is read from the last month only; the merge rewrites the months
+    that hold changed or new orders.
+    """
+    rows = orders_fact(orders, geo, table.last_period())
+    table.upsert(rows.withColumn(table.period, trunc_month("order_date")), ["order_id"])
+
+
 # Declared checks of staging, intermediate tables and marts.
 STAGING_CHECKS = [
     *not_null_unique("stg_regions", "region_id"),

@@ -42,16 +42,17 @@ def _new(g):
 
 @query(with_(OLD) + _OUT + " FROM old")
 def inc_full_first_run(g):
-    table = I.VersionedTable(g.spark, scratch_path(g.spark, "orders"))
-    return I.load_incremental(table, lambda target: I.inc_anti_key(_old(g), target, "order_id"), I.append_new_columns)
+    table = I.StoredTable(g.spark, scratch_path(g.spark, "orders"))
+    I.load_incremental(table, lambda target: I.inc_anti_key(_old(g), target, "order_id"))
+    return table.read()
 
 
 @query(with_(OLD, NEW) + _OUT + " FROM old UNION ALL " + _OUT + " FROM new WHERE order_id NOT IN (SELECT order_id FROM old)")
 def inc_anti_key(g):
     """Two stored runs; changed prices of known orders are not seen."""
-    table = I.VersionedTable(g.spark, scratch_path(g.spark, "orders"))
+    table = I.StoredTable(g.spark, scratch_path(g.spark, "orders"))
     for batch in (_old(g), _new(g)):
-        I.load_incremental(table, lambda target: I.inc_anti_key(batch, target, "order_id"), I.append_new_columns)
+        I.load_incremental(table, lambda target: I.inc_anti_key(batch, target, "order_id"))
     return table.read()
 
 
@@ -67,7 +68,7 @@ def inc_watermark_strict(g):
 @query(with_(OLD, NEW, "taken AS (SELECT * FROM new WHERE order_date >= (SELECT max(order_date) FROM old))") + _OUT + _AFTER)
 def inc_watermark_inclusive(g):
     """Two stored runs: the last day of the first one is loaded again, with its new prices."""
-    table = I.VersionedTable(g.spark, scratch_path(g.spark, "orders"))
+    table = I.StoredTable(g.spark, scratch_path(g.spark, "orders"))
     for batch in (_old(g), _new(g)):
         I.load_incremental(
             table,
@@ -82,20 +83,16 @@ def inc_watermark_inclusive(g):
 FROM orders LEFT JOIN geo ON o_custkey = customer_id""")
 def fct_orders_incremental(g):
     """The order fact built in two runs equals the fact built in one."""
-    table = I.VersionedTable(g.spark, scratch_path(g.spark, "fct-orders"))
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "fct-orders"), "order_month")
     orders, geo = g.stage("orders"), g.customer_geo()
     early = orders.filter(F.col("order_date") < _day("1998-06-01"))
     for known in (early, orders):
-        I.load_incremental(
-            table,
-            lambda target: tpch.orders_fact(known, geo, target),
-            lambda target, rows: I.upsert_merge(target, rows, "order_id"),
-        )
-    return table.read()
+        tpch.run_orders_fact(table, known, geo)
+    return table.read().drop("order_month")
 
 
 def _two_runs(g, site):
-    table = I.VersionedTable(g.spark, scratch_path(g.spark, "fct-order-products"))
+    table = I.StoredTable(g.spark, scratch_path(g.spark, "fct-order-products"))
     lines = vb.stg_bike_shop__order_products(g)
     early = lines.filter(F.col("loaded_at") < _day("1999-06-01"))
     products, orders = vb.stg_bike_shop__products(g), vb.stg_bike_shop__orders(g)
@@ -130,10 +127,11 @@ def upsert_merge(g):
 @query(with_(OLD, NEW) + _OUT + " FROM old WHERE order_id NOT IN (SELECT order_id FROM new) UNION ALL " + _OUT + " FROM new")
 def upsert_by_day(g):
     """The same on a table partitioned by month, of which only the touched months are rewritten."""
-    table = I.DayPartitionedTable(g.spark, scratch_path(g.spark, "by-month"), "month")
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "by-month"), "month")
     month = F.trunc("order_date", "month")
     table.create(_old(g).withColumn("month", month), ["order_id"])
-    return table.upsert(_new(g).withColumn("month", month), ["order_id"]).drop("month")
+    table.upsert(_new(g).withColumn("month", month), ["order_id"])
+    return table.read().drop("month")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem l WHERE l_shipdate < TIMESTAMP '1999-01-01'
@@ -158,19 +156,37 @@ def append_only(g):
     return table
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-07-01'
-  THEN l_quantity + 1 ELSE l_quantity END AS quantity, l_shipdate AS event_date FROM lineitem
-WHERE NOT (l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-03-08')""")
+_HALF_YEAR = "l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-07-01'"
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, CASE WHEN {_HALF_YEAR} THEN l_quantity + 1 ELSE l_quantity END AS quantity,
+  l_shipdate AS event_date FROM lineitem WHERE NOT (l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-04-01')""")
 def microbatch_replace(g):
-    """Half a year of stored ship days replaced; the first week of March is empty in the new batch."""
+    """Half a year of stored ship months replaced; March is empty in the new batch."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = g.raw("lineitem").select(
+        *keys,
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_shipdate").alias("event_date"),
+        F.trunc("l_shipdate", "month").alias("month"),
+    )
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "microbatch"), "month")
+    table.create(lines, keys)
+    batch = lines.filter("month <> DATE '1997-03-01'").withColumn("quantity", (F.col("quantity") + 1).cast("decimal(15,2)"))
+    table.replace(batch, dt.date(1997, 1, 1), dt.date(1997, 7, 1), keys)
+    return table.read().drop("month")
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, CASE WHEN {_HALF_YEAR} THEN l_quantity + 1 ELSE l_quantity END AS quantity,
+  l_shipdate AS event_date FROM lineitem WHERE NOT (l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-03-08')""")
+def microbatch_replace_days(g):
+    """The same as a plan over two tables, by days; the first week of March is empty in the new batch."""
     lines = g.raw("lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.to_date("l_shipdate").alias("event_date")
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_shipdate").alias("event_date")
     )
-    table = I.DayPartitionedTable(g.spark, scratch_path(g.spark, "by-day"), "event_date")
-    table.create(lines, ["l_orderkey", "l_linenumber"])
-    week = (F.col("event_date") >= "1997-03-01") & (F.col("event_date") < "1997-03-08")
+    week = F.to_date("event_date").between(dt.date(1997, 3, 1), dt.date(1997, 3, 7))
     batch = lines.filter(~week).withColumn("quantity", (F.col("quantity") + 1).cast("decimal(15,2)"))
-    return table.replace_days(batch, dt.date(1997, 1, 1), dt.date(1997, 7, 1), ["l_orderkey", "l_linenumber"])
+    return I.microbatch_replace(lines, batch, "event_date", dt.date(1997, 1, 1), dt.date(1997, 7, 1))
 
 
 @query(with_(OLD, NEW) + "SELECT order_id, customer_id, CAST(NULL AS DOUBLE) AS order_total FROM old "
