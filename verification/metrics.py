@@ -165,7 +165,7 @@ def metric_mom_revenue_performance_by_location(g):
 
 
 @query(with_(ITEMS, SPINE, """d AS (SELECT ordered_at, is_food_item, sum(price_cents)::BIGINT AS c FROM items GROUP BY 1, 2)""") + """
-SELECT period, CAST(sum(c) AS BIGINT) / 100.0::DOUBLE AS mtd_revenue FROM spine LEFT JOIN d
+SELECT period, CAST(coalesce(sum(c), 0) AS BIGINT) / 100.0::DOUBLE AS mtd_revenue FROM spine LEFT JOIN d
   ON ordered_at <= period AND date_trunc('month', ordered_at) = date_trunc('month', period)
 WHERE period BETWEEN TIMESTAMP '1997-02-10' AND TIMESTAMP '1998-03-05' GROUP BY 1""")
 def metric_mtd_revenue_between(g):
