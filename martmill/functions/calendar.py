@@ -55,9 +55,10 @@ def holiday_flag(
 ) -> DataFrame:
     """Mark days listed in ``calendar``; a NULL day has a NULL flag.
 
-    Whether the calendar is broadcast is left to Spark, which knows its size.
+    The calendar is broadcast: after the distinct it cannot hold more than the days there are. So
+    the rows of a very frequent day are never gathered by day.
     """
     listed = calendar.select(F.col(calendar_day).cast("date").alias("_holiday")).distinct()
-    joined = df.join(listed, F.col(day) == F.col("_holiday"), "left")
+    joined = df.join(F.broadcast(listed), F.col(day) == F.col("_holiday"), "left")
     flag = F.when(F.col(day).isNotNull(), F.col("_holiday").isNotNull())
     return joined.withColumn(name, flag).drop("_holiday")

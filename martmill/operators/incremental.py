@@ -252,20 +252,22 @@ class PeriodTable:
         """Replace just the periods the batch has rows for."""
         self._overwrite(materialise(batch, "batch"), spread, "dynamic")
 
-    def upsert(self, delta: DataFrame, keys: Sequence[str]) -> None:
+    def upsert(self, delta: DataFrame, keys: Sequence[str], keys_move: bool = True) -> None:
         """Upsert by key; a key may move to another period.
 
-        A narrow pass over keys and periods finds the periods that hold replaced rows. Only these and
-        the periods of the delta are rebuilt, from a copy stored first: a failed load
-        can be run again.
+        A narrow pass over keys and periods finds the periods that hold replaced rows; it is left out
+        with ``keys_move=False``, for keys that never change their period. Only these periods and those of the
+        delta are rebuilt, from a copy stored first: a failed load can be run again.
         """
         if not self.periods():
             self.create(delta, keys)
             return
         delta = materialise(delta, "delta")
         target = self.read()
-        hit = target.select(*keys, self.period).join(delta.select(*keys), list(keys), "left_semi")
-        touched = self._period_list(hit) | self._period_list(delta)
+        touched = self._period_list(delta)
+        if keys_move:
+            hit = target.select(*keys, self.period).join(delta.select(*keys), list(keys), "left_semi")
+            touched |= self._period_list(hit)
         old = target.filter(F.col(self.period).cast("string").isin(sorted(touched)))
         merged = materialise(upsert_merge(old, delta, keys), "merged")
         self._overwrite(merged, keys, "dynamic")

@@ -130,7 +130,8 @@ def offset_on_spine(
     past = period_offset(by_period, n, unit, {value: earlier})
     if not group_by:
         return join_on_spine(join_on_spine(periods, by_period, PERIOD), past, PERIOD)
-    return join_full(by_period, past, [PERIOD, *group_by]).join(periods, PERIOD, "left_semi")
+    # Calendar periods are few by nature, so they are broadcast and the values stay where they are.
+    return join_full(by_period, past, [PERIOD, *group_by]).join(F.broadcast(periods), PERIOD, "left_semi")
 
 
 def ratio(df: DataFrame, numerator: str, denominator: str, name: str) -> DataFrame:
@@ -168,4 +169,5 @@ def to_date_cumulative(
     carried = steps.select(
         *group_by, F.explode(F.sequence(F.col(PERIOD), F.date_sub("_until", 1))).alias(PERIOD), name
     )
-    return spine_periods(spine, "day").join(carried, PERIOD, "inner").select(PERIOD, *group_by, name)
+    # Days are few by nature, so they are broadcast and the carried values stay where they are.
+    return carried.join(F.broadcast(spine_periods(spine, "day")), PERIOD, "left_semi").select(PERIOD, *group_by, name)

@@ -35,16 +35,18 @@ def join_text_match(queries: DataFrame, views: DataFrame) -> DataFrame:
 
     ``queries``: ``query_id, query_text``. ``views``: ``view_name`` as ``schema.name``.
     """
-    text = F.lower("query_text")
-    # The lookahead keeps the second word available as the first word of the next pair.
-    dotted = F.lit(r"((?<!\w)\w+)\.(?=(\w+))")
-    used = (
-        queries.select(
-            "query_id",
-            F.regexp_extract_all(text, dotted, F.lit(1)).alias("_head"),
-            F.regexp_extract_all(text, dotted, F.lit(2)).alias("_tail"),
+    # One pass over the text finds the dotted chains; a chain a.b.c holds the pairs (a, b) and (b, c).
+    chains = F.regexp_extract_all(F.lower("query_text"), F.lit(r"\w+(?:\.\w+)+"), F.lit(0))
+
+    def pairs(chain: Column) -> Column:
+        words = F.split(chain, F.lit(r"\."))
+        return F.transform(
+            F.sequence(F.lit(1), F.size(words) - 1),
+            lambda i: F.struct(F.element_at(words, i).alias("_head"), F.element_at(words, i + 1).alias("_tail")),
         )
-        .select("query_id", F.explode(F.arrays_zip("_head", "_tail")).alias("_pair"))
+
+    used = (
+        queries.select("query_id", F.explode(F.flatten(F.transform(chains, pairs))).alias("_pair"))
         .select("query_id", "_pair.*")
         .distinct()
     )

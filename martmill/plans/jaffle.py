@@ -96,19 +96,20 @@ def supply_summary(supplies: DataFrame, factor: str) -> DataFrame:
 def _order_items(
     order_items: DataFrame, orders: DataFrame, products: DataFrame, supplies: DataFrame, factor: str
 ) -> DataFrame:
-    """Items with order, product and supply cost, where known.
+    """Items with product, supply cost and order, where known.
 
     Product and supply cost share the key and hence one shuffle of the items; supplies are
-    summed before the join. A consumer that ignores the supply cost gets a plan without that join.
+    summed before the join. A consumer that ignores the supply cost gets a plan without that join. Orders
+    come last: what follows, such as distinct orders per customer, keeps their partitioning.
     """
     return join_left(
         order_items,
-        (orders.select("order_id", "customer_id", "ordered_at"), "order_id"),
         (
             products.select("product_id", "product_name", "product_price", "is_food_item", "is_drink_item"),
             "product_id",
         ),
         (supply_summary(supplies, factor), "product_id"),
+        (orders.select("order_id", "customer_id", "ordered_at"), "order_id"),
     ).select(
         "order_item_id",
         "order_id",
