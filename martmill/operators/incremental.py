@@ -193,82 +193,122 @@ def load_incremental(
         table.replace(merge(target, materialise(rows, "delta")))
 
 
+# Fixed value: Spark's directory name for a NULL partition value.
+_NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
+
+
 class PeriodTable:
     """A table partitioned by a date column that holds the first day of each period.
 
-    The period is whatever the caller truncates to: days, months. Loads rewrite the touched periods only.
+    The period is whatever the caller truncates to: days, months. ``keys`` identify a row for upserts and
+    spread a large period over several tasks. Loads rewrite the touched periods only.
+
+    Swapping several partitions is not one atomic step. So every change is written to a side folder first,
+    together with the list of periods it replaces, and then swapped in; a swap that was cut
+    short is completed by the next load before it looks at the table.
     """
 
-    def __init__(self, spark: SparkSession, path: str, period: str):
+    def __init__(self, spark: SparkSession, path: str, period: str, keys: Sequence[str]):
         self.spark = spark
         self.path = path.rstrip("/")
         self.period = period
+        self.keys = list(keys)
+        self._pending = f"{self.path}/_pending"
 
     def periods(self) -> list[str]:
-        return [name[len(self.period) + 1:] for name in _children(self.spark, self.path, f"{self.period}=")]
+        """The periods with rows, in order; rows without a period are not listed."""
+        names = [n[len(self.period) + 1:] for n in _children(self.spark, self.path, f"{self.period}=")]
+        return [n for n in names if n != _NULL_DIR]
+
+    def _exists(self) -> bool:
+        return bool(_children(self.spark, self.path, f"{self.period}="))
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
     def last_period(self) -> DataFrame | None:
         """The rows of the latest period, which holds the high-water mark, or None for a new table."""
+        self._finish()
         periods = self.periods()
         if not periods:
             return None
         return self.read().filter(F.col(self.period).cast("string") == periods[-1])
 
-    def _overwrite(self, df: DataFrame, spread: Sequence[str], mode: str) -> None:
+    def _write(self, df: DataFrame, mode: str) -> None:
         # Range partitioning on the period and then the key: few periods per task, hence few files,
         # while a period with very many rows still goes to several tasks.
         (
-            df.repartitionByRange(self.period, *spread)
+            df.repartitionByRange(self.period, *self.keys)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", mode)
             .partitionBy(self.period)
             .parquet(self.path)
         )
 
-    def _drop(self, periods: Iterable[str]) -> None:
-        for period in periods:
-            fs, path = _fs(self.spark, f"{self.path}/{self.period}={period}")
-            fs.delete(path, True)
+    def _delete(self, path: str) -> None:
+        fs, jpath = _fs(self.spark, path)
+        fs.delete(jpath, True)
 
-    def _period_list(self, df: DataFrame) -> set[str]:
+    def _period_list(self, df: DataFrame) -> set[str | None]:
         # Calendar periods, not rows: at most one value per partition directory.
         return {r[0] for r in df.select(F.col(self.period).cast("string")).distinct().collect()}
 
-    def create(self, df: DataFrame, spread: Sequence[str]) -> None:
-        self._overwrite(df, spread, "static")
-
-    def replace(self, batch: DataFrame, start: dt.date, end_exclusive: dt.date, spread: Sequence[str]) -> None:
+    def _in(self, touched: set[str | None]) -> Column:
+        named = F.col(self.period).cast("string").isin(sorted(t for t in touched if t is not None))
+        return named | F.col(self.period).isNull() if None in touched else named
+
+    def _swap(self, rows: DataFrame, touched: set[str | None]) -> None:
+        """Put ``rows`` in the place of all rows of the touched periods."""
+        rows.write.mode("overwrite").parquet(f"{self._pending}/rows")
+        listed = self.spark.createDataFrame([(t,) for t in touched], "period string").coalesce(1)
+        listed.write.mode("overwrite").parquet(f"{self._pending}/touched")
+        self._finish()
+
+    def _finish(self) -> None:
+        """Complete a swap that has been written down; repeating it does no harm."""
+        fs, marker = _fs(self.spark, f"{self._pending}/touched/_SUCCESS")
+        if not fs.exists(marker):
+            return
+        rows = self.spark.read.parquet(f"{self._pending}/rows")
+        touched = {r[0] for r in self.spark.read.parquet(f"{self._pending}/touched").collect()}
+        written = self._period_list(rows)
+        if written:
+            self._write(rows, "dynamic")
+        for period in touched - written:
+            self._delete(f"{self.path}/{self.period}={_NULL_DIR if period is None else period}")
+        self._delete(f"{self._pending}/touched")
+        self._delete(self._pending)
+
+    def create(self, df: DataFrame) -> None:
+        self._write(df, "static")
+
+    def replace(self, batch: DataFrame, start: dt.date, end_exclusive: dt.date) -> None:
         """Replace the periods that begin in ``[start, end_exclusive)``; those without new rows become empty."""
+        self._finish()
         first = F.col(self.period).cast("date")
-        batch = materialise(batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive))), "batch")
-        written = self._period_list(batch)
-        self._overwrite(batch, spread, "dynamic")
-        self._drop(p for p in self.periods() if str(start) <= p < str(end_exclusive) and p not in written)
+        touched = {p for p in self.periods() if str(start) <= p < str(end_exclusive)}
+        self._swap(batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive))), touched)
 
-    def replace_mentioned(self, batch: DataFrame, spread: Sequence[str]) -> None:
+    def replace_mentioned(self, batch: DataFrame) -> None:
         """Replace just the periods the batch has rows for."""
-        self._overwrite(materialise(batch, "batch"), spread, "dynamic")
+        self._finish()
+        self._swap(batch, set())
 
-    def upsert(self, delta: DataFrame, keys: Sequence[str], keys_move: bool = True) -> None:
+    def upsert(self, delta: DataFrame, keys_move: bool = True) -> None:
         """Upsert by key; a key may move to another period.
 
         A narrow pass over keys and periods finds the periods that hold replaced rows; it is left out
-        with ``keys_move=False``, for keys that never change their period. Only these periods and those of the
-        delta are rebuilt, from a copy stored first: a failed load can be run again.
+        with ``keys_move=False``, for keys that never change their period. Only these periods and
+        those of the delta are rebuilt.
         """
-        if not self.periods():
-            self.create(delta, keys)
+        self._finish()
+        if not self._exists():
+            self.create(delta)
             return
         delta = materialise(delta, "delta")
         target = self.read()
         touched = self._period_list(delta)
         if keys_move:
-            hit = target.select(*keys, self.period).join(delta.select(*keys), list(keys), "left_semi")
+            hit = target.select(*self.keys, self.period).join(delta.select(*self.keys), self.keys, "left_semi")
             touched |= self._period_list(hit)
-        old = target.filter(F.col(self.period).cast("string").isin(sorted(touched)))
-        merged = materialise(upsert_merge(old, delta, keys), "merged")
-        self._overwrite(merged, keys, "dynamic")
-        self._drop((touched - self._period_list(merged)) & set(self.periods()))
+        self._swap(upsert_merge(target.filter(self._in(touched)), delta, self.keys), touched)

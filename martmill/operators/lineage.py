@@ -16,6 +16,25 @@ def downstream_count(edges: DataFrame, min_children: int = 2) -> DataFrame:
     return counted.withColumn("is_candidate", F.col("downstream_count") >= min_children)
 
 
+def materialization_candidates(
+    edges: DataFrame, views: DataFrame, traffic: DataFrame, min_children: int = 2, min_queries: int = 1
+) -> DataFrame:
+    """Views worth storing as tables: enough direct children, or enough queries of their own.
+
+    ``views``: ``view_name``; ``traffic``: ``view_name, query_count``, from the query log.
+    """
+    children = downstream_count(edges).select(F.col("parent").alias("view_name"), "downstream_count")
+    joined = views.select("view_name").join(children, "view_name", "left")
+    joined = joined.join(traffic.select("view_name", "query_count"), "view_name", "left")
+    counts = joined.select(
+        "view_name",
+        F.coalesce("downstream_count", F.lit(0)).alias("downstream_count"),
+        F.coalesce("query_count", F.lit(0)).alias("query_count"),
+    )
+    gate = (F.col("downstream_count") >= min_children) | (F.col("query_count") >= min_queries)
+    return counts.withColumn("is_candidate", gate)
+
+
 def view_chain_hops(
     edges: DataFrame, relations: DataFrame, max_depth: int = 200, steps_per_round: int = 4
 ) -> DataFrame:

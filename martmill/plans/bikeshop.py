@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from martmill.functions.calendar import date_spine
 from martmill.functions.columns import (
-    initcap, map_codes, rename_project, round_to, scale_by, select_except, select_subset,
+    initcap, map_codes, rename_project, round_to, scale_by, select_except, select_subset, trunc_month,
 )
+from martmill.operators.aggregates import latest_per_key
 from martmill.operators.incremental import (
-    StoredTable, inc_anti_key, inc_watermark_strict, load_incremental, upsert_merge,
+    PeriodTable, StoredTable, inc_anti_key, inc_watermark_strict, load_incremental, upsert_merge,
 )
 from martmill.operators.joins import join_left
 from martmill.operators.quality import Check, not_null_unique
@@ -157,22 +158,33 @@ def fct_order_products(
 
 
 def run_fct_order_products(
-    table: StoredTable, order_products: DataFrame, products: DataFrame, orders: DataFrame, site: SiteOptions = PLAIN
+    table: StoredTable | PeriodTable,
+    order_products: DataFrame,
+    products: DataFrame,
+    orders: DataFrame,
+    site: SiteOptions = PLAIN,
 ) -> DataFrame:
     """One incremental run against a stored fact, with the CSV copy where the site wants one.
 
-    New keys are appended, with any new columns; past a high-water mark, rows are merged by key.
+    New keys are appended, with any new columns. Past a high-water mark, rows are merged by key: into a new whole
+    table, or, for a fact stored by the month of ``loaded_at``, into the months concerned.
     """
 
+    def build(target: DataFrame | None) -> DataFrame:
+        return fct_order_products(order_products, products, orders, site, target)
+
     def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
         return upsert_merge(target, rows, "order_product_id", order=["loaded_at"])
 
-    load_incremental(
-        table,
-        lambda target: fct_order_products(order_products, products, orders, site, target),
-        merge if site.strategy == "watermark" else None,
-    )
-    result = table.read()
+    if isinstance(table, PeriodTable):
+        if site.strategy != "watermark":
+            raise ValueError("a fact stored by period needs the watermark strategy")
+        rows = latest_per_key(build(table.last_period()), table.keys, ["loaded_at"])
+        table.upsert(rows.withColumn(table.period, trunc_month("loaded_at")))
+        result = table.read().drop(table.period)
+    else:
+        load_incremental(table, build, merge if site.strategy == "watermark" else None)
+        result = table.read()
     if site.export_dir:
         export_csv(result, site.export_dir)
     return result

@@ -224,7 +224,7 @@ def run_orders_fact(table: PeriodTable, orders: DataFrame, geo: DataFrame) -> No
     that hold changed or new orders.
     """
     rows = orders_fact(orders, geo, table.last_period())
-    table.upsert(rows.withColumn(table.period, trunc_month("order_date")), ["order_id"])
+    table.upsert(rows.withColumn(table.period, trunc_month("order_date")))
 
 
 # Declared checks of staging, intermediate tables and marts.

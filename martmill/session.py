@@ -85,3 +85,9 @@ def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     stored = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
     return stored, seen.get["rows"]
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's stored intermediates, once their results have been used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/martmill/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

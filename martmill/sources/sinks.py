@@ -22,10 +22,12 @@ def publish_table(
     """Rebuild a Parquet table, optionally sorted for min/max pruning.
 
     ``spread`` should name the table's key: it goes into the range bounds behind the
-    sort columns, so that one very frequent sort value still fills several tasks and files.
+    partition and sort columns, so that one very frequent value still fills several tasks and files,
+    while each task writes to few partitions.
     """
-    if sort:
-        df = df.repartitionByRange(*sort, *[c for c in spread if c not in sort]).sortWithinPartitions(*sort)
+    order = list(dict.fromkeys([*partition_by, *sort]))
+    if order:
+        df = df.repartitionByRange(*order, *[c for c in spread if c not in order]).sortWithinPartitions(*order)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -22,11 +22,9 @@ def drain(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint:
     query.awaitTermination()
 
 
-def feed_periods(
-    stream: DataFrame, table: PeriodTable, keys: Sequence[str], order: Sequence[str], checkpoint: str
-) -> None:
+def feed_periods(stream: DataFrame, table: PeriodTable, order: Sequence[str], checkpoint: str) -> None:
     """Upsert into a table by period; the greatest ``order`` wins within a batch."""
-    drain(stream, lambda batch, _: table.upsert(latest_per_key(batch, keys, order), keys), checkpoint)
+    drain(stream, lambda batch, _: table.upsert(latest_per_key(batch, table.keys, order)), checkpoint)
 
 
 def feed_merge(stream: DataFrame, table: StoredTable, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> None:
@@ -40,9 +38,9 @@ def feed_merge(stream: DataFrame, table: StoredTable, keys: Sequence[str], order
     drain(stream, load, checkpoint)
 
 
-def feed_replace(stream: DataFrame, table: PeriodTable, spread: Sequence[str], checkpoint: str) -> None:
+def feed_replace(stream: DataFrame, table: PeriodTable, checkpoint: str) -> None:
     """Replace every period a batch mentions; for sources that deliver whole periods."""
-    drain(stream, lambda batch, _: table.replace_mentioned(batch, spread), checkpoint)
+    drain(stream, lambda batch, _: table.replace_mentioned(batch), checkpoint)
 
 
 def feed_append(stream: DataFrame, table: StoredTable, batch_column: str, checkpoint: str) -> None:

@@ -82,7 +82,7 @@ def test_surrogate_key(spark):
     import hashlib
 
     got = one(spark, C.surrogate_key(["a", "b"]), a=("int", 7), b=("string", None))
-    assert got == hashlib.md5(b"7-_dbt_utils_surrogate_key_null_").hexdigest()
+    assert got == hashlib.md5(f"7-{C.NULL_KEY_TEXT}".encode()).hexdigest()
 
 
 def test_concat_qualified(spark):

@@ -115,13 +115,13 @@ def _orders(spark, *items):
 
 
 def test_period_table_rewrites_touched_periods_only(spark, path, rows):
-    table = I.PeriodTable(spark, path, "m")
+    table = I.PeriodTable(spark, path, "m", ["k"])
     jan, feb, mar, apr = (dt.date(2024, n, 5) for n in (1, 2, 3, 4))
-    table.upsert(_orders(spark, (1, jan, 1), (2, feb, 2), (3, mar, 3)), ["k"])
+    table.upsert(_orders(spark, (1, jan, 1), (2, feb, 2), (3, mar, 3)))
     before = {p: os.listdir(f"{path}/m={p}") for p in table.periods()}
     assert sorted(before) == ["2024-01-01", "2024-02-01", "2024-03-01"]
     # Key 2 leaves February, key 4 is new, January is not touched.
-    table.upsert(_orders(spark, (2, mar, 20), (4, apr, 4)), ["k"])
+    table.upsert(_orders(spark, (2, mar, 20), (4, apr, 4)))
     assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 3), (4, 4)]
     assert table.periods() == ["2024-01-01", "2024-03-01", "2024-04-01"]
     assert os.listdir(f"{path}/m=2024-01-01") == before["2024-01-01"]
@@ -129,22 +129,62 @@ def test_period_table_rewrites_touched_periods_only(spark, path, rows):
 
 
 def test_period_table_replace(spark, path, rows):
-    table = I.PeriodTable(spark, path, "m")
-    table.create(_orders(spark, *[(n, dt.date(2024, n, 1), n) for n in range(1, 6)]), ["k"])
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    table.create(_orders(spark, *[(n, dt.date(2024, n, 1), n) for n in range(1, 6)]))
     batch = _orders(spark, (2, dt.date(2024, 2, 9), 20), (5, dt.date(2024, 5, 1), 50))
-    table.replace(batch, dt.date(2024, 2, 1), dt.date(2024, 4, 1), ["k"])
+    table.replace(batch, dt.date(2024, 2, 1), dt.date(2024, 4, 1))
     assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (4, 4), (5, 5)]
 
 
+def test_rows_without_a_period(spark, path, rows):
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    jan = dt.date(2024, 1, 5)
+    table.upsert(_orders(spark, (1, None, 1), (2, jan, 2), (3, None, 3)))
+    table.upsert(_orders(spark, (1, jan, 10), (2, None, 20)))
+    assert rows(table.read(), "k", "v", "d") == [(1, 10, jan), (2, 20, None), (3, 3, None)]
+    assert table.periods() == ["2024-01-01"]
+    table.upsert(_orders(spark, (2, jan, 21), (3, jan, 31)))
+    assert rows(table.read(), "k", "v") == [(1, 10), (2, 21), (3, 31)]
+
+
+def test_keys_that_never_move(spark, path, rows):
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
+    table.create(_orders(spark, (1, jan, 1), (2, feb, 2)))
+    table.upsert(_orders(spark, (2, feb, 20), (3, feb, 30)), keys_move=False)
+    assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 30)]
+
+
+def test_a_swap_cut_short_is_completed_first(spark, path, rows, monkeypatch):
+    """The driver dies after some partitions were swapped: the rest follows before the next load."""
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    jan, feb, mar = (dt.date(2024, n, 5) for n in (1, 2, 3))
+    table.create(_orders(spark, (1, jan, 1), (2, feb, 2), (3, mar, 3)))
+
+    def half_write(self, df, mode):
+        original(self, df.filter("m = DATE '2024-03-01'"), mode)
+        raise RuntimeError("driver lost")
+
+    original = I.PeriodTable._write
+    monkeypatch.setattr(I.PeriodTable, "_write", half_write)
+    with pytest.raises(RuntimeError):
+        table.upsert(_orders(spark, (1, mar, 10), (2, feb, 20), (3, mar, 30)))
+    monkeypatch.setattr(I.PeriodTable, "_write", original)
+    again = I.PeriodTable(spark, path, "m", ["k"])
+    assert rows(again.last_period(), "k", "v") == [(1, 10), (3, 30)]
+    assert rows(again.read(), "k", "v") == [(1, 10), (2, 20), (3, 30)]
+    assert again.periods() == ["2024-02-01", "2024-03-01"]
+
+
 def test_a_hot_period_is_written_by_several_tasks(spark, path):
-    table = I.PeriodTable(spark, path, "m")
+    table = I.PeriodTable(spark, path, "m", ["k"])
     df = spark.range(30000).select(
         F.col("id").alias("k"),
         F.when(F.col("id") % 3 > 0, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("date").alias("m"),
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with much data
     try:
-        table.create(df, ["k"])
+        table.create(df)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = [f for f in os.listdir(f"{path}/m=2024-01-01") if f.endswith(".parquet")]
@@ -203,6 +243,21 @@ def test_order_product_sites(spark, path, site, known, late, changed):
     assert ("loaded_at" in out["a"].asDict()) is site.keep_loaded_at
 
 
+def test_merging_site_by_month(spark, path):
+    def stamped(lines):
+        lines, products, orders = _bike(spark, lines)
+        at = F.timestamp_add("HOUR", F.col("loaded_at") * 300, F.lit("2024-01-01").cast("timestamp_ntz"))
+        return lines.withColumn("loaded_at", at.cast("timestamp_ntz")), products, orders
+
+    table = I.PeriodTable(spark, path, "loaded_month", ["order_product_id"])
+    bikeshop.run_fct_order_products(table, *stamped([("a", 1, 7, 1, 1), ("b", 9, 8, 1, 6)]), bikeshop.MERGING)
+    second = [("a", 1, 7, 4, 8), ("a", 1, 7, 3, 7), ("late", 1, 7, 1, 6), ("new", 1, 7, 1, 9)]
+    out = bikeshop.run_fct_order_products(table, *stamped(second), bikeshop.MERGING)
+    assert {r["order_product_id"]: r["order_product_quantity"] for r in out.collect()} == {"a": 4, "b": 1, "new": 1}
+    with pytest.raises(ValueError):
+        bikeshop.run_fct_order_products(table, *stamped(second), bikeshop.PLAIN)
+
+
 def test_discounting_site_leaves_a_csv_copy(spark, path, tmp_path):
     site = bikeshop.SiteOptions(cost_factor="0.95", export_dir=str(tmp_path / "csv"))
     bikeshop.run_fct_order_products(I.StoredTable(spark, path), *_bike(spark, [("a", 1, 7, 1, 5)]), site)
@@ -214,7 +269,7 @@ def test_order_facts_reload_the_last_day(spark, path):
     day = lambda n: dt.datetime(2024, 1, n)
     schema = "order_id int, customer_id int, order_total int, order_date timestamp_ntz"
     geo = spark.createDataFrame([(1, "EUROPE", "BUILDING")], "customer_id int, region_name string, market_segment string")
-    table = I.PeriodTable(spark, path, "order_month")
+    table = I.PeriodTable(spark, path, "order_month", ["order_id"])
     tpch.run_orders_fact(table, spark.createDataFrame([(1, 1, 10, day(1)), (2, 1, 20, day(5))], schema), geo)
     again = [(1, 1, 11, day(1)), (2, 1, 21, day(5)), (3, 2, 30, day(5)), (4, 1, 40, day(6))]
     tpch.run_orders_fact(table, spark.createDataFrame(again, schema), geo)

@@ -116,6 +116,17 @@ def test_downstream_count_golden(spark):
     assert got["int_order_priorities_summary"] == (1, False)
 
 
+def test_candidates_golden(spark):
+    edges, relations = _graph(spark, EDGES)
+    views = relations.filter("NOT is_stored").withColumnRenamed("name", "view_name")
+    traffic = spark.createDataFrame([("int_order_priorities", 3)], "view_name string, query_count bigint")
+    got = {r["view_name"]: r["is_candidate"] for r in lineage.materialization_candidates(edges, views, traffic.limit(0)).collect()}
+    assert got["int_customer_geo"] and got["int_lineitem_enriched"]
+    assert not got["int_order_priorities"] and not got["int_order_priorities_summary"]
+    got = {r["view_name"]: r["is_candidate"] for r in lineage.materialization_candidates(edges, views, traffic).collect()}
+    assert got["int_order_priorities"] and not got["int_order_priorities_summary"]
+
+
 @pytest.mark.parametrize("steps", [1, 2, 4])
 def test_view_chain_hops_golden(spark, steps):
     edges, relations = _graph(spark, EDGES)

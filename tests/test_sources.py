@@ -38,7 +38,7 @@ def test_table_is_sorted_and_a_hot_value_fills_several_files(spark, tmp_path):
 
 def test_partitioned_table(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
-    out = sinks.publish_table(df, str(tmp_path / "t"), partition_by=["p"])
+    out = sinks.publish_table(df, str(tmp_path / "t"), partition_by=["p"], spread=["k"])
     assert rows(out, "k", "p") == [(1, "a"), (2, "b")]
     assert sorted(n for n in os.listdir(tmp_path / "t") if "=" in n) == ["p=a", "p=b"]
 

@@ -27,13 +27,13 @@ JAN, FEB, MAR = (dt.date(2024, m, 3) for m in (1, 2, 3))
 
 def test_upsert_by_period(spark, tmp_path, source, rows):
     add, stream = source
-    table = PeriodTable(spark, str(tmp_path / "t"), "m")
+    table = PeriodTable(spark, str(tmp_path / "t"), "m", ["k"])
     with_month = lambda: stream().withColumn("m", F.trunc("d", "month"))
     add((1, 1, JAN), (2, 1, FEB))
-    feed.feed_periods(with_month(), table, ["k"], ["n"], str(tmp_path / "cp"))
+    feed.feed_periods(with_month(), table, ["n"], str(tmp_path / "cp"))
     add((2, 3, MAR), (2, 2, FEB))
     add((3, 1, JAN))
-    feed.feed_periods(with_month(), table, ["k"], ["n"], str(tmp_path / "cp"))
+    feed.feed_periods(with_month(), table, ["n"], str(tmp_path / "cp"))
     assert rows(table.read(), "k", "n", "d") == [(1, 1, JAN), (2, 3, MAR), (3, 1, JAN)]
     assert table.periods() == ["2024-01-01", "2024-03-01"]
 
@@ -49,10 +49,10 @@ def test_merge(spark, tmp_path, source, rows):
 
 def test_replace_whole_periods(spark, tmp_path, source, rows):
     add, stream = source
-    table = PeriodTable(spark, str(tmp_path / "t"), "d")
+    table = PeriodTable(spark, str(tmp_path / "t"), "d", ["k"])
     for data in ([(1, 1, JAN), (2, 1, FEB), (3, 1, MAR)], [(7, 1, JAN), (8, 1, MAR)]):
         add(*data)
-        feed.feed_replace(stream(), table, ["k"], str(tmp_path / "cp"))
+        feed.feed_replace(stream(), table, str(tmp_path / "cp"))
     assert rows(table.read(), "k") == [(2,), (7,), (8,)]
 
 

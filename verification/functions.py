@@ -104,7 +104,7 @@ def date_shift(g):
     )
 
 
-@query("SELECT event_id, md5(CAST(event_id AS VARCHAR) || '-' || CASE WHEN event_type = 'view' THEN '_dbt_utils_surrogate_key_null_' "
+@query(f"SELECT event_id, md5(CAST(event_id AS VARCHAR) || '-' || CASE WHEN event_type = 'view' THEN '{C.NULL_KEY_TEXT}' "
        "ELSE event_type END) AS event_key FROM events")
 def surrogate_key(g):
     """Event number and type; the type of views is left open."""

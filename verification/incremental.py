@@ -83,7 +83,7 @@ def inc_watermark_inclusive(g):
 FROM orders LEFT JOIN geo ON o_custkey = customer_id""")
 def fct_orders_incremental(g):
     """The order fact built in two runs equals the fact built in one."""
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "fct-orders"), "order_month")
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "fct-orders"), "order_month", ["order_id"])
     orders, geo = g.stage("orders"), g.customer_geo()
     early = orders.filter(F.col("order_date") < _day("1998-06-01"))
     for known in (early, orders):
@@ -91,8 +91,7 @@ def fct_orders_incremental(g):
     return table.read().drop("order_month")
 
 
-def _two_runs(g, site):
-    table = I.StoredTable(g.spark, scratch_path(g.spark, "fct-order-products"))
+def _two_runs(g, site, table):
     lines = vb.stg_bike_shop__order_products(g)
     early = lines.filter(F.col("loaded_at") < _day("1999-06-01"))
     products, orders = vb.stg_bike_shop__products(g), vb.stg_bike_shop__orders(g)
@@ -106,12 +105,13 @@ _BIKE_MONEY = "CAST(product_price AS DOUBLE) AS product_price, CAST(product_cost
 
 @query(with_(BIKE) + f"SELECT * EXCLUDE (loaded_at) REPLACE ({_BIKE_MONEY}) FROM bike_fact")
 def fct_order_products_incremental_anti_key(g):
-    return _two_runs(g, bikeshop.PLAIN)
+    return _two_runs(g, bikeshop.PLAIN, I.StoredTable(g.spark, scratch_path(g.spark, "fct-order-products")))
 
 
 @query(with_(BIKE) + f"SELECT * REPLACE ({_BIKE_MONEY}) FROM bike_fact")
 def fct_order_products_incremental_watermark(g):
-    return _two_runs(g, bikeshop.MERGING)
+    path = scratch_path(g.spark, "fct-order-products")
+    return _two_runs(g, bikeshop.MERGING, I.PeriodTable(g.spark, path, "loaded_month", ["order_product_id"]))
 
 
 @query(with_(OLD, NEW) + _OUT + " FROM old WHERE order_id NOT IN (SELECT order_id FROM new) UNION ALL " + _OUT + " FROM new")
@@ -127,10 +127,10 @@ def upsert_merge(g):
 @query(with_(OLD, NEW) + _OUT + " FROM old WHERE order_id NOT IN (SELECT order_id FROM new) UNION ALL " + _OUT + " FROM new")
 def upsert_by_day(g):
     """The same on a table partitioned by month, of which only the touched months are rewritten."""
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "by-month"), "month")
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "by-month"), "month", ["order_id"])
     month = F.trunc("order_date", "month")
-    table.create(_old(g).withColumn("month", month), ["order_id"])
-    table.upsert(_new(g).withColumn("month", month), ["order_id"])
+    table.create(_old(g).withColumn("month", month))
+    table.upsert(_new(g).withColumn("month", month))
     return table.read().drop("month")
 
 
@@ -170,10 +170,10 @@ def microbatch_replace(g):
         F.col("l_shipdate").alias("event_date"),
         F.trunc("l_shipdate", "month").alias("month"),
     )
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "microbatch"), "month")
-    table.create(lines, keys)
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "microbatch"), "month", keys)
+    table.create(lines)
     batch = lines.filter("month <> DATE '1997-03-01'").withColumn("quantity", (F.col("quantity") + 1).cast("decimal(15,2)"))
-    table.replace(batch, dt.date(1997, 1, 1), dt.date(1997, 7, 1), keys)
+    table.replace(batch, dt.date(1997, 1, 1), dt.date(1997, 7, 1))
     return table.read().drop("month")
 
 

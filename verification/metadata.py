@@ -1,6 +1,8 @@
 """Inventory, lineage and workload analyses over tables derived from the given data."""
 
 
+from pyspark.sql import functions as F
+
 from martmill.operators import catalog, lineage, workload
 from verification import query
 from verification.sqltext import d2, with_
@@ -138,6 +140,19 @@ def rescanned_gb(g):
     return workload.rescanned_gb(_attribution(g), g.query_log())
 
 
+@query(with_(LOG, VIEWS, MATCHED, EDGES, "down AS (SELECT i, count(DISTINCT j) AS n FROM arcs GROUP BY i)",
+             "used AS (SELECT view_name, count(*) AS n FROM matched GROUP BY 1)") + """
+SELECT v.view_name, coalesce(down.n, 0) AS downstream_count, coalesce(used.n, 0) AS query_count,
+  coalesce(down.n, 0) >= 3 OR coalesce(used.n, 0) >= 1 AS is_candidate
+FROM views v LEFT JOIN down ON down.i = v.p_partkey LEFT JOIN used ON used.view_name = v.view_name""")
+def materialization_candidates(g):
+    """Views with three or more children, or with a query in the last week."""
+    named = [F.replace(c, F.lit("rel_"), F.lit("int.v_")).alias(c) for c in ("parent", "child")]
+    edges = g.edges().select(*named)
+    traffic = workload.rescanned_gb(_attribution(g), g.query_log())
+    return lineage.materialization_candidates(edges, g.views().select("view_name").distinct(), traffic, min_children=3)
+
+
 LOADS = """loads AS (SELECT 'tab_' || user_id AS table_name, CAST(ts AS DATE) AS day, CASE WHEN user_id % 3 = 0 THEN 'INSERT'
   ELSE CASE event_type WHEN 'view' THEN 'INSERT' WHEN 'signup' THEN 'CTAS' WHEN 'click' THEN 'UPDATE' WHEN 'error' THEN 'DELETE' ELSE 'MERGE' END
   END AS statement_type FROM events)"""
