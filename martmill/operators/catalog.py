@@ -73,7 +73,7 @@ def describe_tables(
     names: Sequence[str] | None = None,
     exclude: str = "",
 ) -> DataFrame:
-    """Distinct listing with comments. Explicit ``names`` take the place of ``table_pattern``."""
+    """Distinct listing with comments, by table name. Explicit ``names`` take the place of ``table_pattern``."""
     if names:
         table_pattern = "%"
     df = tables.filter(
@@ -85,9 +85,10 @@ def describe_tables(
         df = df.filter(F.col("table_name").isin(list(names)))
     table_type = F.coalesce(map_codes("table_type", TYPE_NAMES), F.lower("table_type"))
     description = F.regexp_replace("comment", r"^\n+|\n+$", "")
-    return df.select(
+    listing = df.select(
         "table_schema", "table_name", table_type.alias("table_type"), description.alias("table_description")
-    ).distinct()
+    )
+    return listing.distinct().orderBy("table_name")
 
 
 def describe_columns(columns: DataFrame, column_tags: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martmill.session import materialise, materialise_counted
+from martmill.session import materialise, scratch_path, write_counted
 
 
 def downstream_count(edges: DataFrame, min_children: int = 2) -> DataFrame:
@@ -48,21 +48,26 @@ def view_chain_hops(
     arcs = edges.select("parent", "child").distinct().join(views, F.col("parent") == F.col("name"), "left_semi")
     arcs = materialise(arcs, "arcs")
     frontier = relations.filter("is_stored").select(F.col("name").alias("child"))
-    found: DataFrame | None = None
-    for settled in range(0, max_depth, steps_per_round):
-        reached = None
-        for hops in range(settled + 1, settled + steps_per_round + 1):
+    spark, paths = edges.sparkSession, []
+
+    def settled_views() -> DataFrame:
+        return spark.read.schema("view_name string, min_hops_to_table int").parquet(*paths)
+
+    for start in range(0, max_depth, steps_per_round):
+        end, reached = start + steps_per_round, None
+        for hops in range(start + 1, end + 1):
             views_here = arcs.join(frontier, "child", "left_semi").select(F.col("parent").alias("view_name")).distinct()
             step = views_here.withColumn("min_hops_to_table", F.lit(hops))
             reached = step if reached is None else reached.unionByName(step)
             frontier = views_here.withColumnRenamed("view_name", "child")
         nearest = reached.groupBy("view_name").agg(F.min("min_hops_to_table").alias("min_hops_to_table"))
-        if found is not None:
-            nearest = nearest.join(found, "view_name", "left_anti")
-        stored, n = materialise_counted(nearest, "hops")
-        found = stored if found is None else found.unionByName(stored)
-        last = stored.filter(F.col("min_hops_to_table") == settled + steps_per_round)
-        if n == 0 or last.isEmpty():
-            return found
+        if paths:
+            nearest = nearest.join(settled_views(), "view_name", "left_anti")
+        path = scratch_path(spark, "hops")
+        farthest = write_counted(nearest, path, farthest=F.max("min_hops_to_table"))["farthest"]
+        paths.append(path)
+        if farthest is None or farthest < end:
+            return settled_views()
+        last = spark.read.parquet(path).filter(F.col("min_hops_to_table") == end)
         frontier = last.select(F.col("view_name").alias("child"))
     raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")

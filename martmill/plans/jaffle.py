@@ -171,9 +171,8 @@ def daily_orders_summary(order_items: DataFrame, holidays: DataFrame) -> DataFra
         conditional_sum(F.col("is_drink_item"), "product_price").alias("drink_order_amount"),
         conditional_sum(F.col("is_food_item"), "product_price").alias("food_order_amount"),
     )
-    return holiday_flag(daily, "order_date", holidays).select(
-        "order_date", "is_holiday", "drink_order_amount", "food_order_amount"
-    )
+    flagged = holiday_flag(daily, "order_date", holidays)
+    return flagged.select("order_date", "is_holiday", "drink_order_amount", "food_order_amount").orderBy("order_date")
 
 
 def customer_rfm_segments(order_items: DataFrame) -> DataFrame:
@@ -184,12 +183,13 @@ def customer_segment_orders(segments: DataFrame, customers: DataFrame) -> DataFr
     """Customers and average behaviour per segment. The customer dimension adds no column and,
     one row per customer being checked, no rows."""
     joined = join_unused_side(segments, customers, "customer_id")
-    return joined.groupBy("customer_segment").agg(
+    summary = joined.groupBy("customer_segment").agg(
         F.countDistinct("customer_id").alias("customer_count"),
         avg_rounded("lifetime_value", 2).alias("avg_lifetime_value"),
         avg_rounded(F.col("order_frequency").cast("decimal(20,0)"), 1).alias("avg_order_frequency"),
         avg_rounded(F.col("recency_days").cast("decimal(20,0)"), 0).alias("avg_days_since_last_order"),
     )
+    return summary.orderBy(F.col("avg_lifetime_value").desc())
 
 
 def time_spine_daily(spark: SparkSession, as_of: dt.date | Column) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Skewed joins are split at run time, also where the split costs an extra shuffle:
 # one key may hold a third of all rows, and one task must never own it.
@@ -80,11 +79,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """The same, with the number of rows, counted while writing."""
+def write_counted(df: DataFrame, path: str, **aggregates: Column) -> dict[str, object]:
+    """Write ``df`` to a path and return aggregates over it, taken while writing."""
     seen = Observation()
-    stored = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
-    return stored, seen.get["rows"]
+    df.observe(seen, *[c.alias(name) for name, c in aggregates.items()]).write.mode("errorifexists").parquet(path)
+    return seen.get
 
 
 def release_scratch(spark: SparkSession) -> None:
