@@ -215,14 +215,18 @@ class PeriodTable:
         self.keys = list(keys)
         self._pending = f"{self.path}/_pending"
 
+    def _exists(self) -> bool:
+        """Whether the first load was completed; a first load that broke off counts for nothing."""
+        fs, marker = _fs(self.spark, f"{self.path}/_SUCCESS")
+        return fs.exists(marker)
+
     def periods(self) -> list[str]:
         """The periods with rows, in order; rows without a period are not listed."""
+        if not self._exists():
+            return []
         names = [n[len(self.period) + 1:] for n in _children(self.spark, self.path, f"{self.period}=")]
         return [n for n in names if n != _NULL_DIR]
 
-    def _exists(self) -> bool:
-        return bool(_children(self.spark, self.path, f"{self.period}="))
-
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
@@ -280,17 +284,24 @@ class PeriodTable:
         self._delete(self._pending)
 
     def create(self, df: DataFrame) -> None:
+        """The first load; whatever an earlier try left behind is overwritten."""
         self._write(df, "static")
 
     def replace(self, batch: DataFrame, start: dt.date, end_exclusive: dt.date) -> None:
         """Replace the periods that begin in ``[start, end_exclusive)``; those without new rows become empty."""
-        self._finish()
         first = F.col(self.period).cast("date")
-        touched = {p for p in self.periods() if str(start) <= p < str(end_exclusive)}
-        self._swap(batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive))), touched)
+        batch = batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive)))
+        if not self._exists():
+            self.create(batch)
+            return
+        self._finish()
+        self._swap(batch, {p for p in self.periods() if str(start) <= p < str(end_exclusive)})
 
     def replace_mentioned(self, batch: DataFrame) -> None:
         """Replace just the periods the batch has rows for."""
+        if not self._exists():
+            self.create(batch)
+            return
         self._finish()
         self._swap(batch, set())
 
@@ -301,10 +312,10 @@ class PeriodTable:
         with ``keys_move=False``, for keys that never change their period. Only these periods and
         those of the delta are rebuilt.
         """
-        self._finish()
         if not self._exists():
             self.create(delta)
             return
+        self._finish()
         delta = materialise(delta, "delta")
         target = self.read()
         touched = self._period_list(delta)

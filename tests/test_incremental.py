@@ -176,6 +176,26 @@ def test_a_swap_cut_short_is_completed_first(spark, path, rows, monkeypatch):
     assert again.periods() == ["2024-02-01", "2024-03-01"]
 
 
+def test_a_first_load_that_broke_off_counts_for_nothing(spark, path, rows):
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
+    table.create(_orders(spark, (1, jan, 1), (2, feb, 2)))
+    os.remove(f"{path}/_SUCCESS")
+    assert table.last_period() is None and table.periods() == []
+    table.upsert(_orders(spark, (3, jan, 3)))
+    assert rows(table.read(), "k") == [(3,)]
+
+
+@pytest.mark.parametrize("how", ["replace", "replace_mentioned"])
+def test_a_replacement_may_come_first(spark, path, rows, how):
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
+    bounds = (dt.date(2024, 1, 1), dt.date(2024, 3, 1)) if how == "replace" else ()
+    getattr(table, how)(_orders(spark, (1, jan, 1), (2, feb, 2)), *bounds)
+    table.upsert(_orders(spark, (3, jan, 3)))
+    assert rows(table.read(), "k") == [(1,), (2,), (3,)]
+
+
 def test_a_hot_period_is_written_by_several_tasks(spark, path):
     table = I.PeriodTable(spark, path, "m", ["k"])
     df = spark.range(30000).select(
