@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +38,14 @@ def materialization_candidates(
 
 
 def view_chain_hops(
-    edges: DataFrame, relations: DataFrame, max_depth: int = 200, steps_per_round: int = 4
+    edges: DataFrame, relations: DataFrame, max_depth: int | None = None, steps_per_round: int = 4
 ) -> DataFrame:
     """Fewest steps downstream from each view to something stored.
 
     ``relations`` holds ``name, is_stored``. Works backwards from the stored relations, a few joins per
     round; a view is settled in the round that first reaches it, so cycles end by
-    themselves. The new views of each round are written out, which keeps every plan short.
+    themselves. The new views of each round are written out, which keeps every plan short. A graph deeper than
+    ``max_depth``, where one is given, is an error, not a shorter answer.
     """
     views = relations.filter(~F.col("is_stored")).select("name")
     arcs = edges.select("parent", "child").distinct().join(views, F.col("parent") == F.col("name"), "left_semi")
@@ -53,7 +56,9 @@ def view_chain_hops(
     def settled_views() -> DataFrame:
         return spark.read.schema("view_name string, min_hops_to_table int").parquet(*paths)
 
-    for start in range(0, max_depth, steps_per_round):
+    for start in count(0, steps_per_round):
+        if max_depth is not None and start >= max_depth:
+            raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")
         end, reached = start + steps_per_round, None
         for hops in range(start + 1, end + 1):
             views_here = arcs.join(frontier, "child", "left_semi").select(F.col("parent").alias("view_name")).distinct()
@@ -70,4 +75,3 @@ def view_chain_hops(
             return settled_views()
         last = spark.read.parquet(path).filter(F.col("min_hops_to_table") == end)
         frontier = last.select(F.col("view_name").alias("child"))
-    raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")
