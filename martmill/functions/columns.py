@@ -7,7 +7,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 # Fixed value: the text that stands for NULL inside a surrogate key.
 NULL_KEY_TEXT = "_dbt_utils_surrogate_key_null_"
@@ -177,7 +176,3 @@ def mask_column(c: ColumnLike, is_member: Column | bool, redacted: str = "REDACT
 def safe_ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
     """Division that gives NULL for a zero or NULL denominator."""
     return F.try_divide(as_column(numerator), as_column(denominator))
-
-
-def is_decimal(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, DecimalType)

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martmill.functions.calendar import date_spine
 from martmill.functions.columns import (
