@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martmill.llm import html, langid, mix, pack, shard, syncmers, topk
+from martmill.llm import html, jaccard, langid, mix, pack, shard, syncmers, topk
 from martmill.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,27 @@ def op6_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+@_query(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.other = l.u
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id
+FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
+""")
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under shingle similarity of 0.75."""
+    return jaccard.join_components(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix of sources."""
