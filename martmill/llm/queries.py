@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martmill.llm import html, jaccard, langid, mix, pack, shard, syncmers, topk
+from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk
 from martmill.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,12 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document, learned from those whose remainder is not 0."""
+    return mixlm.scores(_table(spark, sf_dir, "documents"), _held("doc_id", 10) == 0)
+
+
 @_query()
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix of sources."""
