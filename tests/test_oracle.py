@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import verification
 from tools.compare import TABLES, compare
 
 ROOT = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+verification.load_all()
+QUERIES, ORACLE = verification.QUERIES, verification.ORACLE
 
 @pytest.fixture(scope="module")
 def con():
@@ -25,6 +27,7 @@ def test_query(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
