@@ -46,42 +46,65 @@ def letter_vectors(codes: np.ndarray, dim: int = DIM) -> np.ndarray:
     return np.unpackbits(x.view(np.uint8), axis=1).astype(np.int8) * 2 - 1
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Rows of three code points; none if the text has no letter."""
+def letters_of(text: str) -> np.ndarray:
+    """The letters of a text as code points, with one blank for every run of other characters and at both ends."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    codes = np.where(_is_letter()[codes], codes, BLANK)
-    codes = np.concatenate(([BLANK], codes, [BLANK])).astype(np.int64)
-    codes = codes[np.concatenate(([True], (codes[1:] != BLANK) | (codes[:-1] != BLANK)))]
-    if len(codes) < 3:
-        return np.zeros((0, 3), np.int64)
-    return np.stack([codes[:-2], codes[1:-1], codes[2:]], axis=1)
+    codes = np.where(_is_letter()[codes], codes, np.uint32(BLANK))
+    codes = np.concatenate((np.array([BLANK], np.uint32), codes, np.array([BLANK], np.uint32)))
+    return codes[np.concatenate(([True], (codes[1:] != BLANK) | (codes[:-1] != BLANK)))]
 
 
-def bundles(texts: list[str | None], dim: int = DIM, block: int = 64, long_text: int = 4_000_000) -> Iterator[tuple[int, np.ndarray]]:
-    """(position, vectors) of runs of texts: whole-numbered sums, as doubles, zero where a text has no letters."""
+def _numbered(values: np.ndarray, limit: int = 4_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the position of each value among them."""
+    if not len(values) or values.max() > limit:
+        return np.unique(values, return_inverse=True)
+    present = np.zeros(int(values.max()) + 1, bool)
+    present[values] = True
+    return np.flatnonzero(present), (np.cumsum(present, dtype=np.int32) - 1)[values]
+
+
+def gram_counts(texts: list[str | None], groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigrams, as rows of three code points, and how often each occurs: [group, trigram].
+
+    Every text is a group of its own unless ``groups`` numbers them.
+    """
+    parts = [letters_of(t) if t else np.zeros(0, np.uint32) for t in texts]
+    groups = np.arange(len(texts)) if groups is None else groups
+    n = int(groups.max(initial=-1)) + 1
+    parts, groups = [p for p in parts if len(p) > 2], groups[[len(p) > 2 for p in parts]]
+    if not parts:
+        return np.zeros((0, 3), np.int64), np.zeros((n, 0))
+    lengths = np.array([len(p) for p in parts])
+    letters, place = _numbered(np.concatenate(parts))
+    size = np.int64(len(letters))
+    place = place.astype(np.int32 if size**3 < 2**31 else np.int64)
+    ids = (place[:-2] * place.dtype.type(size) + place[1:-1]) * place.dtype.type(size) + place[2:]
+    inside = np.ones(len(place), bool)  # a trigram does not reach into the next text
+    ends = np.cumsum(lengths)
+    inside[ends - 1] = inside[ends - 2] = False
+    distinct, of = _numbered(ids[inside[:-2]])
+    owner = np.repeat(groups, lengths - 2)
+    counts = np.bincount(owner * np.int64(len(distinct)) + of, minlength=n * len(distinct)).reshape(n, len(distinct))
+    return np.stack([letters[distinct // size**2], letters[distinct // size % size], letters[distinct % size]], axis=1), counts
+
+
+def bundle(grams: np.ndarray, counts: np.ndarray, dim: int = DIM, block: int = 4096) -> np.ndarray:
+    """The sums of trigram vectors by group: whole numbers, as doubles, and exact in any order."""
+    out = np.zeros((len(counts), dim))
+    kind = np.float32 if counts.sum(axis=1).max(initial=0) < 2**24 else np.float64
+    letters, place = _numbered(grams.ravel())
+    place, table = place.reshape(grams.shape), letter_vectors(letters, dim)
+    once, twice = np.roll(table, 1, axis=1), np.roll(table, 2, axis=1)
+    for a in range(0, len(grams), block):
+        first, second, third = place[a : a + block].T
+        out += counts[:, a : a + block].astype(kind) @ (twice[first] * once[second] * table[third]).astype(kind)
+    return out
+
+
+def bundles(texts: list[str | None], dim: int = DIM, block: int = 128) -> Iterator[np.ndarray]:
+    """The vectors of runs of texts; zero where a text has no letters."""
     for a in range(0, len(texts), block):
-        grams = [trigrams(t) if t else np.zeros((0, 3), np.int64) for t in texts[a : a + block]]
-        counts = [len(g) for g in grams]
-        every = np.concatenate(grams)
-        if not len(every):
-            yield a, np.zeros((len(grams), dim))
-            continue
-        letters, place = np.unique(every, return_inverse=True)
-        place = place.reshape(every.shape)
-        ids = (place[:, 0] * len(letters) + place[:, 1]) * len(letters) + place[:, 2]
-        distinct, of = np.unique(ids, return_inverse=True)
-        kind = np.float32 if max(counts) < long_text else np.float64  # sums of whole numbers stay exact
-        sums = np.zeros((len(grams), dim))
-        table = letter_vectors(letters, dim)
-        doc = np.repeat(np.arange(len(grams)), counts)
-        for g in range(0, len(distinct), 4096):
-            own = distinct[g : g + 4096]
-            first, second, third = own // len(letters) ** 2, own // len(letters) % len(letters), own % len(letters)
-            vectors = np.roll(table, 2, axis=1)[first] * np.roll(table, 1, axis=1)[second] * table[third]
-            here = (of >= g) & (of < g + 4096)
-            weights = np.bincount(doc[here] * len(own) + of[here] - g, minlength=len(grams) * len(own)).reshape(len(grams), len(own))
-            sums += weights.astype(kind) @ vectors.astype(kind)
-        yield a, sums
+        yield bundle(*gram_counts(texts[a : a + block]), dim)
 
 
 def prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM) -> tuple[list[str], np.ndarray]:
@@ -93,11 +116,11 @@ def prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dim: int =
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs = np.array(batch.column(1).to_pylist(), object)
-            for a, vectors in bundles(batch.column(0).to_pylist(), dim):
-                own = langs[a : a + len(vectors)]
-                for name in set(own):
-                    sums[name] = sums.get(name, 0) + vectors[own == name].sum(axis=0)
+            names, of = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
+            for a in range(0, batch.num_rows, 512):
+                vectors = bundle(*gram_counts(batch.column(0).slice(a, 512).to_pylist(), of[a : a + 512]), dim)
+                for name, vector in zip(names, vectors):
+                    sums[name] = sums.get(name, 0) + vector
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.astype(np.int64).tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "vector"])
 
@@ -126,7 +149,7 @@ def predict(df: DataFrame, langs: list[str], vectors: np.ndarray, text: str = "t
         names, directions = sent.value
         for batch in batches:
             best, score = [], []
-            for _, sums in bundles(batch.column("_text").to_pylist(), dim):
+            for sums in bundles(batch.column("_text").to_pylist(), dim):
                 norms = np.linalg.norm(sums, axis=1)
                 if not names:
                     best += [UNDETERMINED] * len(sums)
