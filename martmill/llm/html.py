@@ -368,7 +368,9 @@ def label(net, pages: list[list[Block]], budget: int = 6_000) -> list[np.ndarray
 
 def sample_texts(df: DataFrame, html: str = "html", rows: int = 200) -> list[str]:
     """Block texts of at most ``rows`` pages, those with the smallest hash: material for the training layouts."""
-    picked = df.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h"), F.substring(html, 1, 20_000).alias("html")).orderBy("h", "html").limit(rows).collect()
+    hashed = df.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h"), F.substring(html, 1, 20_000).alias("html"))
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(rows).collect()]  # only numbers are sorted
+    picked = hashed.where(F.col("h") <= least[-1]).dropDuplicates(["h"]).orderBy("h").collect() if least else []
     texts = [b.text for r in picked for b in blocks(r["html"])]
     return [t for t in texts if len(t.split()) > 3] or texts
 
