@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk
+from martmill.llm.ship import shipped
 from martmill.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +27,7 @@ def _query(sql: str | None = None):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(tune(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _held(key: str, modulus: int):
