@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martmill.llm import jaccard, langid, mix, pack
+from martmill.llm.ship import shipped
 from martmill.session import materialise, tune
 
 ORACLE_SQL = None  # a tokenizer and random letter vectors are beyond SQL; tests/llm holds each stage against brute force
@@ -22,6 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The profiles are learned from the documents with a language; a text with letters is never rejected for looking
     unlike any of them, so that short and mixed clean texts stay.
     """
+    shipped(spark)
     langs, vectors = langid.prototypes(docs)
     if not langs:  # nothing to tell languages by
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -30,6 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id. Texts without words are no copies."""
+    shipped(spark)
     rows = materialise(jaccard.labelled(docs), "pipeline-groups")
     here = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id"), F.col("mark"))
     first = rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(here).alias("kept")).select("kept.mark").withColumn("single", F.lit(True))
@@ -50,6 +53,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens."""
+    shipped(spark)
     return pack.pack(pack.cut(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
