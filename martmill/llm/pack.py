@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,44 +31,99 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class WordTokenizer:
-    """Ids of whole texts from a tokenizer that drops white space: each distinct word is encoded once.
+    """Ids of whole texts from a lower-casing tokenizer that drops white space: each distinct word is encoded once.
 
-    Such a tokenizer never joins text across white space, so a text's ids are those of its words in order. The words
-    kept are bounded by ``keep_bytes``; beyond that the store starts afresh.
+    Such a tokenizer never joins text across white space, so a text's ids are those of its words in order, and A-Z may
+    be lowered first (but for texts with the marks of special tokens, which are matched before lowering). Words and ids
+    are kept up to ``keep`` words, then the store starts afresh; a word's number is its place in the store.
     """
 
-    def __init__(self, path: str, keep_bytes: int = 48_000_000) -> None:
+    def __init__(self, path: str, keep: int = 1_500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode_batch, self.keep_bytes, self.known, self.held = Tokenizer.from_file(path).encode_batch, keep_bytes, {}, 0
-
-    def ids(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            for w, e in zip(new, self.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                known[w] = tuple(e.ids)
-            self.held += sum(map(len, new)) + 150 * len(new)
-        out = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.uint32)
-        if self.held > self.keep_bytes:
-            self.known, self.held = {}, 0
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.keep, self.ends = tokenizer.encode_batch_fast, keep, None
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            self.ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+            self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: defaultdict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.ids, self.count, self.first = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.used = 0
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Words of letters alone are encoded many in one text and told apart by the ids that end a
+        word, if the vocabulary marks these."""
+        plain = [i for i, w in enumerate(words) if w.isalpha()] if self.ends is not None else []
+        out: list = [None] * len(words)
+        for a in range(0, len(plain), 512):
+            part = plain[a : a + 512]
+            ids = np.array(self.encode([" ".join([words[i] for i in part])], add_special_tokens=False)[0].ids)
+            lists = np.split(ids, np.flatnonzero(self.ends[ids]) + 1)[:-1]
+            if len(lists) == len(part):
+                for i, own in zip(part, lists):
+                    out[i] = own
+        rest = [i for i, own in enumerate(out) if own is None]
+        for i, e in zip(rest, self.encode([words[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
         return out
 
+    def _learn(self, words: list[bytes]) -> None:
+        lists = self._encoded([w.decode() for w in words])
+        old, count = len(self.known) - len(words), np.fromiter(map(len, lists), np.int32, len(lists))
+        more = np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum()))
+        for name, size in (("ids", self.used + len(more)), ("count", old + len(words)), ("first", old + len(words))):
+            if size > len(getattr(self, name)):
+                setattr(self, name, np.resize(getattr(self, name), 2 * size))
+        self.ids[self.used : self.used + len(more)] = more
+        self.count[old : old + len(words)] = count
+        self.first[old : old + len(words)] = self.used + np.cumsum(count) - count
+        self.used += len(more)
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        if len(self.known) > self.keep:
+            self.forget()
+        old, number, places = len(self.known), self.known.__getitem__, []
+        for text in texts:
+            words = (text.encode("utf-8", "replace") if "<|" in text else text.encode("utf-8", "replace").lower()).split()
+            places.append(np.fromiter(map(number, words), np.int64, len(words)))
+        if len(self.known) > old:
+            self._learn(list(islice(reversed(self.known), len(self.known) - old))[::-1])
+        for at in places:
+            count = self.count[at]
+            yield self.ids[np.repeat(self.first[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def _tokenizer(path: str) -> WordTokenizer:
+    """One store per worker process, kept from task to task."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
 
 def cut(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 1) -> DataFrame:
     """The pieces of every document: full sequences and a rest, the end token included."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
-        for batch in batches:
+        tokenizer = _tokenizer(tokenizer_path)
+        for whole in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(tokenizer.ids(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
-                for a in range(0, len(ids), capacity):
-                    piece = ids[a : a + capacity]
-                    rows.append((doc_id, a, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+            for part in (whole.slice(a, 128) for a in range(0, whole.num_rows, 128)):
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for doc_id, ids in zip(part.column(0).to_pylist(), tokenizer(texts)):
+                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    for a in range(0, len(ids), capacity):
+                        piece = ids[a : a + capacity]
+                        rows.append((doc_id, a, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5,
                                              ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
