@@ -159,8 +159,13 @@ def project_version(df: DataFrame, exclude: Sequence[str] = (), rename: Mapping[
     return df.drop(*exclude)
 
 
-def compare_expected(actual: DataFrame, expected: DataFrame) -> None:
-    """Fail unless both small frames hold the same rows, in any order. For given/expect tests."""
-    from pyspark.testing import assertDataFrameEqual
-
-    assertDataFrameEqual(actual, expected, checkRowOrder=False)
+def compare_expected(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """The rows that differ between two frames of the same columns, in any order: each with the ``side`` that has more
+    of it and how many ``times`` more. Nulls are equal. Both sides are read once and counted before they are shuffled."""
+    columns = actual.columns
+    if sorted(columns) != sorted(expected.columns):
+        raise ValueError(f"columns differ: {columns} and {expected.columns}")
+    both = actual.withColumn("_n", F.lit(1)).unionByName(expected.withColumn("_n", F.lit(-1)))
+    counted = both.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    side = F.when(F.col("_n") > 0, "actual").otherwise("expected")
+    return counted.withColumns({"side": side, "times": F.abs("_n")}).drop("_n")

@@ -20,10 +20,15 @@ def scan_source(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def load_seed_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A CSV file with a header row, typed by ``schema``; blanks after the commas are dropped."""
+    """A CSV file with a header row, typed by ``schema``; blanks after the commas are dropped.
+
+    Header names other than the schema's, in its order, and values of another type make the read fail.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)

@@ -58,33 +58,33 @@ def test_rfm_metrics(spark, rows):
     assert rows(R.rfm_metrics(_lines(spark))) == [("c1", 15, 2, 16), ("c2", 11, 1, 0)]
 
 
-def _segments_in_pandas(metrics):
-    """The scores and segments computed directly, row by row."""
-    df = metrics.sort_values("customer_id").reset_index(drop=True)
-    cut = lambda c, labels: pd.qcut(df[c].rank(method="first"), q=5, labels=labels).astype(int)
-    df["r"] = cut("recency_days", [5, 4, 3, 2, 1])
-    df["f"] = cut("order_frequency", [1, 2, 3, 4, 5])
-    df["m"] = cut("lifetime_value", [1, 2, 3, 4, 5])
-    df["rfm_score"] = df["r"].astype(str) + df["f"].astype(str) + df["m"].astype(str)
-    names = []
-    for r, f in zip(df["r"], df["f"]):
-        if min(r, f) >= 4:
-            names.append("Champions")
-        elif min(r, f) >= 3:
-            names.append("Loyal Customers")
-        else:
-            names.append({1: "Hibernating", 2: "At-Risk"}.get(r, "Potential Loyalists"))
-    df["customer_segment"] = names
-    return df[["customer_id", "rfm_score", "customer_segment"]]
-
-
-@pytest.mark.parametrize("n", [7, 64, 503])
-def test_segments(spark, n):
-    data = [(f"c{i:04d}", (i * 31) % 19, 1 + (i * 17) % 7, float((i * 13) % 23)) for i in range(n)]
+# Segment by recency score (rows 1 to 5) and frequency score (columns 1 to 5), written out.
+SEGMENTS = [
+    ["Hibernating", "Hibernating", "Hibernating", "Hibernating", "Hibernating"],
+    ["At-Risk", "At-Risk", "At-Risk", "At-Risk", "At-Risk"],
+    ["Potential Loyalists", "Potential Loyalists", "Loyal Customers", "Loyal Customers", "Loyal Customers"],
+    ["Potential Loyalists", "Potential Loyalists", "Loyal Customers", "Champions", "Champions"],
+    ["Potential Loyalists", "Potential Loyalists", "Loyal Customers", "Champions", "Champions"],
+]
+
+
+def test_every_pair_of_scores_has_its_segment(spark):
+    """25 customers, one for each pair of scores: recency falls with the first digit, frequency grows with the second."""
+    data = [(f"{r}{f}", 10 * (6 - r), f, float(5 * r + f)) for r in range(1, 6) for f in range(1, 6)]
     df = spark.createDataFrame(data, "customer_id string, recency_days int, order_frequency bigint, lifetime_value double")
-    got = R.rfm_segments(df).orderBy("customer_id").toPandas()
-    want = _segments_in_pandas(df.toPandas())
-    assert got[["customer_id", "rfm_score", "customer_segment"]].values.tolist() == want.values.tolist()
+    got = {x["customer_id"]: x for x in R.rfm_segments(df).collect()}
+    for r in range(1, 6):
+        for f in range(1, 6):
+            assert got[f"{r}{f}"]["customer_segment"] == SEGMENTS[r - 1][f - 1]
+            assert got[f"{r}{f}"]["rfm_score"] == f"{r}{f}{r}"  # lifetime value grows with recency first
+
+
+def test_scores_of_seven_by_hand(spark):
+    """Cut points of 7 ranks lie at 2.2, 3.4, 4.6 and 5.8: ranks 1 and 2, 3, 4, 5, 6 and 7. Ties go by customer."""
+    data = [("a", 9, 4, 1.0), ("b", 9, 4, 1.0), ("c", 9, 4, 1.0), ("d", 9, 4, 1.0), ("e", 9, 4, 1.0), ("f", 9, 4, 1.0), ("g", 9, 4, 1.0)]
+    df = spark.createDataFrame(data, "customer_id string, recency_days int, order_frequency bigint, lifetime_value double")
+    got = [x["rfm_score"] for x in R.rfm_segments(df).orderBy("customer_id").collect()]
+    assert got == ["511", "511", "422", "333", "244", "155", "155"]
 
 
 def test_segment_summary_skips_the_customer_table(spark):
