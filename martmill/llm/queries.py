@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk
+from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk, warc
 from martmill.llm.ship import shipped
 from martmill.session import tune
 
@@ -75,6 +75,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.drop("lang"), langs, vectors).select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+@_query()
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metadata record and a plain-text conversion record of every page's response."""
+    return warc.derive(warc.responses(_table(spark, sf_dir, "pages")), keep=("page_id", "url"))
+
+
 @_query()
 def op6_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
