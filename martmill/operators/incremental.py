@@ -9,10 +9,13 @@ target is assumed.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from martmill.operators.aggregates import latest_per_key
 from martmill.operators.joins import anti_key, filter_above_max
@@ -21,6 +24,9 @@ from martmill.session import materialise
 # Fixed value: where an inclusive high-water mark starts on an empty target.
 EPOCH_DAY = "1900-01-01"
 
+# A batch of a stream: the stream's id and the batch's number.
+Mark = tuple[str, int]
+
 
 # ---- which rows of the delta qualify -------------------------------------------------
 
@@ -55,6 +61,14 @@ def append_new_columns(target: DataFrame, delta: DataFrame) -> DataFrame:
     return target.unionByName(delta, allowMissingColumns=True)
 
 
+def one_per_key(delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row with the greatest ``order`` of every key; rows with a NULL key all stay."""
+    has_key = F.lit(True)
+    for key in keys:
+        has_key = has_key & F.col(key).isNotNull()
+    return latest_per_key(delta.filter(has_key), keys, order).unionByName(delta.filter(~has_key))
+
+
 def upsert_merge(
     target: DataFrame, delta: DataFrame, keys: str | Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
@@ -66,10 +80,7 @@ def upsert_merge(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if order:
-        has_key = F.lit(True)
-        for key in keys:
-            has_key = has_key & F.col(key).isNotNull()
-        delta = latest_per_key(delta.filter(has_key), keys, order).unionByName(delta.filter(~has_key))
+        delta = one_per_key(delta, keys, order)
     kept = target.join(delta.select(*keys), keys, "left_anti")
     return append_new_columns(kept, delta)
 
@@ -116,60 +127,144 @@ def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(n for n in names if n.startswith(prefix))
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, wherever it lies."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _evolved(old: StructType | None, new: StructType) -> StructType:
+    """The columns of both, all nullable; a column may be new but not change its type."""
+    fields = {f.name: f.dataType for f in (old.fields if old else [])}
+    for f in new.fields:
+        if fields.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is {fields[f.name].simpleString()} in the table and {f.dataType.simpleString()} in the load")
+    return StructType([StructField(name, kind, True) for name, kind in fields.items()])
+
+
+class _CommitLog:
+    """What a table consists of: numbered records in ``_log``, of which the last one counts.
+
+    A record is written under another name and renamed, so it is there as a whole or not at all. The first
+    record opens the table before any row is written; a folder with content but no record is somebody else's.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+        self.folder = f"{path}/_log"
+
+    def _numbers(self) -> list[int]:
+        names = _children(self.spark, self.folder, "")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def latest(self) -> dict:
+        numbers = self._numbers()
+        if numbers:
+            return json.loads(read_text(self.spark, f"{self.folder}/{numbers[-1]:012d}.json"))
+        if [n for n in _children(self.spark, self.path, "") if n != "_log"]:
+            raise ValueError(f"{self.path} holds files but no commit record; it is not overwritten")
+        return {"schema": None, "parts": {}, "streams": {}}
+
+    def schema(self, state: dict) -> StructType | None:
+        return StructType.fromJson(state["schema"]) if state["schema"] else None
+
+    def commit(self, state: dict) -> None:
+        number = max(self._numbers(), default=-1) + 1
+        fs, whole = _fs(self.spark, f"{self.folder}/{number:012d}.json")
+        _, part = _fs(self.spark, f"{self.folder}/.{number:012d}-{uuid.uuid4().hex}")
+        out = fs.create(part, False)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if fs.exists(whole) or not fs.rename(part, whole):
+            raise RuntimeError(f"another load has changed {self.path}")
+
+    def open(self) -> dict:
+        """The state a load starts from."""
+        state = self.latest()
+        if not self._numbers():
+            self.commit(state)
+        return state
+
+    def holds(self, mark: Mark) -> bool:
+        """Whether a batch of a stream, named by the stream's id and its number, has been committed."""
+        return any(s["id"] == mark[0] and s["last"] >= mark[1] for s in self.latest()["streams"].values())
+
+
+def _marked(streams: dict, mark: Mark | None, name: str | None = None) -> dict:
+    return streams if mark is None else streams | {name or mark[0]: {"id": mark[0], "last": mark[1], "folded": False}}
+
+
 class StoredTable:
     """A table kept as numbered directories: ``base=n`` holds a whole table, ``add=n`` rows added since.
 
-    Spark writes ``_SUCCESS`` last, so a directory exists for readers only once it is whole: a failed
-    load changes nothing and can be run again, and a load may read what it replaces.
+    The commit log lists the directories, their columns and the batches of streams they hold. A failed load
+    changes nothing and can be run again, and a load may read what it replaces.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-
-    def _numbered(self, committed: bool) -> list[tuple[int, str]]:
-        out = []
-        for prefix in ("base=", "add="):
-            for name in _children(self.spark, self.path, prefix):
-                fs, marker = _fs(self.spark, f"{self.path}/{name}/_SUCCESS")
-                if not committed or fs.exists(marker):
-                    out.append((int(name[len(prefix):]), name))
-        return sorted(out)
-
-    def _live(self) -> list[str]:
-        names = [name for _, name in self._numbered(committed=True)]
-        bases = [i for i, name in enumerate(names) if name.startswith("base=")]
-        return names[bases[-1]:] if bases else []
+        self.log = _CommitLog(spark, self.path)
 
     def read(self) -> DataFrame | None:
-        """The table as of the last load, or None before the first one."""
-        parts = [self.spark.read.parquet(f"{self.path}/{name}") for name in self._live()]
-        if not parts:
+        """The table as of the last load, in one scan, or None before the first one."""
+        state = self.log.latest()
+        schema = self.log.schema(state)
+        if schema is None:
             return None
-        out = parts[0]
-        for part in parts[1:]:
-            out = append_new_columns(out, part)
-        return out
-
-    def _write(self, df: DataFrame, kind: str) -> None:
-        taken = self._numbered(committed=False)
-        number = (taken[-1][0] if taken else 0) + 1
-        df.write.mode("errorifexists").parquet(f"{self.path}/{kind}={number}")
-
-    def replace(self, df: DataFrame) -> None:
-        self._write(df, "base")
-
-    def append(self, df: DataFrame) -> None:
-        """Add rows without touching the stored ones. New columns read as NULL in older rows."""
-        self._write(df, "add" if self._live() else "base")
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}" for name in state["parts"]])
+
+    def _write(self, df: DataFrame, kind: str) -> str:
+        taken = [int(n.partition("=")[2]) for prefix in ("base=", "add=") for n in _children(self.spark, self.path, prefix)]
+        name = f"{kind}={max(taken, default=0) + 1}"
+        df.write.mode("errorifexists").parquet(f"{self.path}/{name}")
+        return name
+
+    def replace(self, df: DataFrame, mark: Mark | None = None) -> None:
+        """A new whole table. Rows that streams have added are part of it from now on."""
+        state = self.log.open()
+        schema = _evolved(None, df.schema)
+        named = {stream for stream in state["parts"].values() if stream}
+        streams = {name: s | {"folded": s["folded"] or name in named} for name, s in state["streams"].items()}
+        self.log.commit({"schema": schema.jsonValue(), "parts": {self._write(df, "base"): None}, "streams": _marked(streams, mark)})
+
+    def append(self, df: DataFrame, mark: Mark | None = None, stream: str | None = None) -> None:
+        """Add rows without touching the stored ones. New columns read as NULL in older rows.
+
+        ``stream`` names the stream a batch comes from. If that stream starts anew, with another id, the rows of
+        its earlier life are left out from then on, as it delivers them again.
+        """
+        state = self.log.open()
+        schema = _evolved(self.log.schema(state), df.schema)
+        parts, known = state["parts"], state["streams"].get(stream)
+        if stream and known and known["id"] != mark[0]:
+            if known["folded"]:
+                raise ValueError(f"stream {stream} starts anew, but its rows can no longer be told from others")
+            parts = {name: source for name, source in parts.items() if source != stream}
+        parts = parts | {self._write(df, "add" if parts else "base"): stream}
+        self.log.commit({"schema": schema.jsonValue(), "parts": parts, "streams": _marked(state["streams"], mark, stream)})
+
+    def compact(self) -> None:
+        """Rewrite many additions as one directory."""
+        if len(self.log.latest()["parts"]) > 1:
+            self.replace(self.read())
 
     def prune(self) -> None:
         """Delete the directories the table no longer reads."""
-        live = set(self._live())
-        for _, name in self._numbered(committed=True):
+        live = self.log.latest()["parts"]
+        for name in _children(self.spark, self.path, "base=") + _children(self.spark, self.path, "add="):
             if live and name not in live:
-                fs, path = _fs(self.spark, f"{self.path}/{name}")
-                fs.delete(path, True)
+                _delete(self.spark, f"{self.path}/{name}")
 
 
 def load_incremental(
@@ -180,13 +275,14 @@ def load_incremental(
     """One run of an incremental model: the whole input the first time, a delta after that.
 
     ``build`` gets the current target, or None on the first run, and returns the rows to load. They
-    are appended, or, with ``merge``, combined with the target into a new whole table. A merge
-    uses its delta twice, so the delta is stored first.
+    are appended, or, with ``merge``, combined with the target into a new whole table; the first run merges them
+    into an empty one, so that repeated keys follow one rule. A merge uses its delta twice, so the delta is stored
+    first. It rewrites the whole target: large targets belong into a ``PeriodTable``.
     """
     target = table.read()
     rows = build(target)
     if target is None:
-        table.replace(rows)
+        table.replace(rows if merge is None else merge(rows.limit(0), rows))
     elif merge is None:
         table.append(rows)
     else:
@@ -200,12 +296,9 @@ _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 class PeriodTable:
     """A table partitioned by a date column that holds the first day of each period.
 
-    The period is whatever the caller truncates to: days, months. ``keys`` identify a row for upserts and
-    spread a large period over several tasks. Loads rewrite the touched periods only.
-
-    Swapping several partitions is not one atomic step. So every change is written to a side folder first,
-    together with the list of periods it replaces, and then swapped in; a swap that was cut
-    short is completed by the next load before it looks at the table.
+    The period is whatever the caller truncates to: days, months. ``keys`` identify a row for upserts. Each load
+    writes the touched periods, and only those, into a folder of its own; the commit log says for every period
+    which folder holds it, and which columns there are. A load shows as a whole or not at all.
     """
 
     def __init__(self, spark: SparkSession, path: str, period: str, keys: Sequence[str]):
@@ -213,45 +306,56 @@ class PeriodTable:
         self.path = path.rstrip("/")
         self.period = period
         self.keys = list(keys)
-        self._pending = f"{self.path}/_pending"
-
-    def _exists(self) -> bool:
-        """Whether the first load was completed; a first load that broke off counts for nothing."""
-        fs, marker = _fs(self.spark, f"{self.path}/_SUCCESS")
-        return fs.exists(marker)
+        self.log = _CommitLog(spark, self.path)
 
     def periods(self) -> list[str]:
         """The periods with rows, in order; rows without a period are not listed."""
-        if not self._exists():
-            return []
-        names = [n[len(self.period) + 1:] for n in _children(self.spark, self.path, f"{self.period}=")]
-        return [n for n in names if n != _NULL_DIR]
+        return sorted(p for p in self.log.latest()["parts"] if p != _NULL_DIR)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def read(self) -> DataFrame | None:
+        """The table as of the last load, or None before the first one. Columns a load lacked read as NULL."""
+        state = self.log.latest()
+        schema = self.log.schema(state)
+        if schema is None:
+            return None
+        paths = [f"{self.path}/{folder}/{self.period}={p}" for p, folder in sorted(state["parts"].items())]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths).select(*schema.names)
 
     def last_period(self) -> DataFrame | None:
-        """The rows of the latest period, which holds the high-water mark, or None for a new table."""
-        self._finish()
-        periods = self.periods()
-        if not periods:
+        """The rows of the latest period, which holds the high-water mark; no rows if the table is empty, None
+        if it was never loaded."""
+        table, periods = self.read(), self.periods()
+        if table is None:
             return None
-        return self.read().filter(F.col(self.period).cast("string") == periods[-1])
-
-    def _write(self, df: DataFrame, mode: str) -> None:
-        # Range partitioning on the period and then the key: few periods per task, hence few files,
-        # while a period with very many rows still goes to several tasks.
-        (
-            df.repartitionByRange(self.period, *self.keys)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy(self.period)
-            .parquet(self.path)
-        )
-
-    def _delete(self, path: str) -> None:
-        fs, jpath = _fs(self.spark, path)
-        fs.delete(jpath, True)
+        return table.filter(F.col(self.period).cast("string") == periods[-1]) if periods else table.limit(0)
+
+    def _store(self, rows: DataFrame) -> tuple[str, dict[str, str]]:
+        """Write rows into a new folder; returns its name and the periods in it.
+
+        Rows are dealt out by period and evened out by size at run time: few files per period, while a period
+        with very many rows still goes to several tasks.
+        """
+        taken = [int(n.partition("=")[2]) for n in _children(self.spark, self.path, "_load=")]
+        name = f"_load={max(taken, default=0) + 1}"
+        rows.hint("rebalance", F.col(self.period)).write.mode("errorifexists").partitionBy(self.period).parquet(f"{self.path}/{name}")
+        written = _children(self.spark, f"{self.path}/{name}", f"{self.period}=")
+        return name, {n[len(self.period) + 1:]: name for n in written}
+
+    def _load(self, rows: DataFrame, state: dict, kept: Callable[[str], bool], mark: Mark | None, unique: bool = False) -> None:
+        """Put ``rows`` in the place of every period that is not ``kept``."""
+        schema = _evolved(self.log.schema(state), rows.schema)
+        name, written = self._store(rows)
+        if unique and written:
+            self._refuse_repeats(self.spark.read.parquet(f"{self.path}/{name}"))
+        parts = {p: folder for p, folder in state["parts"].items() if kept(p)} | written
+        self.log.commit({"schema": schema.jsonValue(), "parts": parts, "streams": _marked(state["streams"], mark)})
+
+    def _refuse_repeats(self, rows: DataFrame) -> None:
+        twice = rows.dropna(subset=self.keys).groupBy(*self.keys).count().filter("count > 1").select(*self.keys).first()
+        if twice is not None:
+            raise ValueError(f"several rows for the key {tuple(twice)}; name an order that picks one")
 
     def _period_list(self, df: DataFrame) -> set[str | None]:
         # Calendar periods, not rows: at most one value per partition directory.
@@ -261,65 +365,50 @@ class PeriodTable:
         named = F.col(self.period).cast("string").isin(sorted(t for t in touched if t is not None))
         return named | F.col(self.period).isNull() if None in touched else named
 
-    def _swap(self, rows: DataFrame, touched: set[str | None]) -> None:
-        """Put ``rows`` in the place of all rows of the touched periods."""
-        rows.write.mode("overwrite").parquet(f"{self._pending}/rows")
-        listed = self.spark.createDataFrame([(t,) for t in touched], "period string").coalesce(1)
-        listed.write.mode("overwrite").parquet(f"{self._pending}/touched")
-        self._finish()
-
-    def _finish(self) -> None:
-        """Complete a swap that has been written down; repeating it does no harm."""
-        fs, marker = _fs(self.spark, f"{self._pending}/touched/_SUCCESS")
-        if not fs.exists(marker):
-            return
-        rows = self.spark.read.parquet(f"{self._pending}/rows")
-        touched = {r[0] for r in self.spark.read.parquet(f"{self._pending}/touched").collect()}
-        written = self._period_list(rows)
-        if written:
-            self._write(rows, "dynamic")
-        for period in touched - written:
-            self._delete(f"{self.path}/{self.period}={_NULL_DIR if period is None else period}")
-        self._delete(f"{self._pending}/touched")
-        self._delete(self._pending)
-
     def create(self, df: DataFrame) -> None:
-        """The first load; whatever an earlier try left behind is overwritten."""
-        self._write(df, "static")
+        """A whole new table in the place of what there is."""
+        self._load(df, self.log.open() | {"schema": None}, lambda _: False, None)
 
     def replace(self, batch: DataFrame, start: dt.date, end_exclusive: dt.date) -> None:
         """Replace the periods that begin in ``[start, end_exclusive)``; those without new rows become empty."""
         first = F.col(self.period).cast("date")
         batch = batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive)))
-        if not self._exists():
-            self.create(batch)
-            return
-        self._finish()
-        self._swap(batch, {p for p in self.periods() if str(start) <= p < str(end_exclusive)})
+        self._load(batch, self.log.open(), lambda p: not str(start) <= p < str(end_exclusive), None)
 
-    def replace_mentioned(self, batch: DataFrame) -> None:
+    def replace_mentioned(self, batch: DataFrame, mark: Mark | None = None) -> None:
         """Replace just the periods the batch has rows for."""
-        if not self._exists():
-            self.create(batch)
-            return
-        self._finish()
-        self._swap(batch, set())
+        self._load(batch, self.log.open(), lambda _: True, mark)
 
-    def upsert(self, delta: DataFrame, keys_move: bool = True) -> None:
+    def upsert(self, delta: DataFrame, keys_move: bool = True, order: Sequence[str] = (), mark: Mark | None = None) -> None:
         """Upsert by key; a key may move to another period.
 
-        A narrow pass over keys and periods finds the periods that hold replaced rows; it is left out
-        with ``keys_move=False``, for keys that never change their period. Only these periods and
+        Several rows of one key fail unless ``order`` names the columns that pick one. Rows with a NULL key are
+        inserted, never replaced. A narrow pass over keys and periods finds the periods that hold replaced rows; it is
+        left out with ``keys_move=False``, for keys that never change their period. Only these periods and
         those of the delta are rebuilt.
         """
-        if not self._exists():
-            self.create(delta)
+        state = self.log.open()
+        if order:
+            delta = one_per_key(delta, self.keys, order)
+        if state["schema"] is None:
+            self._load(delta, state, lambda _: True, mark, unique=not order)
             return
-        self._finish()
         delta = materialise(delta, "delta")
+        if not order:
+            self._refuse_repeats(delta)
         target = self.read()
         touched = self._period_list(delta)
         if keys_move:
             hit = target.select(*self.keys, self.period).join(delta.select(*self.keys), self.keys, "left_semi")
             touched |= self._period_list(hit)
-        self._swap(upsert_merge(target.filter(self._in(touched)), delta, self.keys), touched)
+        names = {_NULL_DIR if p is None else p for p in touched}
+        rows = upsert_merge(target.filter(self._in(touched)), delta, self.keys)
+        self._load(rows, state, lambda p: p not in names, mark)
+
+    def prune(self) -> None:
+        """Delete what no period is read from any more; frames read before a later load lose their files."""
+        live = {(folder, f"{self.period}={p}") for p, folder in self.log.latest()["parts"].items()}
+        for folder in _children(self.spark, self.path, "_load="):
+            for name in _children(self.spark, f"{self.path}/{folder}", f"{self.period}="):
+                if (folder, name) not in live:
+                    _delete(self.spark, f"{self.path}/{folder}/{name}")

@@ -13,7 +13,6 @@ from martmill.functions.calendar import date_spine
 from martmill.functions.columns import (
     initcap, map_codes, rename_project, round_to, scale_by, select_except, select_subset, trunc_month,
 )
-from martmill.operators.aggregates import latest_per_key
 from martmill.operators.incremental import (
     PeriodTable, StoredTable, inc_anti_key, inc_watermark_strict, load_incremental, upsert_merge,
 )
@@ -178,8 +177,7 @@ def run_fct_order_products(
     if isinstance(table, PeriodTable):
         if site.strategy != "watermark":
             raise ValueError("a fact stored by period needs the watermark strategy")
-        rows = latest_per_key(build(table.last_period()), table.keys, ["loaded_at"])
-        table.upsert(rows.withColumn(table.period, trunc_month("loaded_at")))
+        table.upsert(build(table.last_period()).withColumn(table.period, trunc_month("loaded_at")), order=["loaded_at"])
         result = table.read().drop(table.period)
     else:
         load_incremental(table, build, merge if site.strategy == "watermark" else None)

@@ -258,20 +258,38 @@ METRICS = (
 )
 
 
+# The grains of metrics that do not answer at every one, the finest first.
+GRAINS: dict[str, tuple[str | None, ...]] = {
+    "mtd_revenue": ("day", "month"),
+    **dict.fromkeys(("monthly_revenue_l1m", "mom_revenue_performance", "jaffle_market_share"), ("month",)),
+    **dict.fromkeys(("market_food_sales", "market_beverage_sales", "market_total_sales"), ("month", "quarter", "year", None)),
+}
+MARKET_ONLY = ("jaffle_market_share", "market_food_sales", "market_beverage_sales", "market_total_sales")
+
+
 def metric(
     name: str,
     items: M.SemanticModel,
     spine: DataFrame,
     market: M.SemanticModel | None = None,
     group_by: tuple[str, ...] = (),
-    grain: str | None = "day",
+    grain: str | None = "finest",
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> DataFrame:
     """The named metric by ``period`` at ``grain`` and by the asked dimensions.
 
-    ``grain=None`` gives all-time values. The offset, growth and share metrics are monthly.
+    ``grain=None`` gives all-time values, ``finest`` days or, for metrics that have none, months. What a metric
+    cannot answer raises: offset, growth and share are by month, market totals by month or longer, month to
+    date by day or by month (its last value in it), and the market knows no dimensions.
     """
+    allowed = GRAINS.get(name, ("day",))
+    if grain == "finest":
+        grain = allowed[0]
+    elif name in GRAINS and grain not in allowed:
+        raise ValueError(f"{name} has no grain {grain!r}")
+    if group_by and name in MARKET_ONLY:
+        raise ValueError(f"{name} has no dimensions")
     if name == "revenue":
         out = M.measures(items, {name: "order_item_revenue"}, grain, group_by, start, end)
         return M.join_on_spine(M.spine_periods(spine, grain, start, end), out, M.PERIOD) if grain else out
@@ -288,8 +306,10 @@ def metric(
         first = start.replace(day=1) if start else None
         daily = M.measures(items, {"revenue": "order_item_revenue"}, "day", group_by, first, end)
         days = M.bounded(spine, spine.columns[0], first, end)
-        out = M.to_date_cumulative(daily, "revenue", days, name, "month", group_by)
-        return M.bounded(out, M.PERIOD, start, end)
+        out = M.bounded(M.to_date_cumulative(daily, "revenue", days, name, "month", group_by), M.PERIOD, start, end)
+        if grain == "day":
+            return out
+        return out.groupBy(F.trunc(M.PERIOD, "month").alias(M.PERIOD), *group_by).agg(F.max_by(name, M.PERIOD).alias(name))
     if name in ("monthly_revenue_l1m", "mom_revenue_performance"):
         # The month before ``start`` is needed too, so the bounds apply to the result.
         by_month = M.measures(items, {"current_month": "order_item_revenue"}, "month", group_by)
@@ -307,7 +327,7 @@ def metric(
         total = M.measures(market, {"market_total_sales": "market_total_sales"}, "month", (), start, end)
         return M.ratio(M.join_full(ours, total, M.PERIOD), "revenue", "market_total_sales", name)
     if name in ("market_food_sales", "market_beverage_sales", "market_total_sales"):
-        return M.measures(market, {name: name}, "month" if grain == "day" else grain, (), start, end)
+        return M.measures(market, {name: name}, grain, (), start, end)
     raise KeyError(f"no metric {name!r}")
 
 

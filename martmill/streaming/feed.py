@@ -1,18 +1,18 @@
 """The incremental loads as sinks of a stream.
 
-All state lives in the target and in the stream's checkpoint. A batch that is delivered twice after a
-failure leaves the same target: merges go by key, and additions carry their batch number.
+All state lives in the target and in the stream's checkpoint. The target's commit log notes the stream and the number
+of each batch, so a batch that is delivered twice after a failure is loaded once.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martmill.operators.aggregates import latest_per_key
-from martmill.operators.incremental import PeriodTable, StoredTable, append_only, upsert_merge
+from martmill.operators.incremental import Mark, PeriodTable, StoredTable, one_per_key, read_text, upsert_merge
 from martmill.session import materialise
 
 
@@ -22,36 +22,46 @@ def drain(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint:
     query.awaitTermination()
 
 
+def _drain_once(stream: DataFrame, table: PeriodTable | StoredTable, load: Callable[[DataFrame, Mark], None], checkpoint: str) -> None:
+    """The same, leaving out batches the table holds."""
+
+    def once(batch: DataFrame, number: int) -> None:
+        mark = (json.loads(read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"], number)
+        if not table.log.holds(mark):
+            load(batch, mark)
+
+    drain(stream, once, checkpoint)
+
+
 def feed_periods(stream: DataFrame, table: PeriodTable, order: Sequence[str], checkpoint: str) -> None:
     """Upsert into a table by period; the greatest ``order`` wins within a batch."""
-    drain(stream, lambda batch, _: table.upsert(latest_per_key(batch, table.keys, order)), checkpoint)
+    _drain_once(stream, table, lambda batch, mark: table.upsert(batch, order=order, mark=mark), checkpoint)
 
 
 def feed_merge(stream: DataFrame, table: StoredTable, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> None:
-    """Upsert into a table that is replaced as a whole."""
+    """Upsert into a table that is replaced as a whole at every batch; for small targets. Large ones take ``feed_periods``."""
 
-    def load(batch: DataFrame, _: int) -> None:
-        delta = materialise(latest_per_key(batch, keys, order), "delta")
+    def load(batch: DataFrame, mark: Mark) -> None:
+        delta = materialise(one_per_key(batch, keys, order), "delta")
         target = table.read()
-        table.replace(delta if target is None else upsert_merge(target, delta, keys))
+        table.replace(delta if target is None else upsert_merge(target, delta, keys), mark)
 
-    drain(stream, load, checkpoint)
+    _drain_once(stream, table, load, checkpoint)
 
 
 def feed_replace(stream: DataFrame, table: PeriodTable, checkpoint: str) -> None:
     """Replace every period a batch mentions; for sources that deliver whole periods."""
-    drain(stream, lambda batch, _: table.replace_mentioned(batch), checkpoint)
+    _drain_once(stream, table, table.replace_mentioned, checkpoint)
 
 
-def feed_append(stream: DataFrame, table: StoredTable, batch_column: str, checkpoint: str) -> None:
-    """Add each batch once, marked with its number."""
+def feed_append(stream: DataFrame, table: StoredTable, batch_column: str, checkpoint: str, name: str) -> None:
+    """Add each batch once, marked with its number.
 
-    def load(batch: DataFrame, number: int) -> None:
-        target = table.read()
-        marked = batch.withColumn(batch_column, F.lit(number))
-        if target is None or target.filter(F.col(batch_column) == number).isEmpty():
-            table.append(marked)
-        else:
-            table.replace(append_only(target, batch, batch_column, number))
+    ``name`` tells the streams into one table apart. With a new checkpoint a stream delivers its source again from the
+    start; its earlier rows are left out from its first batch on, whatever the new borders of the batches.
+    """
+
+    def load(batch: DataFrame, mark: Mark) -> None:
+        table.append(batch.withColumn(batch_column, F.lit(mark[1])), mark, name)
 
-    drain(stream, load, checkpoint)
+    _drain_once(stream, table, load, checkpoint)

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -92,7 +93,7 @@ def test_an_unfinished_load_is_ignored(spark, path, rows):
     table = I.StoredTable(spark, path)
     table.replace(kv(spark, (1, 1)))
     table.append(kv(spark, (2, 2)))
-    os.remove(f"{path}/add=2/_SUCCESS")
+    os.remove(sorted(glob.glob(f"{path}/_log/*.json"))[-1])
     assert rows(table.read()) == [(1, 1)]
     table.append(kv(spark, (3, 3)))
     assert rows(table.read()) == [(1, 1), (3, 3)]
@@ -118,13 +119,17 @@ def test_period_table_rewrites_touched_periods_only(spark, path, rows):
     table = I.PeriodTable(spark, path, "m", ["k"])
     jan, feb, mar, apr = (dt.date(2024, n, 5) for n in (1, 2, 3, 4))
     table.upsert(_orders(spark, (1, jan, 1), (2, feb, 2), (3, mar, 3)))
-    before = {p: os.listdir(f"{path}/m={p}") for p in table.periods()}
+    files = lambda p: sorted(table.read().filter(f"m = DATE '{p}'").inputFiles())
+    before = {p: [f for f in files(p) if f"m={p}" in f] for p in table.periods()}
     assert sorted(before) == ["2024-01-01", "2024-02-01", "2024-03-01"]
     # Key 2 leaves February, key 4 is new, January is not touched.
     table.upsert(_orders(spark, (2, mar, 20), (4, apr, 4)))
     assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 3), (4, 4)]
     assert table.periods() == ["2024-01-01", "2024-03-01", "2024-04-01"]
-    assert os.listdir(f"{path}/m=2024-01-01") == before["2024-01-01"]
+    assert [f for f in files("2024-01-01") if "m=2024-01-01" in f] == before["2024-01-01"] != []
+    table.prune()
+    assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 3), (4, 4)]
+    assert len(glob.glob(f"{path}/_load=*/m=*")) == 3
     assert rows(table.last_period(), "k") == [(4,)]
 
 
@@ -155,37 +160,128 @@ def test_keys_that_never_move(spark, path, rows):
     assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 30)]
 
 
-def test_a_swap_cut_short_is_completed_first(spark, path, rows, monkeypatch):
-    """The driver dies after some partitions were swapped: the rest follows before the next load."""
+def test_a_load_that_breaks_off_changes_nothing(spark, path, rows, monkeypatch):
+    """The driver dies once before and once after the commit."""
     table = I.PeriodTable(spark, path, "m", ["k"])
     jan, feb, mar = (dt.date(2024, n, 5) for n in (1, 2, 3))
     table.create(_orders(spark, (1, jan, 1), (2, feb, 2), (3, mar, 3)))
-
-    def half_write(self, df, mode):
-        original(self, df.filter("m = DATE '2024-03-01'"), mode)
-        raise RuntimeError("driver lost")
-
-    original = I.PeriodTable._write
-    monkeypatch.setattr(I.PeriodTable, "_write", half_write)
-    with pytest.raises(RuntimeError):
-        table.upsert(_orders(spark, (1, mar, 10), (2, feb, 20), (3, mar, 30)))
-    monkeypatch.setattr(I.PeriodTable, "_write", original)
-    again = I.PeriodTable(spark, path, "m", ["k"])
-    assert rows(again.last_period(), "k", "v") == [(1, 10), (3, 30)]
+    delta = _orders(spark, (1, mar, 10), (2, feb, 20), (3, mar, 30))
+    original = I._CommitLog.commit
+
+    def lost(after):
+        def commit(self, state):
+            if after:
+                original(self, state)
+            raise RuntimeError("driver lost")
+
+        return commit
+
+    for after, wanted in ((False, [(1, 1), (2, 2), (3, 3)]), (True, [(1, 10), (2, 20), (3, 30)])):
+        monkeypatch.setattr(I._CommitLog, "commit", lost(after))
+        with pytest.raises(RuntimeError):
+            table.upsert(delta)
+        again = I.PeriodTable(spark, path, "m", ["k"])
+        assert rows(again.read(), "k", "v") == wanted
+    monkeypatch.setattr(I._CommitLog, "commit", original)
+    table.upsert(delta)
     assert rows(again.read(), "k", "v") == [(1, 10), (2, 20), (3, 30)]
     assert again.periods() == ["2024-02-01", "2024-03-01"]
 
 
-def test_a_first_load_that_broke_off_counts_for_nothing(spark, path, rows):
+def test_a_first_load_that_broke_off_counts_for_nothing(spark, path, rows, monkeypatch):
     table = I.PeriodTable(spark, path, "m", ["k"])
     jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
     table.create(_orders(spark, (1, jan, 1), (2, feb, 2)))
-    os.remove(f"{path}/_SUCCESS")
-    assert table.last_period() is None and table.periods() == []
+    os.remove(sorted(glob.glob(f"{path}/_log/*.json"))[-1])
+    assert table.last_period() is None and table.read() is None and table.periods() == []
     table.upsert(_orders(spark, (3, jan, 3)))
     assert rows(table.read(), "k") == [(3,)]
 
 
+@pytest.fixture
+def no_markers(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    yield
+    conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_tables_need_no_success_markers(spark, path, rows, no_markers):
+    jan = dt.date(2024, 1, 5)
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    table.create(_orders(spark, *[(n, jan, n) for n in range(60)]))
+    table.upsert(_orders(spark, (0, jan, 100)))
+    assert table.read().count() == 60 and not glob.glob(f"{path}/**/_SUCCESS", recursive=True)
+    stored = I.StoredTable(spark, f"{path}-stored")
+    stored.append(kv(spark, (1, 1)))
+    stored.append(kv(spark, (2, 2)))
+    assert rows(stored.read()) == [(1, 1), (2, 2)]
+
+
+@pytest.mark.parametrize("load", ["create", "upsert", "replace_mentioned"])
+def test_a_folder_without_a_record_is_not_overwritten(spark, path, load):
+    spark.range(5).write.parquet(path)
+    with pytest.raises(ValueError, match="no commit record"):
+        getattr(I.PeriodTable(spark, path, "m", ["k"]), load)(_orders(spark, (1, dt.date(2024, 1, 5), 1)))
+    with pytest.raises(ValueError, match="no commit record"):
+        I.StoredTable(spark, path).append(kv(spark, (1, 1)))
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_columns_that_arrive_later_survive(spark, path, rows):
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
+    table.upsert(_orders(spark, (1, jan, 1), (2, feb, 2)))
+    table.upsert(_orders(spark, (3, feb, 3)).withColumn("w", F.lit("x")))
+    table.upsert(_orders(spark, (4, feb, 4), (1, jan, 5)))
+    assert rows(table.read(), "k", "v", "w") == [(1, 5, None), (2, 2, None), (3, 3, "x"), (4, 4, None)]
+    with pytest.raises(ValueError, match="column v"):
+        table.upsert(_orders(spark, (4, feb, 4)).withColumn("v", F.lit("text")))
+
+
+def test_empty_loads_and_emptied_tables(spark, path, rows):
+    jan = dt.date(2024, 1, 5)
+    for n, first in enumerate((_orders(spark, (1, jan, 1)).limit(0), _orders(spark, (1, jan, 1)))):
+        table = I.PeriodTable(spark, f"{path}-{n}", "m", ["k"])
+        assert table.read() is None and table.last_period() is None
+        table.upsert(first)
+        table.replace(first.limit(0), dt.date(2024, 1, 1), dt.date(2025, 1, 1))
+        assert rows(table.read()) == [] and table.read().columns == first.columns and table.periods() == []
+        fresh = _orders(spark, (2, jan, 2))
+        assert rows(I.inc_watermark_strict(fresh, table.last_period(), "v")) == []
+        stored = I.StoredTable(spark, f"{path}-{n}-stored")
+        stored.replace(first.limit(0))
+        assert rows(I.inc_watermark_strict(fresh, stored.read(), "v")) == []
+        table.upsert(fresh)
+        assert rows(table.read(), "k") == [(2,)]
+
+
+def test_one_rule_for_keys(spark, path, rows):
+    """Repeated keys fail without an order, on first and later loads; rows without a key all stay."""
+    jan = dt.date(2024, 1, 5)
+    twice = _orders(spark, (1, jan, 1), (1, jan, 2), (None, jan, 3), (None, jan, 3))
+    table = I.PeriodTable(spark, path, "m", ["k"])
+    with pytest.raises(ValueError, match="several rows"):
+        table.upsert(twice)
+    assert table.read() is None
+    table.upsert(twice, order=["v"])
+    with pytest.raises(ValueError, match="several rows"):
+        table.upsert(twice)
+    assert rows(table.read(), "k", "v") == [(1, 2), (None, 3), (None, 3)]
+    table.upsert(_orders(spark, (1, jan, 9), (None, jan, 4)))
+    assert rows(table.read(), "k", "v") == [(1, 9), (None, 3), (None, 3), (None, 4)]
+
+
+def test_compaction(spark, path, rows):
+    table = I.StoredTable(spark, path)
+    for n in range(4):
+        table.append(kv(spark, (n, n)))
+    assert len(table.log.latest()["parts"]) == 4
+    table.compact()
+    table.prune()
+    assert len(table.log.latest()["parts"]) == 1 and rows(table.read()) == [(n, n) for n in range(4)]
+
+
 @pytest.mark.parametrize("how", ["replace", "replace_mentioned"])
 def test_a_replacement_may_come_first(spark, path, rows, how):
     table = I.PeriodTable(spark, path, "m", ["k"])
@@ -202,12 +298,12 @@ def test_a_hot_period_is_written_by_several_tasks(spark, path):
         F.col("id").alias("k"),
         F.when(F.col("id") % 3 > 0, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("date").alias("m"),
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with much data
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")  # as with much data
     try:
         table.create(df)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = [f for f in os.listdir(f"{path}/m=2024-01-01") if f.endswith(".parquet")]
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = glob.glob(f"{path}/_load=*/m=2024-01-01/*.parquet")
     assert len(files) > 2
 
 

@@ -124,3 +124,28 @@ def test_every_metric_answers(spark, items, spine):
     market = jaffle.market_model(spark.createDataFrame([(D(2024, 1, 1), 1, 2, 70)], jaffle.MARKET_SCHEMA))
     for name in jaffle.METRICS:
         assert name in jaffle.metric(name, items, spine, market, grain="month").columns
+
+
+@pytest.mark.parametrize("name", jaffle.METRICS)
+def test_every_argument_counts_or_raises(spark, items, spine, name):
+    market = jaffle.market_model(spark.createDataFrame([(D(2024, 1, 1), 1, 2, 70)], jaffle.MARKET_SCHEMA))
+    for grain in ("day", "month", "quarter", "year", None):
+        if grain in jaffle.GRAINS.get(name, (grain,)):
+            periods = [c for c in jaffle.metric(name, items, spine, market, grain=grain).columns if c == "period"]
+            assert len(periods) == (grain is not None)
+        else:
+            with pytest.raises(ValueError):
+                jaffle.metric(name, items, spine, market, grain=grain)
+    if name in jaffle.MARKET_ONLY:
+        with pytest.raises(ValueError):
+            jaffle.metric(name, items, spine, market, ("customer",))
+    else:
+        assert "customer" in jaffle.metric(name, items, spine, market, ("customer",)).columns
+    with pytest.raises(Exception):
+        jaffle.metric(name, items, spine, market, ("no_such_dimension",)).collect()
+
+
+def test_month_to_date_by_month(items, spine):
+    by_month = values(jaffle.metric("mtd_revenue", items, spine, grain="month"), "period", value="mtd_revenue")
+    by_day = values(jaffle.metric("mtd_revenue", items, spine), "period", value="mtd_revenue")
+    assert by_month == {m: by_day[max(d for d in by_day if (d.year, d.month) == (m.year, m.month))] for m in by_month}

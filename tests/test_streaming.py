@@ -60,9 +60,37 @@ def test_append_once(spark, tmp_path, source, rows):
     add, stream = source
     table = StoredTable(spark, str(tmp_path / "t"))
     add((1, 1, JAN))
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp"))
+    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp"), "lines")
     add((2, 1, FEB))
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp"))
+    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp"), "lines")
     # The stream forgets its progress and delivers everything again.
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp2"))
+    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp2"), "lines")
     assert rows(table.read(), "k", "batch") == [(1, 0), (2, 1)]
+
+
+def test_two_streams_and_a_replay_with_other_borders(spark, tmp_path, source, rows):
+    add, stream = source
+    table = StoredTable(spark, str(tmp_path / "t"))
+    add((1, 1, JAN))
+    feed.feed_append(stream(), table, "batch", str(tmp_path / "a"), "a")
+    feed.feed_append(stream(), table, "batch", str(tmp_path / "b"), "b")
+    add((2, 1, FEB))
+    feed.feed_append(stream(), table, "batch", str(tmp_path / "a"), "a")
+    assert rows(table.read(), "k", "batch") == [(1, 0), (1, 0), (2, 1)]
+    table.append(spark.createDataFrame([(1, 1, JAN), (2, 1, FEB)], "k int, n int, d date").selectExpr("*", "0 AS batch"), ("another id", 0), "a")
+    assert rows(table.read(), "k", "batch") == [(1, 0), (1, 0), (2, 0)]
+    assert table.log.holds(("another id", 0)) and not table.log.holds(("another id", 1))
+    table.compact()
+    with pytest.raises(ValueError, match="starts anew"):
+        table.append(table.read(), ("third id", 0), "a")
+
+
+def test_rows_without_a_key_pass_every_feed(spark, tmp_path, source, rows):
+    add, stream = source
+    periods, merged = PeriodTable(spark, str(tmp_path / "p"), "m", ["k"]), StoredTable(spark, str(tmp_path / "s"))
+    add((None, 1, JAN), (None, 2, JAN), (1, 1, JAN), (1, 2, JAN))
+    for _ in range(2):  # the second time nothing is new
+        feed.feed_periods(stream().withColumn("m", F.trunc("d", "month")), periods, ["n"], str(tmp_path / "c1"))
+        feed.feed_merge(stream(), merged, ["k"], ["n"], str(tmp_path / "c2"))
+    for table in (periods, merged):
+        assert rows(table.read(), "k", "n") == [(1, 2), (None, 1), (None, 2)]

@@ -194,3 +194,47 @@ def microbatch_replace_days(g):
 def append_new_columns(g):
     """The target lacks the total, the delta the customer."""
     return I.append_new_columns(_old(g).select("order_id", "customer_id"), _new(g).select("order_id", "order_total"))
+
+
+@query("""SELECT o_orderkey AS order_id, CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01' THEN o_orderstatus END AS order_status,
+  CAST(o_totalprice AS DOUBLE) + CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' AND o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS order_total FROM orders""")
+def append_new_columns_by_period(g):
+    """Three loads, of which the middle one has a column more; the last rewrites months of the first."""
+    orders = g.stage("orders").select("order_id", "order_status", "order_total", "order_date").withColumn("month", F.trunc("order_date", "month"))
+    table = I.PeriodTable(g.spark, scratch_path(g.spark, "evolving"), "month", ["order_id"])
+    first, second = F.col("order_date") < _day("1996-01-01"), F.col("order_date") < _day("1998-01-01")
+    table.upsert(orders.filter(first).drop("order_status"))
+    table.upsert(orders.filter(~first & second))
+    changed = orders.filter(first & (F.col("order_id") % 2 == 0)).withColumn("order_total", (F.col("order_total") + 1).cast("decimal(15,2)"))
+    table.upsert(orders.filter(~second).unionByName(changed).drop("order_status"))
+    return table.read().select("order_id", "order_status", "order_total")
+
+
+@query(with_(OLD, NEW) + """SELECT CASE WHEN order_id % 3 > 0 THEN order_id END AS order_id, CAST(order_total AS DOUBLE) AS order_total FROM old
+  WHERE order_id % 3 = 0 OR order_id NOT IN (SELECT order_id FROM new WHERE order_id % 3 > 0)
+UNION ALL SELECT CASE WHEN order_id % 3 > 0 THEN order_id END, CAST(order_total AS DOUBLE) FROM new""")
+def upsert_merge_null_keys(g):
+    """A third of the rows has no key: none is merged or lost."""
+    key = F.when(F.col("order_id") % 3 > 0, F.col("order_id"))
+    old, new = (df.select(key.alias("order_id"), "order_total", F.trunc("order_date", "month").alias("month")) for df in (_old(g), _new(g)))
+    periods = I.PeriodTable(g.spark, scratch_path(g.spark, "null-keys"), "month", ["order_id"])
+    for batch in (old, new):
+        periods.upsert(batch)
+    return periods.read().select("order_id", "order_total")
+
+
+@query(with_(OLD, NEW) + "SELECT order_id, CAST(order_total AS DOUBLE) AS order_total, 'stored' AS kind FROM new WHERE false "
+       "UNION ALL SELECT order_id, CAST(order_total AS DOUBLE), 'never loaded' FROM new")
+def inc_watermark_strict_empty(g):
+    """A strict mark on an emptied table, of either kind, lets nothing pass; a table never loaded takes everything."""
+    batch = _new(g).withColumn("month", F.trunc("order_date", "month"))
+    stored = I.StoredTable(g.spark, scratch_path(g.spark, "emptied"))
+    stored.replace(batch.limit(0))
+    periods = I.PeriodTable(g.spark, scratch_path(g.spark, "emptied"), "month", ["order_id"])
+    before = periods.last_period()
+    fresh = I.inc_watermark_strict(batch, before, "order_date").withColumn("kind", F.lit("never loaded"))
+    periods.create(batch)
+    periods.replace(batch.limit(0), dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+    for target in (stored.read(), periods.last_period()):
+        fresh = fresh.unionByName(I.inc_watermark_strict(batch, target, "order_date").withColumn("kind", F.lit("stored")))
+    return fresh.select("order_id", "order_total", "kind")

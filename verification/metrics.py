@@ -108,6 +108,13 @@ def metric_mtd_revenue(g):
     return _metric(g, "mtd_revenue")
 
 
+@query(with_(ITEMS, SPINE, MONTHLY, MONTHS) + """
+SELECT m.period, coalesce(c, 0)::BIGINT / 100.0::DOUBLE AS mtd_revenue FROM months m LEFT JOIN monthly USING (period)""")
+def metric_mtd_revenue_by_month(g):
+    """The last month-to-date value of every month."""
+    return _metric(g, "mtd_revenue", grain="month")
+
+
 @query(with_(ITEMS, SPINE, MONTHLY, MONTHS) + """
 SELECT m.period, a.c / 100.0::DOUBLE AS current_month, p.c / 100.0::DOUBLE AS previous_month,
   (a.c / 100.0::DOUBLE) / nullif(p.c / 100.0::DOUBLE, 0) - 1 AS mom_revenue_performance
