@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martmill.llm.stores import release
+
 DIM = 1024
 BLANK = 32
 UNDETERMINED = "und"
@@ -114,6 +116,7 @@ def prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dim: int =
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             names, of = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
@@ -146,6 +149,7 @@ def predict(df: DataFrame, langs: list[str], vectors: np.ndarray, text: str = "t
     dim = vectors.shape[1]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         names, directions = sent.value
         for batch in batches:
             best, score = [], []

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martmill.llm.stores import kept
 from martmill.session import materialise
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -100,14 +101,9 @@ class WordTokenizer:
             yield self.ids[np.repeat(self.first[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def _tokenizer(path: str) -> WordTokenizer:
-    """One store per worker process, kept from task to task."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    """One store per worker process, kept from task to task until another operator runs there."""
+    return kept(("tokenizer", path), lambda: WordTokenizer(path))
 
 
 def cut(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 1) -> DataFrame:
