@@ -66,10 +66,10 @@ def column_descriptions(g):
 
 
 @query("""WITH d AS (SELECT 'nation_' || c_nationkey AS schema_name, CASE WHEN c_custkey % 9 = 0 THEN []
-    ELSE [lower(c_mktsegment), 'team_' || (c_custkey % 11)] END AS roles FROM customer WHERE c_nationkey < 20),
+    ELSE [lower(c_mktsegment), 'team_' || (c_custkey % 11)] END AS roles FROM customer),
   want AS (SELECT DISTINCT schema_name, unnest(roles) AS role FROM d),
-  held AS (SELECT DISTINCT 'nation_' || s_nationkey AS schema_name, 'team_' || (s_suppkey % 17) AS role FROM supplier
-           WHERE s_suppkey % 3 <> 0 AND 'nation_' || s_nationkey IN (SELECT schema_name FROM d))
+  held AS (SELECT DISTINCT 'nation_' || (s_nationkey + 5) AS schema_name, 'team_' || (s_suppkey % 17) AS role FROM supplier
+           WHERE s_suppkey % 3 <> 0 AND 'nation_' || (s_nationkey + 5) IN (SELECT schema_name FROM d))
 SELECT 'grant' AS action, * FROM (SELECT * FROM want EXCEPT SELECT * FROM held)
 UNION ALL SELECT 'revoke', * FROM (SELECT * FROM held EXCEPT SELECT * FROM want)""")
 def grant_drift(g):

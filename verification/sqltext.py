@@ -161,12 +161,11 @@ dim_order AS (
 
 MARKET = """
 market_data AS (
-  SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS report_month,
+  SELECT CAST(date_trunc('month', o_orderdate + INTERVAL 2 MONTH) AS TIMESTAMP) AS report_month,
          CAST(3 * sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN cents ELSE 0 END) AS BIGINT) AS food_sales,
          CAST(3 * sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0 ELSE cents END) AS BIGINT) AS beverage_sales,
          CAST(3 * sum(cents) AS BIGINT) AS total_sales
-  FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
-        WHERE o_orderdate >= TIMESTAMP '1995-03-01')
+  FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
   GROUP BY 1)
 """
 
