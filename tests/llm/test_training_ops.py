@@ -270,6 +270,17 @@ def test_spelling_is_a_probability():
     assert 0 < total <= 1 + 1e-6
 
 
+def test_frequent_words_are_spelled():
+    """With all weight on spelling, a word's share of the corpus changes nothing."""
+    words = [b"", b"the", b"then"]
+    s = mixlm.Spelling(words, mixlm.Code(np.ones(257)))
+    even = (np.zeros(len(s.bit), np.float32), np.zeros(len(s.bit), np.int8)), (np.zeros(mixlm.SLOTS, np.float32), np.zeros(mixlm.SLOTS, np.int8))
+    start = mixlm.start_weights(), np.zeros(mixlm.BUCKETS), np.array([[0.0, 0.0, 1.0]])
+    texts = [np.array([1, 2, 1, 0]), np.array([0])]
+    rare, often = (mixlm.Mixer(s, np.full((3, 1), share), *even, start).score(texts) for share in (0.0, 0.3))
+    assert (rare == often).all() and (often > -500).all()
+
+
 def test_mix(spark):
     r = random.Random(9)
     rows = ROWS + [(1000 + i, " ".join("w" for _ in range(r.randint(1, 30))), "en", r.choice(["a", "b", "c", "d", None, "big", "big"])) for i in range(900)]
