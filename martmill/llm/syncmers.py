@@ -8,8 +8,8 @@ fingerprints are compared by the share of common hashes among the smallest of bo
 similarity of the anchor sets).
 
 Defined cases
-* A null text is empty. A text with fewer than k tokens is one anchor; one without tokens has none and an empty
-  fingerprint. Two empty fingerprints have likeness 1, an empty one and another 0.
+* A null text is empty. A text with tokens but no closed k-mer (always with fewer than k tokens) is one anchor; one
+  without tokens has none and an empty fingerprint. Two empty fingerprints have likeness 1, an empty one and another 0.
 * A null id comes after all others. Rows with one id follow each other in the order of a hash of their text; equal
   rows follow each other and are counted before they are shuffled. A single row is its own next document.
 * An empty table gives no rows. Other columns, whatever their names, are not read.
@@ -38,7 +38,8 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     places = F.when(n >= K, F.filter(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), closed)).otherwise(F.array().cast("array<int>"))
     whole = F.array(F.struct(F.lit(0).alias("position"), F.shiftright(F.xxhash64(h), 32).cast("int").alias("hash")))
     found = F.transform(places, lambda i: F.struct(i.cast("int").alias("position"), kmer(i).alias("hash")))
-    return df.withColumn(out, F.when((n > 0) & (n < K), whole).otherwise(found)).drop(h, g)
+    df = df.withColumn(out, found)
+    return df.withColumn(out, F.when((n > 0) & (F.size(out) == 0), whole).otherwise(F.col(out))).drop(h, g)
 
 
 def sketch(anchors: Column, size: int = SKETCH) -> Column:

@@ -170,6 +170,34 @@ def test_syncmers(spark):
     assert {(p + 1, h) for p, h in second} <= set(first)  # context-free: the same anchors one place on
 
 
+def spark_hash(*longs):
+    """Spark's xxhash64 of several longs, signed."""
+    seed = 42
+    for x in longs:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", x), seed)
+        seed = seed - 2**64 if seed >= 2**63 else seed
+    return seed
+
+
+def brute_anchors(tokens):
+    """(position, hash) of the closed 5-mers, by the 2-mers at their ends; the whole text if there is none."""
+    h = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
+    h = [x - 2**64 if x >= 2**63 else x for x in h]
+    g = [xxhash.xxh64_intdigest(struct.pack("<q", h[i + 1]), xxhash.xxh64_intdigest(struct.pack("<q", x), 42)) for i, x in enumerate(h[:-1])]
+    g = [x - 2**64 if x >= 2**63 else x for x in g]
+    found = [(i, spark_hash(g[i], g[i + 2], h[i + 4]) >> 32) for i in range(len(h) - 4) if min(g[i : i + 4]) in (g[i], g[i + 3])]
+    return found or [(0, spark_hash(*h) >> 32)] * (len(h) > 0)
+
+
+def test_syncmers_of_short_texts(spark):
+    r = random.Random(4)
+    texts = [[f"w{r.randrange(10**6)}" for _ in range(n)] for n in (1, 4, *[5, 6, 7] * 20, 30)]
+    got = syncmers.with_anchors(documents(spark, [(i, " ".join(t), "", "") for i, t in enumerate(texts)]), "text", "anchors").orderBy("doc_id").select("anchors").collect()
+    want = [brute_anchors(t) for t in texts]
+    assert [[(a["position"], a["hash"]) for a in x["anchors"]] for x in got] == want
+    assert any(len(t) == 5 and w == [(0, spark_hash(*[(lambda v: v - 2**64 if v >= 2**63 else v)(xxhash.xxh64_intdigest(x.encode(), 42)) for x in t]) >> 32)] for t, w in zip(texts, want))
+
+
 def shingle_sets(rows):
     out = []
     for doc_id, text, *_ in rows:
