@@ -1,6 +1,7 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text's tokens are its runs of characters other than blank and 0x09 to 0x0D, cut into pieces of at most 8 characters.
+A text's tokens are its runs of up to 24 characters other than blank and 0x09 to 0x0D. Characters of longer runs, and
+those of scripts written without blanks (Chinese, Japanese, Thai, Lao, Tibetan, Burmese, Khmer), are tokens one by one.
 A k-mer of tokens is an anchor if the smallest hash of its s-mers is that of its first or last one. Whether a k-mer is
 an anchor depends on its own tokens alone, so equal passages give equal anchors wherever they stand, and anchors with
 their positions can be matched between texts. The fingerprint is the ``sketch`` smallest distinct anchor hashes; two
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 
 from martmill.session import materialise
 
-TOKEN = r"[^\x20\x09-\x0D]{1,8}"
+BLANK = r"\x20\x09-\x0D"
+UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u19e0-\u19ff\u3000-\u30ff\u31f0-\u31ff\u3400-\u9fff\uaa60-\uaa7f\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff"
+SPACED = f"[^{BLANK}{UNSPACED}]"
+TOKEN = f"(?<!{SPACED}){SPACED}{{1,24}}+(?!{SPACED})|[^{BLANK}]"  # a run is never cut by its start: that would move all cuts behind an insertion
 K, S, SKETCH = 5, 2, 64
 KEY = ["absent", "id", "h"]
 

@@ -198,6 +198,18 @@ def test_syncmers_of_short_texts(spark):
     assert any(len(t) == 5 and w == [(0, spark_hash(*[(lambda v: v - 2**64 if v >= 2**63 else v)(xxhash.xxh64_intdigest(x.encode(), 42)) for x in t]) >> 32)] for t, w in zip(texts, want))
 
 
+def test_syncmers_without_blanks(spark):
+    r = random.Random(5)
+    passages = ["".join(chr(r.randrange(a, b)) for _ in range(120)) for a, b in ((0x4E00, 0x5E00), (0x3041, 0x3090), (0x0E01, 0x0E2F), (0x41, 0x5B), (0x20000, 0x20100))]
+    rows = [(10 * i + n, "z" * n + p, "", "") for i, p in enumerate(passages) for n in range(8)]
+    got = {x["doc_id"]: [(a["position"], a["hash"]) for a in x["anchors"]] for x in syncmers.with_anchors(documents(spark, rows), "text", "anchors").collect()}
+    for i, p in enumerate(passages):
+        assert got[10 * i] == brute_anchors(list(p)) and len(got[10 * i]) > 20
+        for n in range(1, 8):
+            ahead = n if p[0].isascii() else 1  # letters before another script are a word
+            assert {(a + ahead, h) for a, h in got[10 * i]} <= set(got[10 * i + n])
+
+
 def shingle_sets(rows):
     out = []
     for doc_id, text, *_ in rows:
