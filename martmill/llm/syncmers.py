@@ -4,13 +4,14 @@ A text's tokens are its runs of up to 24 characters other than blank and 0x09 to
 those of scripts written without blanks (Chinese, Japanese, Thai, Lao, Tibetan, Burmese, Khmer), are tokens one by one.
 A k-mer of tokens is an anchor if the smallest hash of its s-mers is that of its first or last one. Whether a k-mer is
 an anchor depends on its own tokens alone, so equal passages give equal anchors wherever they stand, and anchors with
-their positions can be matched between texts. The fingerprint is the ``sketch`` smallest distinct anchor hashes; two
-fingerprints are compared by the share of common hashes among the smallest of both (an estimate of the Jaccard
-similarity of the anchor sets).
+their positions can be matched between texts. Two texts are matched by all their distinct anchors, each at its first
+place: ``in_order`` gives the most common anchors that follow each other in both texts, and nearness is their share of
+all distinct anchors of both. The fingerprint, the ``SKETCH`` smallest distinct anchor hashes, is a key to look up texts
+with; ``likeness`` of two fingerprints only estimates how many anchors are common.
 
 Defined cases
 * A null text is empty. A text with tokens but no closed k-mer (always with fewer than k tokens) is one anchor; one
-  without tokens has none and an empty fingerprint. Two empty fingerprints have likeness 1, an empty one and another 0.
+  without tokens has none and an empty fingerprint. Two texts without tokens have nearness 1, one without and another 0.
 * A null id comes after all others. Rows with one id follow each other in the order of a hash of their text; equal
   rows follow each other and are counted before they are shuffled. A single row is its own next document.
 * An empty table gives no rows. Other columns, whatever their names, are not read.
@@ -57,6 +58,47 @@ def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
     return F.when(F.size(union) == 0, 1.0).otherwise(F.size(F.array_intersect(F.array_intersect(union, a), b)) / F.greatest(F.size(union), F.lit(1)))
 
 
+def _firsts(df: DataFrame, hashes: str, out: str) -> DataFrame:
+    """Adds ``out``: hash * 2^32 + place of the first of each distinct hash, by hash."""
+    df = df.withColumn(out, F.sort_array(F.transform(hashes, lambda x, i: F.shiftleft(x.cast("long"), 32) + i)))
+    return df.withColumn(out, F.filter(out, lambda x, i: (i == 0) | (F.shiftright(x, 32) != F.shiftright(F.get(out, i - 1), 32))))
+
+
+def in_order(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """Adds ``out``: how many distinct hashes of the lists ``a`` and ``b`` follow each other in both, at their first places.
+
+    Equal hashes stand side by side once both lists are sorted together. The places in ``b``, in the order of ``a``, then
+    give the longest rising chain: ``low[k]`` is the lowest place at which a chain of k + 1 ends.
+    """
+    both, places, low31 = f"{out}_m", f"{out}_p", F.lit(2**31 - 1)
+    side = F.lit(2**31).cast("long")  # the second list sorts after the first
+    none, first, second = F.array().cast("array<int>"), f"{out}_a", f"{out}_b"
+    shared = F.arrays_overlap(a, b)
+    df = df.withColumn(first, F.when(shared, F.col(a)).otherwise(none)).withColumn(second, F.when(shared, F.col(b)).otherwise(none))
+    df = _firsts(_firsts(df, first, first), second, second)
+    df = df.withColumn(both, F.sort_array(F.concat(first, F.transform(second, lambda x: x + side)))).drop(first, second)
+    hash_of = lambda x: F.shiftright(x, 32)
+    follower = lambda i: F.get(both, i + 1)
+    met = F.transform(both, lambda x, i: F.when(hash_of(x) == hash_of(follower(i)), F.shiftleft(x.bitwiseAND(low31), 32) + follower(i).bitwiseAND(low31)))
+    df = df.withColumn(places, F.transform(F.sort_array(F.filter(met, lambda x: x.isNotNull())), lambda x: x.bitwiseAND(low31)))
+
+    def step(low: Column, x: Column) -> Column:
+        k = F.size(F.filter(low, lambda y: y < x))
+        inner = F.concat(F.slice(low, F.lit(1), k), F.array(x), F.slice(low, k + 2, F.size(low)))
+        return F.when((F.size(low) == 0) | (F.element_at(low, -1) < x), F.concat(low, F.array(x))).otherwise(inner)
+
+    chain = F.aggregate(places, F.array().cast("array<long>"), step, F.size)
+    return df.withColumn(out, F.when(F.col(places) == F.sort_array(places), F.size(places)).otherwise(chain)).drop(both, places)
+
+
+def nearness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """Adds ``out``: the share of the distinct hashes of both lists that is common and in the same order."""
+    n = f"{out}_n"
+    df = in_order(df, a, b, n)
+    union = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - F.col(n)
+    return df.withColumn(out, F.when(union == 0, 1.0).otherwise(F.col(n) / F.greatest(union, F.lit(1)))).drop(n)
+
+
 def fingerprint(hashes: Column) -> Column:
     """A sketch as lowercase hex, 8 digits a hash."""
     return F.array_join(F.transform(hashes, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
@@ -80,7 +122,7 @@ def _followers(keys: DataFrame) -> DataFrame:
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every row.
 
-    Texts are shuffled once, by id and hash; each then receives only the passage of its follower that replaces its end.
+    Texts are shuffled once, by id and hash; each then receives its follower's anchors and the passage that replaces its end.
     """
     rows = df.select(F.col(key).isNull().alias("absent"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
@@ -88,27 +130,22 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     order = materialise(_followers(keys), "syncmer-next").withColumn("m", F.floor(F.col("n_chars") / 4).cast("int"))
     texts = rows.dropDuplicates(KEY)
     wanted = order.select(*[F.col("next")[c].alias(c) for c in KEY], F.struct(*KEY).alias("of"), "m")
-    supplied = texts.join(wanted, KEY).select(*[F.col("of")[c].alias(c) for c in KEY], F.left("text", F.col("m")).alias("passage"))
+    hashes = lambda c: F.transform(c, lambda x: x["hash"])
+    supplied = with_anchors(texts.join(wanted, KEY), "text", "anchors").select(*[F.col("of")[c].alias(c) for c in KEY], F.left("text", F.col("m")).alias("passage"), hashes("anchors").alias("c"))
     own = texts.join(order, KEY).join(supplied, KEY)
 
     # Of n equal rows, the last is followed by the next document and the others by their own text.
     kept = F.left("text", (F.col("n_chars") - F.col("m")).cast("int"))
     cases = F.array(
-        F.struct(F.lit(1).cast("long").alias("rows"), F.col("next"), F.concat(kept, "passage").alias("edited")),
-        F.struct((F.col("n") - 1).alias("rows"), F.struct(*KEY).alias("next"), F.concat(kept, F.left("text", F.col("m"))).alias("edited")),
-    )
-    own = own.withColumn("case", F.explode(F.filter(cases, lambda c: c["rows"] > 0))).select(
-        *KEY, "n_chars", "text", F.col("case.rows").alias("rows"), F.col("case.next").alias("next"), F.col("case.edited").alias("edited"))
-    own = with_anchors(with_anchors(own, "text", "anchors"), "edited", "edited_anchors")
-    marked = materialise(
-        own.select(*KEY, "n_chars", "rows", "next", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("anchors")).alias("a"), sketch(F.col("edited_anchors")).alias("b")),
-        "syncmers",
+        F.struct(F.lit(1).cast("long").alias("rows"), F.lit(False).alias("again"), F.concat(kept, "passage").alias("edited")),
+        F.struct((F.col("n") - 1).alias("rows"), F.lit(True).alias("again"), F.concat(kept, F.left("text", F.col("m"))).alias("edited")),
     )
-    following = marked.dropDuplicates(KEY).select(*[F.col(c).alias(f"next_{c}") for c in KEY], F.col("a").alias("c"))
-    joined = marked.select("*", *[F.col("next")[c].alias(f"next_{c}") for c in KEY]).join(following, [f"next_{c}" for c in KEY])
-    return joined.select(
-        F.when(~F.col("absent"), F.col("id")).alias("doc_id"), "n_chars", "edited_sha256",
-        fingerprint(F.col("a")).alias("fingerprint"), fingerprint(F.col("b")).alias("edited_fingerprint"),
-        likeness(F.col("a"), F.col("b")).alias("near_edited"), likeness(F.col("a"), F.col("c")).alias("near_next"),
+    own = own.withColumn("case", F.explode(F.filter(cases, lambda c: c["rows"] > 0))).select("absent", "id", "n_chars", "text", "c", "case.*")
+    own = with_anchors(with_anchors(own, "text", "anchors"), "edited", "edited_anchors").withColumn("a", hashes("anchors")).withColumn("b", hashes("edited_anchors"))
+    own = nearness(nearness(own, "a", "b", "near_edited"), "a", "c", "near_next")
+    return own.select(
+        F.when(~F.col("absent"), F.col("id")).alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(sketch(F.col("anchors"))).alias("fingerprint"), fingerprint(sketch(F.col("edited_anchors"))).alias("edited_fingerprint"),
+        "near_edited", F.when(F.col("again"), 1.0).otherwise(F.col("near_next")).alias("near_next"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("copy"),
     ).drop("copy")

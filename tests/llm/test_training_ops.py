@@ -210,6 +210,33 @@ def test_syncmers_without_blanks(spark):
             assert {(a + ahead, h) for a, h in got[10 * i]} <= set(got[10 * i + n])
 
 
+def brute_nearness(a, b):
+    """Longest common subsequence of the distinct hashes over all distinct hashes of both."""
+    a, b = list(dict.fromkeys(a)), list(dict.fromkeys(b))
+    best = [0] * (len(b) + 1)
+    for x in a:
+        before = best[:]
+        for j, y in enumerate(b):
+            best[j + 1] = before[j] + 1 if x == y else max(before[j + 1], best[j])
+    return best[-1] / (len(a) + len(b) - best[-1]) if a or b else 1.0
+
+
+def test_syncmers_match_in_order(spark):
+    r = random.Random(6)
+    new = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    base, shared = new(300), new(80)
+    texts = [base, base[150:] + base[:150], [x for i in range(0, 300, 30) for x in base[270 - i : 300 - i]], base[:40] * 3 + new(9), base[100:140], [], [], new(5), new(6),
+             new(3000) + shared + new(3000), shared, new(2000) + shared + new(900)]
+    text = [" ".join(t) for t in texts]
+    rows = sorted(map(tuple, syncmers.fingerprints(documents(spark, [(i, t, "", "") for i, t in enumerate(text)])).select("doc_id", "near_edited", "near_next").collect()))
+    edited = [t[: len(t) - len(t) // 4] + text[(i + 1) % len(text)][: len(t) // 4] for i, t in enumerate(text)]
+    hashes = [[h for _, h in brute_anchors(t.split())] for t in text + edited]
+    n = len(text)
+    want = [(i, brute_nearness(hashes[i], hashes[n + i]), brute_nearness(hashes[i], hashes[(i + 1) % n])) for i in range(n)]
+    assert [x[0] for x in rows] == list(range(n)) and np.allclose([x[1:] for x in rows], [x[1:] for x in want])
+    assert 0 < want[9][2] < 0.05 and 0 < want[10][2] and want[5][2] == 1 and want[6][2] == 0  # a long text holds the short one
+
+
 def shingle_sets(rows):
     out = []
     for doc_id, text, *_ in rows:
