@@ -93,6 +93,24 @@ def test_html_labels_and_gradients(spark):
         assert (up - loss(moved)) / 2e-3 == pytest.approx(float(grad[name][at]), abs=2e-3)
 
 
+def test_html_below_many_ancestors():
+    for n in (1, 17, 40, 3000):
+        for above in ("article", "aside"):
+            block, nest = html.blocks(f"<body><{above} class='story'>" + "<div>" * n + "<p>Some words.")[0], "<div>" * n
+            assert set(html._path_ids(above, " class='story'")) <= {int(i) for i in np.flatnonzero(html.features([block])[0][0])}, (above, nest[:20])
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(60)) for i in range(1, 30)]
+    net, r, right, total = html.train(texts, layouts=700, epochs=3), random.Random(78), 0, 0
+    for _ in range(150):
+        n, parts, labels = r.randint(20, 40), [], []
+        for opened, label in r.sample([("<article>", 1), ("<aside class='sidebar'>", 0), ("<section class='comments'>", 0), ("<div class='advert'>", 0)], 4):
+            k = r.randint(1, 4)
+            parts.append(opened + "<div>" * n + "".join(f"<p>{' '.join(r.choice(texts).split()[: r.randint(5, 40)])}</p>" for _ in range(k)) + "</div>" * n + html._close(opened))
+            labels += [label] * k
+        found = html.label(net, [html.blocks("<html><body>" + "".join(parts))])[0]
+        right, total = right + int((found == np.array(labels, bool)).sum()), total + len(labels)
+    assert right / total > 0.93
+
+
 def test_shards(spark):
     rows = [tuple(r) for r in shard.shard_rows(documents(spark, ROWS * 20 + [(i, "x", "en", "a") for i in range(3000)])).collect()]
     assert len(rows) == 20 * len(ROWS) + 3000
