@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk, warc
+from martmill.llm import align, html, jaccard, langid, mix, mixlm, nra, pack, secretscan, shard, syncmers, topk, warc
 from martmill.llm.ship import shipped
 from martmill.session import tune
 
@@ -124,3 +124,45 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 tokens."""
     return pack.pack(pack.cut(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@_query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), q AS (
+  SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark
+), s AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0
+), t AS (SELECT uid, term, count(*) AS tf FROM (SELECT uid, unnest(w) AS term FROM d) GROUP BY ALL
+), f AS (SELECT term, CAST(floor(1000 * ln((2 * s.n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term, s.n
+), r AS (
+  SELECT a.qid, a.item_id, d.doc_id, CAST(sum(f.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * len(d.w) * s.n) // s.l)))) AS BIGINT) AS score
+  FROM (SELECT DISTINCT qid, item_id, unnest(w) AS term FROM q) a JOIN f USING (term) JOIN t USING (term) JOIN d USING (uid), s
+  GROUP BY a.qid, a.item_id, t.uid, d.doc_id
+), o AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0
+)
+SELECT * FROM o WHERE rank <= 10
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 documents that score highest for every benchmark item."""
+    return nra.search(nra.index(_table(spark, sf_dir, "documents")), nra.queries_of(_table(spark, sf_dir, "benchmark")))
+
+
+def secrets_digest(scanned: DataFrame) -> DataFrame:
+    """The base spans' counts and digest, and all spans as text, of ``secretscan.scan``'s rows."""
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    return scanned.select("row.doc_id", *map(count, secretscan.KINDS), F.sha2(secretscan.joined(F.col("spans"), True), 256).alias("base_sha256"), secretscan.joined(F.col("spans")).alias("spans"))
+
+
+@_query()
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Credentials of every document: by rule, and by the formats learned from these."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = secretscan.scan(docs, secretscan.fitted(docs))
+    return secrets_digest(scanned)
+
+
+@_query()
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids aligned with piece ids in every document."""
+    return align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
