@@ -159,6 +159,41 @@ class Pair:
             good = b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b))
             yield (a, b) if good else None
 
+    def read(self, words: list[str], together: int = 1000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all words, one word after the other, and both numbers per word; none for a word that
+        cannot be read. Words that end in anything but white space are encoded many in one text."""
+        a_ids: list[np.ndarray] = []
+        b_ids: list[np.ndarray] = []
+        counts = np.zeros((len(words), 2), np.int64)
+        for first in range(0, len(words), together):
+            part = words[first : first + together]
+            found = self._joined(part) if not any(w[-1].isspace() for w in part) else None
+            if found is None:
+                lists = [x or ([], []) for x in self.encode(part)]
+                found = *(np.array([i for x in lists for i in x[k]], np.int64) for k in (0, 1)), np.array([[len(x), len(y)] for x, y in lists])
+            a_ids.append(found[0])
+            b_ids.append(found[1])
+            counts[first : first + together] = found[2]
+        return np.concatenate(a_ids), np.concatenate(b_ids), counts
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        text = "".join(words)
+        data, word_ends = text.encode(), np.cumsum([len(w.encode()) for w in words])
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode("a" + text)
+        counts, lead = [], 0
+        while lead < len(b) and self.b_size[b[:lead]].sum() < 2:  # the blank that B puts before, and the "a"
+            lead += 1
+        b = b[lead:]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+            return None
+        for ids, sizes in ((a, self.a_size), (b, self.b_size)):
+            ends = np.cumsum(sizes[ids])
+            at = np.searchsorted(ends, word_ends)
+            if (ends[at] != word_ends).any():
+                return None
+            counts.append(np.diff(at + 1, prepend=0))
+        return np.array(a, np.int64), np.array(b, np.int64), np.stack(counts, axis=1)
+
     def tokens(self, part: str, start: int = 0) -> Tokens | None:
         found = next(self.encode([part]))
         if found is None:
@@ -177,7 +212,7 @@ class Words:
     Words are forgotten between blocks when there are more than ``keep``.
     """
 
-    def __init__(self, pair: Pair, keep: int = 400_000) -> None:
+    def __init__(self, pair: Pair, keep: int = 150_000) -> None:
         self.pair, self.keep = pair, keep
         self.forget()
 
@@ -186,66 +221,66 @@ class Words:
         self.known.default_factory = self.known.__len__
         self.pairs: defaultdict[int, int] = defaultdict()  # number of an id pair
         self.pairs.default_factory = self.pairs.__len__
-        self.text: list[str] = []
-        self.counts = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links; no tokens: the word can't be read
+        self.text: list[bytes] = []
+        self.counts = np.zeros((0, 4), np.int32)  # tokens of A, of B, groups, links; no tokens: the word can't be read
         self.first, self.links, self.used = np.zeros(0, np.int64), np.zeros(0, np.int32), 0
 
-    def numbers(self, text: str) -> np.ndarray:
-        """The words of a text, by number, in order."""
-        words = WORDS.findall(" " + text)
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The words of each text, by number, in order."""
+        words = [WORDS.findall(" " + t) if t else [] for t in texts]
         old = len(self.known)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        at = [np.fromiter(map(self.known.__getitem__, w), np.int64, len(w)) for w in words]
         if len(self.known) > old:
             self._learn([*islice(reversed(self.known), len(self.known) - old)][::-1], old)
         return at
 
     def _learn(self, words: list[str], old: int) -> None:
-        counts, links = np.zeros((len(words), 4), np.int64), []
-        for i, found in enumerate(self.pair.encode(words)):
-            if found is None:
-                self.text.append("")
-                continue
-            text, groups, pairs = _met(*found, self.pair)
-            self.text.append(text)
-            links += map(self.pairs.__getitem__, pairs)
-            counts[i] = len(found[0]), len(found[1]), groups, len(pairs)
-        new, more = len(self.text), self.used + len(links)
+        pair, new = self.pair, old + len(words)
+        a, b, tokens = pair.read(words)
+        a_end, b_end = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
+        # every word that can be read has the same bytes in both, so the ends of all words agree
+        ends = np.union1d(a_end, b_end)
+        last_a, last_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        common = ends[(a_end[last_a] == ends) & (b_end[last_b] == ends)] if len(ends) else ends
+        word_of_a = np.repeat(np.arange(len(words)), tokens[:, 0])
+        links = np.bincount(word_of_a[last_a], minlength=len(words))
+        groups = np.bincount(word_of_a[np.searchsorted(a_end, common)], minlength=len(words))
+        keys, number = np.unique((a[last_a] << 32) | b[last_b], return_inverse=True)
+        own = np.fromiter(map(self.pairs.__getitem__, keys.tolist()), np.int32, len(keys))[number]
         if new > len(self.counts):
             self.counts, self.first = np.resize(self.counts, (2 * new, 4)), np.resize(self.first, 2 * new)
-        if more > len(self.links):
-            self.links = np.resize(self.links, 2 * more)
-        self.counts[old:new], self.links[self.used : more] = counts, links
-        self.first[old:new] = self.used + np.cumsum(counts[:, 3]) - counts[:, 3]
-        self.used = more
+        if self.used + len(own) > len(self.links):
+            self.links = np.resize(self.links, 2 * (self.used + len(own)))
+        self.counts[old:new] = np.column_stack((tokens, groups, links))
+        self.links[self.used : self.used + len(own)] = own
+        self.first[old:new] = self.used + np.cumsum(links) - links
+        self.used += len(own)
+        self.text += _texts(a, a_end, b, b_end, common, tokens)
 
     def links_of(self, numbers: np.ndarray) -> np.ndarray:
         """The numbered links of words, one after the other."""
-        n = self.counts[numbers, 3]
+        n = self.counts[numbers, 3].astype(np.int64)
         return self.links[np.repeat(self.first[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
     def pair_ids(self) -> np.ndarray:
         return np.fromiter(self.pairs, np.int64, len(self.pairs))
 
 
-def _met(a: list[int], b: list[int], pair: Pair) -> tuple[str, int, list[int]]:
-    """Groups as text, their number, and the links of one word, from walking both id lists."""
-    i = j = x = y = 0
-    a_end, b_end, groups, links = int(pair.a_size[a[0]]), int(pair.b_size[b[0]]), [], []
-    while True:
-        links.append((a[i] << 32) | b[j])
-        if a_end == b_end:
-            groups.append(f"{','.join(map(str, a[x : i + 1]))}|{','.join(map(str, b[y : j + 1]))}")
-            i, j = i + 1, j + 1
-            x, y = i, j
-            if i == len(a):
-                return ";".join(groups), len(groups), links
-            a_end, b_end = a_end + int(pair.a_size[a[i]]), b_end + int(pair.b_size[b[j]])
-        elif a_end < b_end:
-            i += 1
-            a_end += int(pair.a_size[a[i]])
-        else:
-            j += 1
-            b_end += int(pair.b_size[b[j]])
+def _texts(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, common: np.ndarray, tokens: np.ndarray) -> list[bytes]:
+    """The groups of each word as text: every id in decimal, with the sign that follows it."""
+    group = np.concatenate((2 * np.searchsorted(common, a_end), 2 * np.searchsorted(common, b_end) + 1))
+    order = np.argsort(group, kind="stable")
+    ids, at = np.concatenate((a, b)), np.concatenate((a_end, b_end))
+    last = np.isin(at, common)
+    sign = np.where(last, np.where(np.arange(len(ids)) < len(a), ord("|"), ord(";")), ord(","))[order]
+    ids, width = ids[order], len(str(int(ids.max(initial=0))))
+    powers = 10 ** np.arange(width - 1, -1, -1)
+    shown = np.concatenate((ids[:, None] // powers % 10 + ord("0"), sign[:, None]), axis=1).astype(np.uint8)
+    wanted = np.concatenate((ids[:, None] >= powers, np.ones((len(ids), 1), bool)), axis=1)
+    wanted[:, width - 1] = True  # id 0
+    data, ends = shown[wanted].tobytes(), np.append(0, np.cumsum(wanted.sum(axis=1)))
+    ends = ends[np.append(0, np.cumsum(tokens.sum(axis=1)))].tolist()
+    return [data[x : max(x, y - 1)] for x, y in zip(ends, ends[1:])]
 
 
 def _decoded(value: bytes | None) -> str:
@@ -274,22 +309,22 @@ class _Block:
         self.number, self.words, self.rows, self.held, self.bytes = number, words, [], [], 0
         self.counts = np.zeros(0, np.int32)
 
-    def add(self, doc_id: int | None, data: bytes | None) -> None:
-        words, text = self.words, _decoded(data)
-        self.bytes += len(data or b"")
-        numbers = words.numbers(text) if text else np.zeros(0, np.int64)
-        sums = words.counts[numbers]
-        if not len(numbers) or not sums[:, 0].all():
-            self.rows.append((doc_id, 0, 0, 0, 0, ""))
-            self.held.append((numbers[:0], numbers[:0]))
-            return
-        digest = hashlib.sha256(";".join(map(words.text.__getitem__, numbers.tolist())).encode()).hexdigest()
-        self.rows.append((doc_id, *sums.sum(axis=0).tolist(), digest))
-        distinct, times = np.unique(numbers, return_counts=True)
-        self.held.append((distinct, times))
-        if len(words.pairs) > len(self.counts):
-            self.counts = np.concatenate((self.counts, np.zeros(2 * len(words.pairs) - len(self.counts), np.int32)))
-        self.counts[np.unique(words.links_of(distinct))] += 1
+    def add(self, doc_ids: list[int | None], data: list[bytes | None]) -> None:
+        words, texts = self.words, [*map(_decoded, data)]
+        self.bytes += sum(len(d) for d in data if d)
+        for doc_id, numbers in zip(doc_ids, words.numbers(texts)):
+            sums = words.counts[numbers]
+            if not len(numbers) or not sums[:, 0].all():
+                self.rows.append((doc_id, 0, 0, 0, 0, ""))
+                self.held.append((numbers[:0], numbers[:0]))
+                continue
+            digest = hashlib.sha256(b";".join(map(words.text.__getitem__, numbers.tolist()))).hexdigest()
+            self.rows.append((doc_id, *sums.sum(axis=0, dtype=np.int64).tolist(), digest))
+            distinct, times = np.unique(numbers, return_counts=True)
+            self.held.append((distinct.astype(np.int32), times.astype(np.int32)))
+            if len(words.pairs) > len(self.counts):
+                self.counts = np.concatenate((self.counts, np.zeros(2 * len(words.pairs) - len(self.counts), np.int32)))
+            self.counts[np.unique(words.links_of(distinct))] += 1
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         words = self.words
@@ -319,16 +354,16 @@ def _one(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
-def _blocks(a_path: str, b_path: str, size: int):
+def _blocks(a_path: str, b_path: str, size: int, many: int = 128):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         words = kept(("pair", a_path, b_path), lambda: Words(Pair(a_path, b_path)))
         number, block = TaskContext.get().partitionId() << 32, None
-        for batch in batches:
-            for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for whole in batches:
+            for batch in (whole.slice(i, many) for i in range(0, whole.num_rows, many)):
                 block = block or _Block(number, words)
-                block.add(doc_id, data.as_py())
+                block.add(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                 if block.bytes >= size:
                     yield from block.batches()
                     number, block = number + 1, None
@@ -508,7 +543,7 @@ def _long_texts(docs: DataFrame, a_path: str, b_path: str, span: int, fan: int)
 # --- the operator ------------------------------------------------------------------------------------------------------
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", span: int = 65_536, block: int = 16 << 20, fan: int = 8) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", span: int = 65_536, block: int = 8 << 20, fan: int = 8) -> DataFrame:
     """Per row: numbers of tokens, groups and links, links that are their A id's most frequent, documents summed over
     links, and the digest of the groups."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
