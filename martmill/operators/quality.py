@@ -1,12 +1,11 @@
 """Data checks, contracts and versions.
 
 A ``check_*`` function returns the failing rows, none meaning a pass. ``run_checks`` counts failures
-for a whole list of checks: all row-level checks of a table share one scan.
+for a whole list of checks with one scan per table.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -67,58 +66,109 @@ def _row_failure(check: Check) -> Column | None:
     return None
 
 
-def _orphan_count(check: Check, child: DataFrame, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows are counted per key before they meet the parent: a hot key is one row by then."""
-    keys = child.groupBy(check.column).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = check_relationships(keys, check.column, parent, parent_column)
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+# The domain that counts rows failing a check of their own; key domains are numbered from 0.
+_ROWS = -1
 
 
-def _labelled(check: Check, counted: DataFrame) -> DataFrame:
-    return counted.select(
-        F.lit(check.kind).alias("check"),
-        F.lit(check.table).alias("table"),
-        F.lit(check.column).alias("column"),
-        "failures",
-    )
+class _Domains:
+    """Where every check finds its count.
+
+    A key domain is a column that must be unique or that other columns point at; its own rows are side 0, and every
+    column that points at it is one more side. Columns are named by frame, so tables that share one share their checks.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], checks: Sequence[Check]):
+        self.frames = {id(df): df for df in tables.values()}
+        self.sides: list[list[tuple[int, str]]] = []
+        self.rows: list[Check] = []
+        self.found_at: list[tuple[int, str, str]] = []  # per check: domain, key, name of the count
+        self.owner = lambda table: id(tables[table])
+        own: dict[tuple[int, str], int] = {}
+
+        def domain(column: tuple[int, str]) -> int:
+            if column not in own:
+                own[column] = len(self.sides)
+                self.sides.append([column])
+            return own[column]
+
+        wanted = []
+        for check in checks:
+            place = (self.owner(check.table), check.column)
+            if check.kind == "unique":
+                wanted.append((domain(place), "repeated"))
+            elif check.kind == "relationships":
+                parent, parent_column = check.argument
+                at = domain((self.owner(parent), parent_column))
+                if place not in self.sides[at][1:]:
+                    self.sides[at].append(place)
+                wanted.append((at, f"orphans{self.sides[at].index(place, 1)}"))
+            elif _row_failure(check) is None:
+                raise ValueError(f"unknown check {check.kind!r}")
+            else:
+                wanted.append(None)
+        side_of = {column: (d, s) for d, listed in enumerate(self.sides) for s, column in enumerate(listed)}
+        for check, found in zip(checks, wanted):
+            place = (self.owner(check.table), check.column)
+            if found is not None:
+                self.found_at.append((found[0], "", found[1]))
+            elif check.kind == "not_null" and place in side_of:
+                self.found_at.append((side_of[place][0], "", f"nulls{side_of[place][1]}"))
+            else:
+                self.found_at.append((_ROWS, str(len(self.rows)), "rows"))
+                self.rows.append(check)
+
+    def tagged(self, frame: int) -> DataFrame | None:
+        """(domain, value, side) for every key of a frame's rows and every check that a row fails."""
+        df, entries = self.frames[frame], []
+
+        def entry(domain: int, value: Column, side: int) -> Column:
+            return F.struct(F.lit(domain).alias("domain"), value.cast("string").alias("value"), F.lit(side).alias("side"))
+
+        for d, listed in enumerate(self.sides):
+            parent, parent_column = listed[0]
+            kind = self.frames[parent].schema[parent_column].dataType  # equal keys of two types have one text
+            entries += [entry(d, F.col(column).cast(kind), s) for s, (owner, column) in enumerate(listed) if owner == frame]
+        for n, check in enumerate(self.rows):
+            if self.owner(check.table) == frame:
+                entries.append(F.when(_row_failure(check), entry(_ROWS, F.lit(str(n)), 0)))
+        if not entries:
+            return None
+        return df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row ``(check, table, column, failures)`` per check."""
-    per_frame: dict[int, list[Check]] = defaultdict(list)
-    parts: list[DataFrame] = []
-    for check in checks:
-        frame = tables[check.table]
-        if _row_failure(check) is not None:
-            per_frame[id(frame)].append(check)
-        elif check.kind == "unique":
-            failing = check_unique(frame, check.column)
-            parts.append(_labelled(check, failing.agg(F.count(F.lit(1)).alias("failures"))))
-        elif check.kind == "relationships":
-            parent, parent_column = check.argument
-            parts.append(_labelled(check, _orphan_count(check, frame, tables[parent], parent_column)))
-        else:
-            raise ValueError(f"unknown check {check.kind!r}")
-    for listed in per_frame.values():
-        counts = tables[listed[0].table].agg(
-            *[F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(listed)]
-        )
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(c.kind).alias("check"),
-                    F.lit(c.table).alias("table"),
-                    F.lit(c.column).alias("column"),
-                    F.col(f"f{i}").alias("failures"),
-                )
-                for i, c in enumerate(listed)
-            ]
-        )
-        parts.append(counts.select(F.explode(rows).alias("_r")).select("_r.*"))
-    out = parts[0]
+    """One row ``(check, table, column, failures)`` per check.
+
+    Each frame is read once, whatever is checked about it. Its keys go, tagged with their domain and side, into one
+    grouping by domain and value, summed before the shuffle: a key that is repeated, missing on one side or NULL shows
+    in the counts of its sides. A hot key is one row per task by then.
+    """
+    if not checks:
+        raise ValueError("no checks")
+    domains = _Domains(tables, checks)
+    parts = [t for t in map(domains.tagged, domains.frames) if t is not None]
+    union = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        union = union.unionByName(part)
+    width = max([1, *map(len, domains.sides)])
+    n = [F.col(f"n{i}") for i in range(width)]
+    keys = union.groupBy("domain", "value").agg(*[F.count_if(F.col("side") == i).alias(f"n{i}") for i in range(width)])
+    is_key = (F.col("domain") != _ROWS) & F.col("value").isNotNull()
+    counts = {"rows": F.when(F.col("domain") == _ROWS, n[0]), "repeated": F.when(is_key & (n[0] > 1), 1)}
+    for i in range(width):
+        counts[f"nulls{i}"] = F.when(F.col("value").isNull(), n[i])
+        counts[f"orphans{i}"] = F.when(is_key & (n[0] == 0), n[i])
+    by_check = F.when(F.col("domain") == _ROWS, F.col("value")).otherwise("").alias("key")
+    summed = keys.groupBy("domain", by_check).agg(*[F.sum(c).alias(name) for name, c in counts.items()])
+    pairs = [x for name in counts for x in (F.lit(name), F.col(name))]
+    found = summed.select("domain", "key", F.explode(F.create_map(*pairs)).alias("name", "failures"))
+    listed = [
+        F.struct(*[F.lit(v).alias(k) for k, v in zip(("check", "table", "column", "domain", "key", "name"), (c.kind, c.table, c.column, *at))])
+        for c, at in zip(checks, domains.found_at)
+    ]
+    rows = union.sparkSession.range(1).select(F.explode(F.array(*listed)).alias("c")).select("c.*")
+    joined = rows.join(found, ["domain", "key", "name"], "left")
+    return joined.select("check", "table", "column", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
 
 
 @dataclass(frozen=True)

@@ -102,3 +102,28 @@ def test_stores_are_opened_on_a_day(spark):
         "location_id int, location_name string, tax_rate double, opened_date timestamp_ntz",
     )
     assert Q.compare_expected(jaffle.stg_locations(raw).select(expected.columns), expected).isEmpty()
+
+
+def test_keys_of_two_tables_meet_in_one_grouping(spark, tmp_path, rows):
+    spark.createDataFrame([(1, 10), (2, 10), (2, None), (None, 99), (3, None), (None, 10)], "k int, p bigint").write.parquet(str(tmp_path / "c"))
+    spark.createDataFrame([(10, 1), (10, 2), (11, 3), (None, 4)], "p int, parent int").write.parquet(str(tmp_path / "p"))
+    c, p = spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p"))
+    checks = [
+        *Q.not_null_unique("c", "k"), Q.Check("not_null", "c", "p"), Q.Check("relationships", "c", "p", ("p", "p")), *Q.not_null_unique("p", "p"),
+        Q.Check("relationships", "p", "parent", ("c", "k")), Q.Check("relationships", "d", "k", ("c", "k")), Q.Check("expression", "c", "", "k > 1"), Q.Check("not_null", "p", "parent"),
+    ]
+    summary = Q.run_checks({"c": c, "p": p, "d": c}, checks)
+    assert rows(summary) == sorted([
+        ("not_null", "c", "k", 2), ("unique", "c", "k", 1), ("not_null", "c", "p", 2), ("relationships", "c", "p", 1), ("not_null", "p", "p", 1), ("unique", "p", "p", 1),
+        ("relationships", "p", "parent", 1), ("relationships", "d", "k", 0), ("expression", "c", "", 1), ("not_null", "p", "parent", 0),
+    ], key=repr)
+    assert summary._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    with pytest.raises(ValueError):
+        Q.run_checks({"c": c}, [])
+
+
+def test_checks_of_empty_tables(spark, rows):
+    empty = spark.createDataFrame([], "k int, v string")
+    one = spark.createDataFrame([(1, "x")], "k int, v string")
+    checks = [*Q.not_null_unique("e", "k"), Q.Check("relationships", "o", "k", ("e", "k")), Q.Check("relationships", "e", "k", ("o", "k"))]
+    assert [r[3] for r in rows(Q.run_checks({"e": empty, "o": one}, checks))] == [0, 0, 1, 0]

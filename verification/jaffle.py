@@ -85,11 +85,12 @@ def int_customer_rfm_segments(g):
 
 
 # Half-up rounding in whole numbers: floor((2 * sum + n) / (2 * n)), in units of the last place kept.
-SEGMENT_ORDERS = with_(ITEMS, RFM) + """SELECT customer_segment, count(DISTINCT customer_id) AS customer_count,
+SEGMENT_ROWS = """SELECT customer_segment, count(DISTINCT customer_id) AS customer_count,
   CAST((2 * sum(value_cents) + count(*)) // (2 * count(*)) AS BIGINT) / 100.0::DOUBLE AS avg_lifetime_value,
   CAST((20 * sum(order_frequency) + count(*)) // (2 * count(*)) AS BIGINT) / 10.0::DOUBLE AS avg_order_frequency,
   CAST(CAST((2 * sum(recency_days) + count(*)) // (2 * count(*)) AS BIGINT) AS DOUBLE) AS avg_days_since_last_order
 FROM segments GROUP BY 1"""
+SEGMENT_ORDERS = with_(ITEMS, RFM) + SEGMENT_ROWS
 
 
 @query(SEGMENT_ORDERS)

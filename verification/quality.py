@@ -7,7 +7,8 @@ from martmill.plans import bikeshop, jaffle, tpch
 from verification import bikeshop as vb
 from verification import jaffle as vj
 from verification import query
-from verification.sqltext import BIKE, BIKE_CUSTOMERS, ENRICHED, GEO, ITEMS, RAW_ORDERS, d2, with_
+from verification.jaffle import SEGMENT_ROWS
+from verification.sqltext import BIKE, BIKE_CUSTOMERS, DIM_ORDER, ENRICHED, GEO, ITEMS, RAW_ORDERS, RFM, d2, with_
 
 
 @query(with_(BIKE_CUSTOMERS) + "SELECT customer_id FROM bike_stg_customers WHERE customer_gender IS NULL")
@@ -194,12 +195,32 @@ def quality_jaffle_staging(g):
     return Q.run_checks(tables, jaffle.STAGING_CHECKS)
 
 
-@query("SELECT kind AS \"check\", tbl AS \"table\", col AS \"column\", CAST(0 AS BIGINT) AS failures FROM (VALUES "
-       + ", ".join(f"('{c.kind}', '{c.table}', '{c.column}')" for c in jaffle.MART_CHECKS)
-       + ") v(kind, tbl, col) WHERE EXISTS (SELECT 1 FROM lineitem)")
-def quality_jaffle_marts(g):
+_SEGMENT_COLUMNS = ("recency_days", "order_frequency", "lifetime_value", "rfm_score", "customer_segment")
+
+
+def _jaffle_marts(orders, dim_order, products, customers, segments, per_segment):
+    """The declared checks of the marts, counted over the named relations."""
+    fact, names = "int_customer_rfm_segments", "'Champions', 'Loyal Customers', 'Potential Loyalists', 'At-Risk', 'Hibernating'"
+    return _counts([
+        *_both("dim_order", "order_id", dim_order, "order_id"),
+        _related("fct_order_items", "order_id", "items", "order_id", orders, "order_id"),
+        _related("fct_order_items", "product_id", "items", "product_id", products, "product_id"),
+        _related("fct_order_items", "customer_id", "items", "customer_id", customers, "customer_id"),
+        *_both(fact, "customer_id", segments, "customer_id"),
+        *[_not_null(fact, c, segments, c) for c in _SEGMENT_COLUMNS],
+        ("accepted_values", fact, "customer_segment", f"SELECT count(*) FROM {segments} WHERE customer_segment NOT IN ({names})"),
+        *_both("fct_customer_segment_orders", "customer_segment", per_segment, "customer_segment"),
+        *[_not_null("fct_customer_segment_orders", c, per_segment, c) for c in ("customer_count", "avg_lifetime_value", "avg_order_frequency", "avg_days_since_last_order")],
+    ])
+
+
+_CUSTOMERS = "j_customers AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_id FROM customer)"
+_PER_SEGMENT = f"per_segment AS ({SEGMENT_ROWS})"
+
+
+def _jaffle_mart_tables(g):
     segments = vj.int_customer_rfm_segments(g)
-    tables = {
+    return {
         "dim_order": vj.dim_order(g),
         "fct_order_items": vj.fct_order_items(g),
         "stg_orders": vj.stg_orders(g),
@@ -208,7 +229,55 @@ def quality_jaffle_marts(g):
         "int_customer_rfm_segments": segments,
         "fct_customer_segment_orders": jaffle.customer_segment_orders(segments, vj.dim_customer(g)),
     }
-    return Q.run_checks(tables, jaffle.MART_CHECKS)
+
+
+@query(with_(ITEMS, DIM_ORDER, RFM, _CUSTOMERS, _PER_SEGMENT) + _jaffle_marts("j_orders", "dim_order", "j_products", "j_customers", "segments", "per_segment"))
+def quality_jaffle_marts(g):
+    return Q.run_checks(_jaffle_mart_tables(g), jaffle.MART_CHECKS)
+
+
+_FAULTY = """
+c_orders AS (SELECT * FROM j_orders WHERE CAST(order_id AS BIGINT) % 10 <> 0),
+c_products AS (SELECT * FROM j_products WHERE CAST(product_id AS BIGINT) % 7 <> 0),
+c_customers AS (SELECT * FROM j_customers WHERE CAST(customer_id AS BIGINT) % 9 <> 0),
+c_dim_order AS (SELECT CASE WHEN CAST(order_id AS BIGINT) % 77 <> 0 THEN order_id END AS order_id FROM dim_order
+  UNION ALL SELECT order_id FROM dim_order WHERE CAST(order_id AS BIGINT) % 100 = 0),
+c_once AS (SELECT CAST(customer_id AS BIGINT) AS c, CASE WHEN c % 11 <> 0 THEN customer_id END AS customer_id, CASE WHEN c % 13 <> 0 THEN recency_days END AS recency_days,
+  CASE WHEN c % 14 <> 0 THEN order_frequency END AS order_frequency, CASE WHEN c % 15 <> 0 THEN lifetime_value END AS lifetime_value,
+  CASE WHEN c % 16 <> 0 THEN rfm_score END AS rfm_score, CASE WHEN c % 17 = 0 THEN 'Unknown' WHEN c % 19 <> 0 THEN customer_segment END AS customer_segment FROM segments),
+c_segments AS (SELECT * FROM c_once UNION ALL SELECT * FROM c_once WHERE c % 23 = 0),
+c_some AS (SELECT customer_segment, CASE WHEN customer_segment <> 'Hibernating' THEN customer_count END AS customer_count, CASE WHEN customer_segment NOT IN ('At-Risk', 'Hibernating') THEN avg_lifetime_value END AS avg_lifetime_value,
+  avg_order_frequency, CASE WHEN customer_segment = 'Champions' THEN avg_days_since_last_order END AS avg_days_since_last_order FROM per_segment),
+c_per_segment AS (SELECT * FROM c_some UNION ALL SELECT * FROM c_some WHERE customer_segment <> 'Champions' UNION ALL SELECT NULL, 1, 1, NULL, 1)"""
+
+
+@query(with_(ITEMS, DIM_ORDER, RFM, _CUSTOMERS, _PER_SEGMENT, _FAULTY) + _jaffle_marts("c_orders", "c_dim_order", "c_products", "c_customers", "c_segments", "c_per_segment"))
+def quality_jaffle_marts_faulty(g):
+    """The same checks over marts with repeated, missing and unknown values: nearly every check counts failures."""
+    t = _jaffle_mart_tables(g)
+    number = lambda c: F.col(c).cast("bigint")
+    for name, column, n in (("stg_orders", "order_id", 10), ("stg_products", "product_id", 7), ("stg_customers", "customer_id", 9)):
+        t[name] = t[name].filter(number(column) % n != 0)
+    orders = t["dim_order"].select("order_id")
+    t["dim_order"] = orders.select(F.when(number("order_id") % 77 != 0, F.col("order_id")).alias("order_id")).unionByName(orders.filter(number("order_id") % 100 == 0))
+    segments = t["int_customer_rfm_segments"].withColumn("c", number("customer_id"))
+    gaps = {"customer_id": 11, "recency_days": 13, "order_frequency": 14, "lifetime_value": 15, "rfm_score": 16}
+    name = F.when(F.col("c") % 17 == 0, "Unknown").when(F.col("c") % 19 != 0, F.col("customer_segment"))
+    once = segments.select("c", *[F.when(F.col("c") % n != 0, F.col(k)).alias(k) for k, n in gaps.items()], name.alias("customer_segment"))
+    t["int_customer_rfm_segments"] = once.unionByName(once.filter("c % 23 = 0"))
+    segment, rows = F.col("customer_segment"), t["fct_customer_segment_orders"]
+    some = rows.select(
+        "customer_segment",
+        F.when(segment != "Hibernating", F.col("customer_count")).alias("customer_count"),
+        F.when(~segment.isin("At-Risk", "Hibernating"), F.col("avg_lifetime_value")).alias("avg_lifetime_value"),
+        "avg_order_frequency",
+        F.when(segment == "Champions", F.col("avg_days_since_last_order")).alias("avg_days_since_last_order"),
+    )
+    unnamed = some.filter(segment == "Champions").select(
+        F.lit(None).cast("string").alias("customer_segment"), "customer_count", "avg_lifetime_value", F.lit(None).cast(some.schema["avg_order_frequency"].dataType).alias("avg_order_frequency"),
+        "avg_days_since_last_order")
+    t["fct_customer_segment_orders"] = some.unionByName(some.filter(segment != "Champions")).unionByName(unnamed)
+    return Q.run_checks(t, jaffle.MART_CHECKS)
 
 
 _V1 = with_(ITEMS) + """SELECT order_item_id, order_id, product_id, customer_id, ordered_at, product_name,
