@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,41 +35,71 @@ def materialization_candidates(
     return counts.withColumn("is_candidate", gate)
 
 
+def _chains(arcs: DataFrame) -> DataFrame:
+    """Views with a single way down, each with the first relation on that way that is no such view, and the steps to it.
+
+    Pointer doubling: every view points at its child, then at what its target points at, twice per round, so a chain of n
+    views takes log n doublings. Views that still point at one of their kind when a round changes no more are on
+    a ring or lead into one.
+    """
+    ways = arcs.groupBy("parent").agg(F.count(F.lit(1)).alias("n"), F.max("child").alias("end"))
+    state, before = ways.where("n = 1").select(F.col("parent").alias("view"), "end", F.lit(1).alias("steps"), F.lit(False).alias("open")), None
+    while True:
+        for _ in range(2):
+            on = state.select(F.col("view").alias("end"), F.col("end").alias("next"), F.col("steps").alias("more"))
+            state = state.join(on, "end", "left").select(
+                "view",
+                F.coalesce("next", "end").alias("end"),
+                (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+                F.col("next").isNotNull().alias("open"),
+            )
+        path = scratch_path(arcs.sparkSession, "chains")
+        still = write_counted(state, path, still=F.count_if("open"))["still"]
+        state = arcs.sparkSession.read.schema(state.schema).parquet(path)
+        if not still or still == before:
+            return state.where("not open").drop("open")
+        before = still
+
+
 def view_chain_hops(
     edges: DataFrame, relations: DataFrame, max_depth: int | None = None, steps_per_round: int = 4
 ) -> DataFrame:
     """Fewest steps downstream from each view to something stored.
 
-    ``relations`` holds ``name, is_stored``. Works backwards from the stored relations, a few joins per
-    round; a view is settled in the round that first reaches it, so cycles end by
-    themselves. The new views of each round are written out, which keeps every plan short. A graph deeper than
-    ``max_depth``, where one is given, is an error, not a shorter answer.
+    ``relations`` holds ``name, is_stored``. Views with a single way down are cut out first: an arc to one becomes
+    a longer arc to the end of its chain. What remains, views with several ways, is settled from the stored
+    relations backwards. In each step only views that have just come closer pass their distance on; a round
+    of steps is one plan without a repeated input, its result is written, and the rounds end when one improves nothing.
+    Rings end by themselves. A graph deeper than ``max_depth``, where one is given, is an error, not a shorter answer.
     """
+    spark = edges.sparkSession
     views = relations.filter(~F.col("is_stored")).select("name")
-    arcs = edges.select("parent", "child").distinct().join(views, F.col("parent") == F.col("name"), "left_semi")
+    arcs = edges.select("parent", "child").where("parent <> child").distinct().join(views, F.col("parent") == F.col("name"), "left_semi")
     arcs = materialise(arcs, "arcs")
-    frontier = relations.filter("is_stored").select(F.col("name").alias("child"))
-    spark, paths = edges.sparkSession, []
-
-    def settled_views() -> DataFrame:
-        return spark.read.schema("view_name string, min_hops_to_table int").parquet(*paths)
-
-    for start in count(0, steps_per_round):
-        if max_depth is not None and start >= max_depth:
-            raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")
-        end, reached = start + steps_per_round, None
-        for hops in range(start + 1, end + 1):
-            views_here = arcs.join(frontier, "child", "left_semi").select(F.col("parent").alias("view_name")).distinct()
-            step = views_here.withColumn("min_hops_to_table", F.lit(hops))
-            reached = step if reached is None else reached.unionByName(step)
-            frontier = views_here.withColumnRenamed("view_name", "child")
-        nearest = reached.groupBy("view_name").agg(F.min("min_hops_to_table").alias("min_hops_to_table"))
-        if paths:
-            nearest = nearest.join(settled_views(), "view_name", "left_anti")
+    chains = _chains(arcs)
+    ends = chains.select(F.col("view").alias("child"), "end", "steps")
+    branching = arcs.join(chains.select(F.col("view").alias("parent")), "parent", "left_anti")  # views on rings stay, and do no harm
+    longer = branching.join(ends, "child", "left").select(
+        "parent", F.coalesce("end", "child").alias("child"), (1 + F.coalesce("steps", F.lit(0))).alias("steps")
+    )
+    longer = materialise(longer.groupBy("parent", "child").agg(F.min("steps").alias("steps")), "arcs")
+    state = relations.filter("is_stored").select(F.col("name").alias("view"), F.lit(0).alias("hops"), F.lit(True).alias("closer"))
+    while True:
+        for _ in range(steps_per_round):
+            met = state.join(longer, (F.col("view") == F.col("child")) & F.col("closer"), "left")
+            own = F.struct("view", "hops", F.lit(True).alias("own"))
+            passed = F.struct(F.col("parent").alias("view"), (F.col("hops") + F.col("steps")).alias("hops"), F.lit(False).alias("own"))
+            told = met.select(F.explode(F.array(own, passed)).alias("s")).select("s.*").where(F.col("view").isNotNull())
+            nearest = told.groupBy("view").agg(F.min("hops").alias("hops"), F.min(F.when(F.col("own"), F.col("hops"))).alias("old"))
+            state = nearest.select("view", "hops", (F.col("old").isNull() | (F.col("hops") < F.col("old"))).alias("closer"))
         path = scratch_path(spark, "hops")
-        farthest = write_counted(nearest, path, farthest=F.max("min_hops_to_table"))["farthest"]
-        paths.append(path)
-        if farthest is None or farthest < end:
-            return settled_views()
-        last = spark.read.parquet(path).filter(F.col("min_hops_to_table") == end)
-        frontier = last.select(F.col("view_name").alias("child"))
+        moved = write_counted(state, path, moved=F.count_if("closer"))["moved"]
+        state = spark.read.schema(state.schema).parquet(path)
+        if not moved:
+            break
+    along = chains.join(state.select(F.col("view").alias("end"), "hops"), "end").select("view", (F.col("hops") + F.col("steps")).alias("hops"))
+    settled = state.where("hops > 0").select("view", "hops").unionByName(along)
+    settled = settled.select(F.col("view").alias("view_name"), F.col("hops").cast("int").alias("min_hops_to_table"))
+    if max_depth is not None and (settled.agg(F.max("min_hops_to_table")).first()[0] or 0) > max_depth:
+        raise RuntimeError(f"views more than {max_depth} steps away from a stored relation")
+    return settled

@@ -152,6 +152,16 @@ def test_view_chain_hops_on_cyclic_graphs(spark, seed):
     assert dict(lineage.view_chain_hops(e, r).collect()) == best
 
 
+def test_view_chains_and_rings(spark):
+    """Long chains of single views, a ring that nothing leaves, a chain into it, and a view below two chains of unlike length."""
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(37)] + [("c37", "T1")]
+    ring = [(f"r{i}", f"r{(i + 1) % 5}") for i in range(5)] + [("into", "r2"), ("v", "v"), ("v", "c30")]
+    fork = [("f", "c0"), ("f", "d0"), *[(f"d{i}", f"d{i + 1}") for i in range(50)], ("d50", "T2"), ("g", "f"), ("lost", "nowhere")]
+    e, r = _graph(spark, chain + ring + fork + [("r9", "r3"), ("r9", "c35")])
+    got = dict(lineage.view_chain_hops(e, r).collect())
+    assert got == {f"c{i}": 38 - i for i in range(38)} | {f"d{i}": 51 - i for i in range(51)} | {"f": 39, "g": 40, "v": 9, "r9": 4}
+
+
 def test_view_chain_depth_is_bounded(spark):
     chain = [(f"v{i}", f"v{i + 1}") for i in range(6)] + [("v6", "T")]
     e, r = _graph(spark, chain)
