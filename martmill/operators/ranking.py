@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martmill.operators.cuts import cut_rows
 from martmill.session import materialise
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row below it.
@@ -51,19 +52,40 @@ def rank_first(df: DataFrame, metric: str, tiebreak: str, name: str = "rank", to
     return ranked.drop("_slice", "_row", "_before", "_total")
 
 
+def _cut_ranks(n: int, q: int) -> list[int]:
+    """The last rank of every bucket but the highest: rank r of n falls into bucket ceil((r - 1) * q / (n - 1)), at least 1."""
+    return [b * (n - 1) // q + 1 for b in range(1, q)] if n > 1 else []
+
+
+def quantile_buckets(df: DataFrame, metrics: Mapping[str, tuple[str, bool]], tiebreak: str, q: int = 5, stored: bool = False) -> DataFrame:
+    """Cut each metric at evenly spaced quantiles of its ranks into ``q`` labelled buckets, several metrics at a time.
+
+    ``metrics`` maps a column to the label's name and whether labels ascend with it. Linear quantiles of the
+    ranks, not NTILE: rank r of n falls into bucket ceil((r - 1) * q / (n - 1)), at least 1, in whole numbers
+    throughout; equal values go by the unique ``tiebreak``, NULL comes first. A single row is in bucket 1 before labels are reversed.
+
+    The rows are stored once (not again, if ``stored`` says that they are) and never sorted or shuffled: the rows at the cuts are found by nested histograms
+    (``operators.cuts``), and every row is compared with them.
+    """
+    df = df if stored else materialise(df, "buckets")
+    cuts = cut_rows(df, list(metrics), lambda n: _cut_ranks(n, q), tiebreak)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    labels = {}
+    for metric, (name, ascending) in metrics.items():
+        place = F.struct(F.col(metric).alias("v"), F.col(tiebreak).alias("k"))
+        label = F.lit(1)
+        for value, key in cuts[metric]:
+            cut = F.struct(F.lit(value).cast(kinds[metric]).alias("v"), F.lit(key).cast(kinds[tiebreak]).alias("k"))
+            label = label + (place > cut).cast("int")
+        labels[name] = (label if ascending else F.lit(q + 1) - label).cast("int")
+    return df.withColumns(labels)
+
+
 def quantile_bucket(
     df: DataFrame, metric: str, tiebreak: str, name: str, q: int = 5, ascending: bool = True
 ) -> DataFrame:
-    """Cut the ranks 1..n at evenly spaced quantiles into ``q`` labelled buckets.
-
-    Linear quantiles of the ranks, not NTILE: rank r of n falls into bucket
-    ceil((r - 1) * q / (n - 1)), at least 1, in whole numbers throughout. A single
-    row is bucket 1. ``ascending=False`` reverses the labels.
-    """
-    ranked = rank_first(df, metric, tiebreak, "_rank", "_n")
-    up = F.expr(f"CASE WHEN _n < 2 THEN 1L ELSE greatest(1L, ((_rank - 1) * {q} + _n - 2) div (_n - 1)) END")
-    label = up if ascending else F.lit(q + 1) - up
-    return ranked.withColumn(name, label.cast("int")).drop("_rank", "_n")
+    """``quantile_buckets`` of one metric."""
+    return quantile_buckets(df, {metric: (name, ascending)}, tiebreak, q)
 
 
 def rfm_metrics(
@@ -98,11 +120,11 @@ def rfm_metrics(
 SEGMENTS = ("Champions", "Loyal Customers", "Potential Loyalists", "At-Risk", "Hibernating")
 
 
-def rfm_segments(metrics: DataFrame, customer: str = "customer_id") -> DataFrame:
-    """Quintile scores, the three-digit score text and the customer segment."""
-    scored = quantile_bucket(metrics, "recency_days", customer, "_r", ascending=False)
-    scored = quantile_bucket(scored, "order_frequency", customer, "_f")
-    scored = quantile_bucket(scored, "lifetime_value", customer, "_m")
+def rfm_segments(metrics: DataFrame, customer: str = "customer_id", stored: bool = False) -> DataFrame:
+    """Quintile scores, the three-digit score text and the customer segment; ``stored``: the metrics come from a table."""
+    scored = quantile_buckets(
+        metrics, {"recency_days": ("_r", False), "order_frequency": ("_f", True), "lifetime_value": ("_m", True)}, customer, stored=stored
+    )
     r, f = F.col("_r"), F.col("_f")
     best, loyal, recent, fading, lost = SEGMENTS
     segment = (

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martmill.operators.ranking import rank_first
+from martmill.session import materialise
+
 # Look-back windows in days.
 MATERIALIZATION_LOOKBACK_DAYS = 7
 INCREMENTAL_LOOKBACK_DAYS = 14
@@ -24,47 +28,61 @@ def _recent(c: str, as_of: dt.date | Column, days: int) -> Column:
     return (day > F.date_sub(today, days)) & (day <= today)
 
 
-def join_text_match(queries: DataFrame, views: DataFrame) -> DataFrame:
+def _unquoted(text: Column) -> Column:
+    """The text without identifier quotes: a quoted part keeps its content, in which a doubled quote stands for one."""
+    for quote in ('"', "`"):
+        content = F.regexp_replace(text, f"{quote}((?:[^{quote}]|{quote}{quote})*+){quote}", "$1")
+        text = F.replace(content, F.lit(quote * 2), F.lit(quote))
+    return text
+
+
+def join_text_match(queries: DataFrame, views: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Pairs of query and view where the text holds the view's ``schema.name``, ignoring case.
 
-    Containment, as ILIKE '%schema.name%' would find it, but by equi-joins only. A hit always spans a dot,
-    with ``schema`` at the end of the word before and ``name`` at the start of the word after. So:
-    take the dotted word pairs of every text, reduce them to the distinct ones, look up there which
-    views a pair holds (by prefix of the second word), and carry the answer back by equality.
-    View names must consist of word characters.
+    Containment, as ILIKE '%schema.name%' would find it, in the text as it stands or without its identifier quotes: double
+    quotes and backticks are taken off, and a doubled quote between them stands for one. Names may hold any characters of
+    any script, the name also dots; the first dot ends the schema. A view name without a dot matches nothing.
+
+    A hit always spans a dot, with the schema at the end of what stands before and the name at the start of what
+    follows. So each text is cut at its dots, what follows a dot is looked up by equality once for each
+    length that names have, and the schema decides. The texts are read once, and no text meets every view.
 
-    ``queries``: ``query_id, query_text``. ``views``: ``view_name`` as ``schema.name``.
+    ``queries``: ``query_id, query_text`` and the columns to ``carry`` along; ``views``: ``view_name``.
     """
-    # One pass over the text finds the dotted chains; a chain a.b.c holds the pairs (a, b) and (b, c).
-    chains = F.regexp_extract_all(F.lower("query_text"), F.lit(r"\w+(?:\.\w+)+"), F.lit(0))
-
-    def pairs(chain: Column) -> Column:
-        words = F.split(chain, F.lit(r"\."))
-        return F.transform(
-            F.sequence(F.lit(1), F.size(words) - 1),
-            lambda i: F.struct(F.element_at(words, i).alias("_head"), F.element_at(words, i + 1).alias("_tail")),
-        )
-
-    used = (
-        queries.select("query_id", F.explode(F.flatten(F.transform(chains, pairs))).alias("_pair"))
-        .select("query_id", "_pair.*")
-        .distinct()
+    name = F.lower("view_name")
+    schema = F.substring_index(name, ".", 1)
+    index = views.select("view_name").distinct().select(
+        "view_name", schema.alias("_schema"), F.substr(name, F.length(schema) + 2).alias("_name")
+    ).where(F.length("_name") > 0)
+    # One row: the lengths that names have, at most as many as an identifier may have characters.
+    sizes = index.agg(
+        F.collect_set(F.length("_name")), F.max(F.length("_schema")), F.max(F.size(F.split("_name", r"\.")))
+    ).first()
+    if not sizes[0]:
+        return queries.select("query_id", F.lit(None).cast("string").alias("view_name"), *carry).limit(0)
+    lengths, longest, parts = F.array(*[F.lit(n) for n in sorted(sizes[0])]), sizes[1], sizes[2]
+    texts = queries.select("query_id", *carry, F.lower("query_text").alias("_text"))
+    variants = texts.select("query_id", *carry, F.explode(F.array_distinct(F.array("_text", _unquoted(F.col("_text"))))).alias("_text"))
+    words = F.split("_text", r"\.")
+    around = F.arrays_zip(*[F.slice(words, i + 1, F.size(words) - (1 if i else 0)).alias(f"p{i}") for i in range(parts + 1)])
+    dots = variants.select("query_id", *carry, F.explode(around).alias("_p")).where(F.col("_p.p1").isNotNull())
+    beside = dots.select(
+        "query_id", *carry, F.right("_p.p0", F.lit(longest)).alias("_before"), F.concat_ws(".", *[f"_p.p{i + 1}" for i in range(parts)]).alias("_after")
     )
-    longest = views.agg(F.max(F.length(F.substring_index("view_name", ".", -1)))).scalar()
-    starts = (
-        used.select("_head", "_tail")
-        .distinct()
-        .withColumn("_len", F.explode(F.sequence(F.lit(1), F.least(F.length("_tail"), longest))))
-        .withColumn("_name", F.substring("_tail", F.lit(1), F.col("_len")))
-    )
-    named = views.select(
-        "view_name",
-        F.substring_index(F.lower("view_name"), ".", 1).alias("_schema"),
-        F.substring_index(F.lower("view_name"), ".", -1).alias("_name"),
-    )
-    hits = starts.join(named, "_name").filter(F.expr("endswith(_head, _schema)"))
-    hits = hits.select("_head", "_tail", "view_name")
-    return used.join(hits, ["_head", "_tail"]).select("query_id", "view_name").distinct()
+    held = beside.withColumn("_n", F.explode(lengths)).where(F.col("_n") <= F.length("_after"))
+    hits = held.withColumn("_name", F.left("_after", "_n")).join(index, "_name").filter(F.endswith("_before", "_schema"))
+    return hits.select("query_id", "view_name", *carry).distinct()
+
+
+# Bits of one word of a table set.
+_WORD = 64
+
+
+def _table_sets(df: DataFrame, owner: str, numbered: DataFrame) -> DataFrame:
+    """Per owner its set of tables, as a map from a word's number to its bits."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_n") % _WORD).cast("int"))
+    words = df.join(numbered, "table_name").groupBy(owner, F.floor(F.col("_n") / _WORD).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return words.groupBy(owner).agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_set"))
 
 
 def query_view_attribution(
@@ -73,30 +91,34 @@ def query_view_attribution(
     view_tables: DataFrame,
     as_of: dt.date | Column,
     days: int = MATERIALIZATION_LOOKBACK_DAYS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Which query used which view: its text names the view, and it scanned every table below it.
 
-    ``queries``: ``query_id, query_text, started_at``; ``scans``: ``query_id, table_name``, one row per
-    scanned table; ``view_tables``: ``view_name, table_name``.
+    Relational division by bit sets: the tables below views are numbered, a query's scans and a view's tables become words
+    of 64 bits, and a query covers a view if no bit of the view is missing. Tables below no view are left out.
+
+    ``queries``: ``query_id, query_text, started_at`` and the columns to ``carry`` along; ``scans``: ``query_id,
+    table_name``, one row per scanned table; ``view_tables``: ``view_name, table_name``.
     """
     recent = queries.filter(_recent("started_at", as_of, days))
     below = view_tables.select("view_name", "table_name").distinct()
-    needed = below.groupBy("view_name").agg(F.count(F.lit(1)).alias("_needed"))
-    matched = join_text_match(recent, needed.select("view_name"))
-    scanned = scans.select("query_id", "table_name").distinct()
-    covered = (
-        matched.join(below, "view_name")
-        .join(scanned, ["query_id", "table_name"])
-        .groupBy("query_id", "view_name")
-        .agg(F.count(F.lit(1)).alias("_covered"))
-    )
-    full = covered.join(needed, "view_name").filter(F.col("_covered") == F.col("_needed"))
-    return full.select("query_id", "view_name")
-
-
-def rescanned_gb(attribution: DataFrame, queries: DataFrame) -> DataFrame:
-    """Queries and gigabytes read per view; ``queries`` adds ``query_id, scanned_bytes``."""
-    return attribution.join(queries.select("query_id", "scanned_bytes"), "query_id").groupBy("view_name").agg(
+    numbered = rank_first(below.select("table_name").distinct(), "table_name", "table_name", "_n")
+    needed = materialise(_table_sets(below, "view_name", numbered), "view-tables").withColumnRenamed("_set", "_needed")
+    matched = join_text_match(recent, needed, carry)
+    scanned = _table_sets(scans.select("query_id", "table_name"), "query_id", numbered)
+    both = matched.join(needed, "view_name").join(scanned, "query_id")
+    none = F.lit(0).cast("bigint")
+    covers = F.forall(F.map_entries("_needed"), lambda e: F.coalesce(F.col("_set")[e["key"]], none).bitwiseAND(e["value"]) == e["value"])
+    return both.filter(covers).select("query_id", "view_name", *carry)
+
+
+def rescanned_gb(attribution: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """Queries and gigabytes read per view. The attribution carries ``scanned_bytes``, or ``queries`` adds them
+    by ``query_id``."""
+    if queries is not None:
+        attribution = attribution.join(queries.select("query_id", "scanned_bytes"), "query_id")
+    return attribution.groupBy("view_name").agg(
         F.count(F.lit(1)).alias("query_count"),
         (F.sum("scanned_bytes") / F.lit(2**30)).alias("total_gb_rescanned"),
     )

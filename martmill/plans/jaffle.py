@@ -176,7 +176,7 @@ def daily_orders_summary(order_items: DataFrame, holidays: DataFrame) -> DataFra
 
 
 def customer_rfm_segments(order_items: DataFrame) -> DataFrame:
-    return rfm_segments(rfm_metrics(order_items))
+    return rfm_segments(rfm_metrics(order_items), stored=True)
 
 
 def customer_segment_orders(segments: DataFrame, customers: DataFrame) -> DataFrame:

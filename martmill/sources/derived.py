@@ -334,6 +334,23 @@ class Given:
             (F.round(F.col("value") * 100).cast("bigint") * 1048576).alias("scanned_bytes"),
         )
 
+    def odd_views(self) -> DataFrame:
+        """Views with names of other scripts, hyphens, blanks, dots and quotes, one per part."""
+        k = _text("p_partkey")
+        kind = F.col("p_partkey") % 4
+        name = F.when(kind == 0, F.concat(F.lit("größe.v_"), k)).when(kind == 1, F.concat(F.lit("int.v-"), k))
+        name = name.when(kind == 2, F.concat(F.lit('my int.v "'), k, F.lit('"'))).otherwise(F.concat(F.lit("σχ.v."), k, F.lit("`x")))
+        return self.raw("part").select(name.alias("view_name"))
+
+    def odd_query_log(self) -> DataFrame:
+        """One query per event that names such views, plainly or between quotes with doubled quotes inside."""
+        n, form = _text(F.col("event_id") % 401), F.col("event_id") % 3
+        plain = F.concat(F.lit("select * from GRÖSSE.V_"), n, F.lit(", Größe.v_"), n, F.lit(" join my_int.V-"), n, F.lit(" on 1.5 = a.b"))
+        double = F.concat(F.lit('SELECT x."y.z", "My INT"."V ""'), n, F.lit('""" FROM "größe".v_'), n, F.lit(" t"))
+        back = F.concat(F.lit("with c as (select `a``b`.q from `ΣΧ`.`v."), n, F.lit("``x`) select 'int.v-"), n, F.lit("' from \"int\"."), n)
+        text = F.when(form == 0, plain).when(form == 1, double).otherwise(back)
+        return self.raw("events").select(F.col("event_id").alias("query_id"), text.alias("query_text"))
+
     def query_scans(self) -> DataFrame:
         """Tables each query scanned: half of the ten base tables, starting anywhere."""
         i = F.explode(F.sequence(F.lit(0), F.lit(4)))

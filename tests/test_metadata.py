@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from martmill.operators import catalog, lineage, workload
 
@@ -270,3 +271,29 @@ def test_a_long_word_does_not_blow_up(spark):
     q = spark.createDataFrame([(1, "int." + "v" * 100_000)], "query_id int, query_text string")
     v = spark.createDataFrame([("int.vv",)], "view_name string")
     assert workload.join_text_match(q, v).count() == 1
+
+
+def test_text_match_of_any_identifier(spark, rows):
+    views = spark.createDataFrame([("größe.v_1",), ("int.v-1",), ("My S.a \"b\"",), ("x.y.z",), ("s.t`u",), ("nodot",), ("e.",), ("int.v",)], "view_name string")
+    texts = [
+        "select * from GRÖSSE.V_1, Größe.V_1", 'from "größe"."v_1"', "from `int`.`v-1`", "from my_int.v-12", 'from "my s"."A ""b""" t', "from a.x.y.zed", "from x.y . z", "from s.`t``u`",
+        "nodot e. s", "'int.v' || \"int", "1.5", "", None, "." * 50, "é" * 2000 + ".int.v-1",
+    ]
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_id int, query_text string")
+    got = rows(workload.join_text_match(queries.withColumn("b", F.col("query_id") * 2), views, carry=["b"]))
+    want = {(0, "größe.v_1"), (1, "größe.v_1"), (2, "int.v-1"), (3, "int.v-1"), (4, 'My S.a "b"'), (5, "x.y.z"), (7, "s.t`u"), (14, "int.v-1")}
+    want |= {(q, "int.v") for q in (2, 3, 9, 14)}
+    assert got == sorted(((q, v, 2 * q) for q, v in want), key=repr)
+    assert workload.join_text_match(queries, views.limit(0)).count() == 0
+
+
+def test_attribution_needs_every_table_of_many(spark, rows):
+    """200 tables below a view: several words of bits; one scan short is no use of the view."""
+    day = dt.datetime(2024, 1, 8)
+    queries = spark.createDataFrame([(1, "from s.wide", day), (2, "from s.wide", day), (3, "from s.slim", day), (4, "from s.slim", day - dt.timedelta(days=9))], "query_id int, query_text string, started_at timestamp_ntz")
+    below = [("s.wide", f"t{i}") for i in range(200)] + [("s.slim", "t7"), ("s.slim", "t7"), ("s.slim", "t199")]
+    scans = [(1, f"t{i}") for i in range(200)] + [(2, f"t{i}") for i in range(199)] + [(3, "t7"), (3, "t199"), (3, "other"), (4, "t7"), (4, "t199")]
+    got = workload.query_view_attribution(
+        queries, spark.createDataFrame(scans, "query_id int, table_name string"), spark.createDataFrame(below, "view_name string, table_name string"), dt.date(2024, 1, 8)
+    )
+    assert rows(got) == [(1, "s.wide"), (3, "s.slim")]

@@ -1,9 +1,12 @@
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from martmill.operators import cuts
 from martmill.operators import ranking as R
 from martmill.plans import jaffle
 
@@ -95,3 +98,37 @@ def test_segment_summary_skips_the_customer_table(spark):
     customers = spark.createDataFrame([("a",), ("b",)], "customer_id string")
     got = {r["customer_segment"]: tuple(float(x) for x in r[1:]) for r in jaffle.customer_segment_orders(segments, customers).collect()}
     assert got == {"Champions": (2, 10.5, 2.5, 4.0), "At-Risk": (1, 1.0, 1.0, 9.0)}
+
+
+def test_cuts_of_any_type_are_exact(spark):
+    """Every rank asked for is the row a full sort puts there: hot values, NULLs, long common prefixes, floats of all sizes."""
+    r = random.Random(12)
+    day, moment = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 3)
+    rows, keys = [], r.sample([f"{'same long prefix ' * (i % 2)}{i:05d}é"[: 8 + i % 40] + f"-{i}" for i in range(3000)], 3000)
+    for i, k in enumerate(keys):
+        rows.append((
+            k, 7 if i % 3 else r.randint(-(10**18), 10**18), None if i % 5 == 0 else r.choice([0.0, -0.0, float("nan"), float("inf"), -1e300, 1e-300, r.gauss(0, 1)]), Decimal(r.randint(-500, 500)) / 100,
+            "x" * (i % 9) + chr(97 + i % 3), day + dt.timedelta(days=i % 11), moment + dt.timedelta(microseconds=r.randint(0, 10**12)), bool(i % 2),
+        ))
+    df = spark.createDataFrame(rows, "k string, i bigint, d double, m decimal(10,2), s string, t date, z timestamp_ntz, b boolean").repartition(6)
+    ranks = sorted({1, 2, 600, 601, 1000, 1500, 2000, 2999, 3000, *(r.randint(1, 3000) for _ in range(20))})
+    metrics = ("i", "d", "m", "s", "t", "z", "b")
+    got = cuts.cut_rows(df, metrics, lambda n: ranks, "k", bins=7, few=50)
+    for m in metrics:
+        want = [x["k"] for x in df.orderBy(F.asc_nulls_first(m), "k").select("k").collect()]
+        assert [k for _, k in got[m]] == [want[n - 1] for n in ranks], m
+    assert cuts.cut_rows(df.limit(0), ["i"], lambda n: [], "k") == {"i": []}
+    with pytest.raises(TypeError):
+        cuts.cut_rows(df.select("k", F.array("i").alias("a")), ["a"], lambda n: [1], "k")
+
+
+def test_buckets_need_no_sort(spark):
+    df = spark.range(5000).withColumn("v", F.when(F.col("id") % 3 > 0, F.lit(5)).otherwise(F.col("id")))
+    out = R.quantile_buckets(df, {"v": ("up", True), "id": ("down", False)}, "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    order = [x["id"] for x in out.orderBy("v", "id").collect()]
+    want = {k: max(1, -(-(i * 5) // 4999)) for i, k in enumerate(order)}
+    got = {x["id"]: (x["up"], x["down"]) for x in out.collect()}
+    assert all(got[k] == (want[k], 6 - max(1, -(-(k * 5) // 4999))) for k in got)
+    assert R.quantile_buckets(df.limit(0), {"v": ("up", True)}, "id").count() == 0

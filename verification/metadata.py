@@ -126,18 +126,38 @@ def join_text_match(g):
     return workload.join_text_match(g.query_log(), g.views().select("view_name").distinct())
 
 
+# Views of other scripts and signs, and texts that name them plainly, in double quotes or in backticks.
+ODD = '''odd_views AS (SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'größe.v_' || p_partkey WHEN 1 THEN 'int.v-' || p_partkey
+    WHEN 2 THEN 'my int.v "' || p_partkey || '"' ELSE 'σχ.v.' || p_partkey || '`x' END AS view_name FROM part),
+  odd_log AS (SELECT event_id AS query_id, CASE event_id % 3
+      WHEN 0 THEN 'select * from GRÖSSE.V_' || n || ', Größe.v_' || n || ' join my_int.V-' || n || ' on 1.5 = a.b'
+      WHEN 1 THEN 'SELECT x."y.z", "My INT"."V ""' || n || '""" FROM "größe".v_' || n || ' t'
+      ELSE 'with c as (select `a``b`.q from `ΣΧ`.`v.' || n || '``x`) select \\'\\'int.v-' || n || '\\'\\' from "int".' || n END AS query_text
+    FROM (SELECT event_id, event_id % 401 AS n FROM events))'''.replace("\\'\\'", "''")
+_BARE = "lower(query_text)"
+for _q in ('"', "`"):
+    _BARE = f"replace(regexp_replace({_BARE}, '{_q}((?:[^{_q}]|{_q}{_q})*){_q}', '\\1', 'g'), '{_q}{_q}', '{_q}')"
+
+
+@query(with_(ODD) + f"""SELECT query_id, view_name FROM (SELECT query_id, lower(query_text) AS a, {_BARE} AS b FROM odd_log), odd_views
+WHERE contains(a, lower(view_name)) OR contains(b, lower(view_name))""")
+def join_text_match_any_script(g):
+    """Names with hyphens, blanks, quotes and letters beyond ASCII; quoted parts keep doubled quotes."""
+    return workload.join_text_match(g.odd_query_log(), g.odd_views())
+
+
 def _attribution(g):
-    return workload.query_view_attribution(g.query_log(), g.query_scans(), g.views(), g.last_event_day())
+    return workload.query_view_attribution(g.query_log(), g.query_scans(), g.views(), g.last_event_day(), carry=["scanned_bytes"])
 
 
 @query(with_(LOG, VIEWS, MATCHED) + "SELECT query_id, view_name FROM matched")
 def query_view_attribution(g):
-    return _attribution(g)
+    return _attribution(g).select("query_id", "view_name")
 
 
 @query(with_(LOG, VIEWS, MATCHED) + "SELECT view_name, count(*) AS query_count, CAST(sum(bytes) AS DOUBLE) / 1073741824 AS total_gb_rescanned FROM matched GROUP BY 1")
 def rescanned_gb(g):
-    return workload.rescanned_gb(_attribution(g), g.query_log())
+    return workload.rescanned_gb(_attribution(g))
 
 
 @query(with_(LOG, VIEWS, MATCHED, EDGES, "down AS (SELECT i, count(DISTINCT j) AS n FROM arcs GROUP BY i)",
@@ -149,7 +169,7 @@ def materialization_candidates(g):
     """Views with three or more children, or with a query in the last week."""
     named = [F.replace(c, F.lit("rel_"), F.lit("int.v_")).alias(c) for c in ("parent", "child")]
     edges = g.edges().select(*named)
-    traffic = workload.rescanned_gb(_attribution(g), g.query_log())
+    traffic = workload.rescanned_gb(_attribution(g))
     return lineage.materialization_candidates(edges, g.views().select("view_name").distinct(), traffic, min_children=3)
 
 
