@@ -73,12 +73,18 @@ def cents_to_dollars(c: ColumnLike, variant: str = "default") -> Column:
 
     ``default``  divide exactly, then fix two decimal places, half up.
     ``pre_cast`` fix two places first, then divide: fractions of a cent survive.
+    ``rounded``  divide to nine places, then round to two, half up.
+    ``cast``     divide as it stands, then cast to two places.
     """
     c = as_column(c)
     if variant == "default":
         return (c.cast("decimal(18,0)") / F.lit(Decimal(100))).cast("decimal(16,2)")
     if variant == "pre_cast":
         return c.cast("decimal(16,2)") / F.lit(Decimal(100))
+    if variant == "rounded":
+        return F.round((c.cast("decimal(18,2)") / F.lit(Decimal(100))).cast("decimal(38,9)"), 2)
+    if variant == "cast":
+        return (c.cast("decimal(18,2)") / F.lit(Decimal(100))).cast("decimal(16,2)")
     raise ValueError(f"unknown variant {variant!r}")
 
 

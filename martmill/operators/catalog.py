@@ -113,22 +113,18 @@ def describe_columns(columns: DataFrame, column_tags: DataFrame) -> DataFrame:
 def column_descriptions(columns: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Column listing with the description found under the exact name, else the lower-case name, else ''.
 
-    ``descriptions`` holds ``table_name, column_name, column_description``, one row per column.
+    ``descriptions`` holds ``table_name, column_name, column_description``. Several descriptions of one name count as
+    one, the smallest that is not NULL; they are reduced before they meet the columns, in one join for both spellings.
     """
-    exact = descriptions.select(
-        F.col("table_name").alias("_t1"), F.col("column_name").alias("_c1"), F.col("column_description").alias("_d1"),
-        F.lit(True).alias("_found"),
-    )
-    lower = descriptions.select(
-        F.col("table_name").alias("_t2"), F.col("column_name").alias("_c2"), F.col("column_description").alias("_d2")
-    )
-    joined = columns.join(
-        exact, (F.col("table_name") == F.col("_t1")) & (F.col("column_name") == F.col("_c1")), "left"
-    ).join(lower, (F.col("table_name") == F.col("_t2")) & (F.lower("column_name") == F.col("_c2")), "left")
-    text = F.when(F.col("_found"), F.col("_d1")).otherwise(F.col("_d2"))
-    return joined.select(
-        "table_name", F.lower("column_name").alias("column_name"), F.coalesce(text, F.lit("")).alias("column_description")
+    order = F.struct(F.col("column_description").isNull(), "column_description")
+    one = descriptions.groupBy("table_name", "column_name").agg(F.min_by("column_description", order).alias("_text"))
+    spellings = one.groupBy("table_name", F.lower("column_name").alias("_name")).agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", "_text"))).alias("_texts")
     )
+    joined = columns.withColumn("_name", F.lower("column_name")).join(spellings, ["table_name", "_name"], "left")
+    exact = F.map_contains_key("_texts", F.col("column_name"))
+    text = F.col("_texts")[F.when(exact, F.col("column_name")).otherwise(F.col("_name"))]
+    return joined.select("table_name", F.col("_name").alias("column_name"), F.coalesce(text, F.lit("")).alias("column_description"))
 
 
 def grant_drift(desired: DataFrame, actual: DataFrame, privilege: str) -> DataFrame:

@@ -271,11 +271,16 @@ class Given:
         )
 
     def described_columns(self) -> DataFrame:
-        """Lower-case column names with a text, missing for every fifth line number."""
-        c = self.columns().select("table_name", F.lower("column_name").alias("column_name")).distinct()
-        return c.filter(~F.col("column_name").endswith("5")).select(
-            "table_name", "column_name", F.concat_ws(" of ", "column_name", "table_name").alias("column_description")
-        )
+        """Lower-case column names with two texts each, missing for every fifth line number; in every fifth table the
+        upper-case names have texts of their own."""
+        c = self.columns().select("table_name", "column_name").distinct()
+        lower = c.select("table_name", F.lower("column_name").alias("column_name")).distinct().filter(~F.col("column_name").endswith("5"))
+        number = F.substring_index("table_name", "_", -1).cast("bigint")
+        upper = c.filter((number % 5 == 0) & (F.col("column_name") != F.lower("column_name")))
+        texts = lower.select("table_name", "column_name", F.concat_ws(" of ", "column_name", "table_name").alias("column_description"))
+        again = lower.select("table_name", "column_name", F.lit("repeated").alias("column_description"))
+        exact = upper.select("table_name", "column_name", F.explode(F.array(F.lit("spelled exactly"), F.lit("spelled so again"), F.lit(None))).alias("column_description"))
+        return texts.unionByName(again).unionByName(exact)
 
     def relations(self) -> DataFrame:
         """Relations for the lineage: every fifth size is stored, the rest are views."""

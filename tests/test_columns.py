@@ -131,3 +131,18 @@ def test_initcap_and_case_when(spark):
     kind = C.case_when((F.col("c") > 2, "big"), (F.col("c") > 1, "mid"))
     assert one(spark, kind, c=("int", 2)) == "mid"
     assert one(spark, kind, c=("int", 0)) is None
+
+
+def test_sql_functions_equal_the_column_helpers(spark):
+    from martmill.functions.sql import register_functions
+
+    df = spark.createDataFrame([("12.85",), ("0.50",), ("-0.50",), ("101.49",), (None,)], "t string").select(F.col("t").cast("decimal(18,2)").alias("c"))
+    assert "cents_to_dollars" in register_functions(spark) and register_functions(spark)
+    names = {"default": "cents_to_dollars", "pre_cast": "cents_to_dollars_pre_cast", "rounded": "cents_to_dollars_rounded", "cast": "cents_to_dollars_cast"}
+    for variant, name in names.items():
+        both = spark.sql(f"SELECT {name}(c) AS x, c FROM {{df}}", df=df).withColumn("y", C.cents_to_dollars("c", variant))
+        assert all(r["x"] == r["y"] for r in both.collect()), variant
+        assert "cents_to_dollars" not in both._jdf.queryExecution().optimizedPlan().toString()
+    got = [str(r[0]) for r in df.select(C.cents_to_dollars("c", "rounded")).collect()]
+    assert got == ["0.13", "0.01", "-0.01", "1.01", "None"]
+    assert spark.sql("SELECT mask_column('a', NULL), mask_column('a', true), flag_equals(NULL, 'a'), safe_ratio(1, 0)").first()[:3] == ("REDACTED", "a", False)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from martmill.functions import columns as C
+from martmill.functions.sql import register_functions
 from martmill.sources.tables import scan_source
 from verification import query
 from verification.sqltext import BIKE_CUSTOMERS, BIKE_ORDERS, BIKE_PRODUCTS, RAW_ORDERS, with_
@@ -161,3 +162,19 @@ def distinct(g):
 @query("SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey")
 def order_by(g):
     return g.raw("part").select("p_partkey", "p_retailprice").orderBy(F.col("p_retailprice").desc(), "p_partkey")
+
+
+@query("""SELECT o_orderkey, (t + 1) // 2 / 100.0::DOUBLE AS dollars, t / 200.0::DOUBLE AS pre_cast, (t + 1) // 2 / 100.0::DOUBLE AS rounded, (t + 1) // 2 / 100.0::DOUBLE AS "cast",
+  CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE 'REDACTED' END AS priority, o_orderpriority = '1-URGENT' AS is_urgent,
+  CAST(CAST(o_orderdate AS DATE) - 7 AS TIMESTAMP) AS week_before
+FROM (SELECT *, 2 * CAST(round(o_totalprice * 100) AS BIGINT) + o_orderkey % 2 AS t FROM orders)""")
+def sql_functions(g):
+    """The helpers called from SQL; every second amount has half a cent."""
+    register_functions(g.spark)
+    cents = (F.col("o_totalprice") * 100 + F.col("o_orderkey") % 2 * F.lit("0.5").cast("decimal(2,1)")).cast("decimal(18,2)")
+    return g.spark.sql(
+        """SELECT o_orderkey, cents_to_dollars(cents) AS dollars, cents_to_dollars_pre_cast(cents) AS pre_cast, cents_to_dollars_rounded(cents) AS rounded,
+        cents_to_dollars_cast(cents) AS cast, mask_column(o_orderpriority, o_orderkey % 5 = 0) AS priority, flag_equals(o_orderpriority, '1-URGENT') AS is_urgent,
+        date_shift_days(to_date(o_orderdate), -7) AS week_before FROM {orders}""",
+        orders=g.raw("orders").withColumn("cents", cents),
+    )

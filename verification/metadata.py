@@ -60,7 +60,8 @@ def describe_columns(g):
 
 
 @query(with_(COLUMNS) + """SELECT table_name, lower(column_name) AS column_name,
-  CASE WHEN lower(column_name) LIKE '%5' THEN '' ELSE lower(column_name) || ' of ' || table_name END AS column_description FROM cols""")
+  CASE WHEN column_name <> lower(column_name) AND CAST(split_part(table_name, '_', 2) AS BIGINT) % 5 = 0 THEN 'spelled exactly'
+    WHEN lower(column_name) LIKE '%5' THEN '' ELSE lower(column_name) || ' of ' || table_name END AS column_description FROM cols""")
 def column_descriptions(g):
     return catalog.column_descriptions(g.columns(), g.described_columns())
 
