@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from martmill.functions.columns import date_shift, safe_ratio
 from martmill.operators.joins import join_full, join_on_spine
+from martmill.operators.partials import Rollup
+from martmill.session import materialise
 
 PERIOD = "period"
 Grain = str | None
@@ -97,6 +99,32 @@ def measures(
     return rows.groupBy(*keys).agg(*[_aggregate(model.measure(m)).alias(name) for name, m in named.items()])
 
 
+def cube(
+    model: SemanticModel,
+    named: Mapping[str, str],
+    sets: Mapping[str, tuple[Grain, Sequence[str]]],
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> DataFrame:
+    """Measures for several groupings at once, each a grain and dimensions; ``grouping`` names the one a row belongs to.
+
+    The table is read once: it is reduced to the parts of its figures by day and all dimensions, and every grouping adds up
+    the stored parts. Distinct counts stay exact, as their parts are sets.
+    """
+    dimensions = list(dict.fromkeys(d for _, dims in sets.values() for d in dims))
+    chosen = {name: model.measure(m) for name, m in named.items()}
+    rollup = Rollup(
+        ["_day", *dimensions],
+        sums={name: m.expr for name, m in chosen.items() if m.agg == "sum"},
+        distinct={name: m.expr for name, m in chosen.items() if m.agg == "count_distinct"},
+    )
+    parts = materialise(rollup.parts(_rows(model, dimensions, start, end)), "cube-parts")
+    keys = {}
+    for label, (grain, dims) in sets.items():
+        keys[label] = {PERIOD: period_of(F.col("_day"), grain) if grain else F.lit(None).cast("date"), **{d: F.col(d) for d in dims}}
+    return rollup.at_sets(parts, keys).select("grouping", PERIOD, *dimensions, *named)
+
+
 def spine_periods(spine: DataFrame, grain: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """The calendar's periods at a grain, from a one-column frame of days."""
     spine = bounded(spine, spine.columns[0], start, end)

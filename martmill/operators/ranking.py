@@ -109,6 +109,11 @@ def rfm_metrics(
         ),
         "rfm",
     )
+    return rfm_of(per_customer, customer)
+
+
+def rfm_of(per_customer: DataFrame, customer: str = "customer_id") -> DataFrame:
+    """The metrics from stored customer figures: ``_last`` order, ``order_frequency``, ``lifetime_value``."""
     snapshot = per_customer.agg(F.max("_last")).scalar()
     elapsed = F.extract(F.lit("DAY"), snapshot - F.col("_last"))
     return per_customer.filter(F.col(customer).isNotNull()).select(

@@ -14,6 +14,7 @@ from martmill.functions.columns import (
 from martmill.operators import metrics as M
 from martmill.operators.aggregates import avg_rounded, conditional_sum
 from martmill.operators.joins import join_inner, join_left, join_unused_side
+from martmill.operators.partials import Rollup
 from martmill.operators.quality import Check, ContractColumn, enforce_contract, not_null_unique, project_version
 from martmill.operators.ranking import SEGMENTS, rfm_metrics, rfm_segments
 
@@ -179,6 +180,12 @@ def customer_rfm_segments(order_items: DataFrame) -> DataFrame:
     return rfm_segments(rfm_metrics(order_items), stored=True)
 
 
+# Customer figures as parts that take in deltas of order items.
+CUSTOMER_ITEMS = Rollup(
+    ["customer_id"], sums={"lifetime_value": "coalesce(product_price, 0)"}, maxima={"_last": "ordered_at"}, distinct={"order_frequency": "order_id"}
+)
+
+
 def customer_segment_orders(segments: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers and average behaviour per segment. The customer dimension adds no column and,
     one row per customer being checked, no rows."""

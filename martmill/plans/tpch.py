@@ -9,6 +9,7 @@ from martmill.functions.columns import rename_project, trunc_month
 from martmill.operators.aggregates import count_and_sum
 from martmill.operators.incremental import PeriodTable, inc_watermark_inclusive
 from martmill.operators.joins import join_inner, join_left, join_left_preagg
+from martmill.operators.partials import Rollup
 from martmill.operators.quality import Check, not_null_unique
 
 # Source column to business name, per table.
@@ -191,6 +192,21 @@ def daily_sales(enriched: DataFrame) -> DataFrame:
     )
 
 
+# The same figures as parts that take in deltas of order lines and of orders.
+DAILY_SALES = Rollup(
+    ["event_date", "market_segment"],
+    sums={"net_revenue": "extended_price * (1 - discount)", "units_sold": "quantity"},
+    distinct={"order_count": "order_id"},
+)
+CUSTOMER_TOTALS = Rollup(["customer_id"], sums={"revenue_total": "order_total", "order_count": "1"})
+
+
+def customer_revenue_of(totals: DataFrame, geo: DataFrame) -> DataFrame:
+    """``customer_revenue`` from the finished totals."""
+    joined = join_left(geo.select("customer_id", "customer_name", "region_name", "market_segment"), (totals, "customer_id"))
+    return joined.fillna({"order_count": 0}).withColumn("revenue_total", F.coalesce("revenue_total", F.lit(0)))
+
+
 def supplier_dim(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
     return join_inner(suppliers, (nations.select("nation_id", "nation_name"), "nation_id")).select(
         "supplier_id", "supplier_name", "account_balance", "nation_name"

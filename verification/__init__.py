@@ -51,5 +51,5 @@ def query(sql: str | None = None, name: str | None = None):
 
 def load_all() -> None:
     from verification import (  # noqa: F401
-        bikeshop, functions, incremental, jaffle, joins, metadata, metrics, quality, ranking, storage, tpch,
+        bikeshop, functions, incremental, jaffle, joins, metadata, metrics, partials, quality, ranking, storage, tpch,
     )

@@ -87,18 +87,24 @@ def agg_order_priority_breakdown(g):
     return int_order_priorities_summary(g)
 
 
-@query(with_(GEO, f"o AS (SELECT o_custkey, sum({d2('o_totalprice')}) AS t, count(*) AS n FROM orders GROUP BY 1)") + """
+CUSTOMER_REVENUE = with_(GEO, f"o AS (SELECT o_custkey, sum({d2('o_totalprice')}) AS t, count(*) AS n FROM orders GROUP BY 1)") + """
 SELECT customer_id, customer_name, region_name, market_segment, CAST(coalesce(t, 0) AS DOUBLE) AS revenue_total,
-  coalesce(n, 0) AS order_count FROM geo LEFT JOIN o ON customer_id = o_custkey""")
+  coalesce(n, 0) AS order_count FROM geo LEFT JOIN o ON customer_id = o_custkey"""
+
+
+@query(CUSTOMER_REVENUE)
 def agg_customer_revenue(g):
     return tpch.customer_revenue(g.stage("orders"), g.customer_geo())
 
 
-@query(with_(ENRICHED) + f"""
+DAILY_SALES = with_(ENRICHED) + f"""
 SELECT event_date, market_segment,
   CAST(sum({d2('extended_price')} * (1 - CAST(discount AS DECIMAL(4,2)))) AS DOUBLE) AS net_revenue,
   CAST(sum({d2('quantity')}) AS DOUBLE) AS units_sold, count(DISTINCT order_id) AS order_count
-FROM enriched GROUP BY 1, 2""")
+FROM enriched GROUP BY 1, 2"""
+
+
+@query(DAILY_SALES)
 def agg_daily_sales(g):
     return tpch.daily_sales(g.lineitem_enriched())
 
