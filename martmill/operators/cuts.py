@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 _PIECE, _SHORT = 6, 3
 
 
-def _number(c: Column, kind: DataType, piece: int) -> Column:
+def order_number(c: Column, kind: DataType, piece: int = 0) -> Column:
     """A number in the order of the values; texts are read ``_PIECE`` bytes at a time."""
     if isinstance(kind, StringType):
         held = F.substring(c.cast("binary"), 1 + _PIECE * piece, _PIECE)
@@ -66,7 +66,7 @@ class _Order:
 
     def at(self, metric: str, n: int) -> Column:
         column, piece = (metric, n) if n < self.pieces[metric] else (self.key, n - self.pieces[metric])
-        return _number(F.col(column), self.kinds[column], piece)
+        return order_number(F.col(column), self.kinds[column], piece)
 
     def inside(self, r: _Range) -> Column:
         held = F.lit(True)

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 import os
 
@@ -35,22 +36,62 @@ def test_table_is_sorted_and_a_hot_value_fills_several_files(spark, tmp_path):
     df = spark.range(40000).withColumn("d", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 50))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with much data
     try:
-        out = sinks.publish_table(df, str(tmp_path / "t"), sort=["d"], spread=["id"])
+        out = sinks.publish_table(df, "sorted_table", str(tmp_path / "t"), sort=["d"], spread=["id"])
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     hot = out.filter("d = 7").select(F.input_file_name()).distinct().count()
     assert out.count() == 40000 and hot > 2
-    for name in os.listdir(tmp_path / "t"):
-        if name.endswith(".parquet"):
-            values = [r[0] for r in spark.read.parquet(str(tmp_path / "t" / name)).select("d").collect()]
-            assert values == sorted(values)
+    for name in out.inputFiles():
+        values = [r[0] for r in spark.read.parquet(name).select("d").collect()]
+        assert values == sorted(values)
 
 
 def test_partitioned_table(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
-    out = sinks.publish_table(df, str(tmp_path / "t"), partition_by=["p"], spread=["k"])
+    out = sinks.publish_table(df, "parted", str(tmp_path / "t"), partition_by=["p"], spread=["k"])
     assert rows(out, "k", "p") == [(1, "a"), (2, "b")]
-    assert sorted(n for n in os.listdir(tmp_path / "t") if "=" in n) == ["p=a", "p=b"]
+    (version,) = os.listdir(tmp_path / "t")
+    assert sorted(n for n in os.listdir(tmp_path / "t" / version) if "=" in n) == ["p=a", "p=b"]
+
+
+def _matching_files(table, column, low, high):
+    """How many of the files may hold such a value, by the statistics in their footers."""
+    found, files = 0, table.inputFiles()
+    for name in files:
+        meta = pq.ParquetFile(name.removeprefix("file://")).metadata
+        at = [meta.schema.column(i).name for i in range(meta.num_columns)].index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        found += any(s.min <= high and s.max >= low for s in stats)
+    return found, len(files)
+
+
+def test_a_filter_on_either_column_skips_most_files(spark, tmp_path):
+    df = spark.range(60_000).select("id", (F.xxhash64("id") % 1000).alias("a"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.abs(F.xxhash64("id", F.lit(1))) % 5000).alias("b"), F.concat(F.lit("k"), F.col("id") % 977).alias("s"))
+    out = sinks.publish_table(df, "curved", str(tmp_path / "t"), spread=["id"], cluster=["a", "b"], files=64)
+    assert out.count() == 60_000 and out.columns == df.columns
+    for column, low, high in (("a", 10, 30), ("b", 4000, 4100)):
+        found, files = _matching_files(out, column, low, high)
+        assert files >= 48 and found <= files / 3, (column, found, files)
+    hot, files = _matching_files(out, "b", 7, 7)
+    assert hot > 8  # a third of the rows, in many files
+    texts = sinks.publish_table(df, "curved_texts", str(tmp_path / "s"), spread=["id"], cluster=["s", "a"], files=64)
+    found, files = _matching_files(texts, "s", "k10", "k11")
+    assert texts.count() == 60_000 and found <= files / 3
+
+
+def test_a_failed_rebuild_leaves_the_table(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1, 2), (3, 4)], "k int, v int")
+    first = sinks.publish_table(df, "steady", str(tmp_path / "t"), spread=["k"], cluster=["k", "v"])
+    bad = df.withColumn("v", F.when(F.col("k") > 1, F.raise_error(F.lit("broken"))).otherwise(F.col("v")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.publish_table(bad, "steady", str(tmp_path / "t"), spread=["k"], sort=["k"])
+    assert rows(spark.table("steady")) == [(1, 2), (3, 4)]
+    sinks.publish_table(df.withColumn("w", F.lit("new")), "steady", str(tmp_path / "t"), spread=["k"], sort=["k"])
+    assert rows(first) == [(1, 2), (3, 4)] and rows(spark.table("steady")) == [(1, 2, "new"), (3, 4, "new")]
+    assert len(sinks.prune_versions(spark, "steady", str(tmp_path / "t"))) >= 1
+    assert rows(spark.table("steady")) == [(1, 2, "new"), (3, 4, "new")]
+    empty = sinks.publish_table(df.limit(0), "steady", str(tmp_path / "t"), spread=["k"], cluster=["k", "v"])
+    assert empty.count() == 0
 
 
 def test_csv_export_overwrites(spark, tmp_path):
