@@ -1,21 +1,18 @@
 """Incremental loads.
 
 The upper half works on DataFrames: which delta rows qualify, and what the target
-holds afterwards. The lower half keeps targets on disk: tables that
-take additions or are replaced as a whole, and tables of which only the touched periods are rewritten. One writer per
-target is assumed.
+holds afterwards. The lower half loads tables of Spark's catalogue: some only take additions, of others the touched
+periods are rewritten. One writer per target is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DateType
 
 from martmill.operators.aggregates import latest_per_key
 from martmill.operators.joins import anti_key, filter_above_max
@@ -24,9 +21,6 @@ from martmill.session import materialise
 # Fixed value: where an inclusive high-water mark starts on an empty target.
 EPOCH_DAY = "1900-01-01"
 
-# A batch of a stream: the stream's id and the batch's number.
-Mark = tuple[str, int]
-
 
 # ---- which rows of the delta qualify -------------------------------------------------
 
@@ -111,217 +105,89 @@ def microbatch_replace(
     return append_new_columns(kept, batch.filter(inside))
 
 
-# ---- tables on disk ------------------------------------------------------------------
-
-
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    return sorted(n for n in names if n.startswith(prefix))
-
+# ---- tables of the catalogue ---------------------------------------------------------
+#
+# Spark's own partitioned Parquet tables: columns are added by ALTER TABLE, periods are replaced by dynamic partition
+# overwrite, which stages all files and moves them into place when the job commits, period by period. So a job that fails
+# leaves the table as it was. What a table format would add is given up: a driver lost during the moves, or between them and the
+# removal of emptied periods, leaves some periods new and some old (running the load again completes it), a reader
+# may meet that state, old versions are gone, and two writers are not kept apart.
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, jpath = _fs(spark, path)
-    fs.delete(jpath, True)
 
+def _table(spark: SparkSession, name: str) -> DataFrame | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    spark.catalog.refreshTable(name)  # another session, such as a stream's, may have loaded it
+    return spark.table(name)
 
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small file, wherever it lies."""
-    fs, jpath = _fs(spark, path)
-    stream = fs.open(jpath)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
 
+def insert_overwrite(df: DataFrame, name: str, partition_by: Sequence[str], location: str | None = None, mode: str = "overwrite") -> None:
+    """Write ``df`` into a table, in the place of the partitions it has rows for, or, with ``append``, beside what is there.
 
-def _evolved(old: StructType | None, new: StructType) -> StructType:
-    """The columns of both, all nullable; a column may be new but not change its type."""
-    fields = {f.name: f.dataType for f in (old.fields if old else [])}
-    for f in new.fields:
-        if fields.setdefault(f.name, f.dataType) != f.dataType:
-            raise ValueError(f"column {f.name} is {fields[f.name].simpleString()} in the table and {f.dataType.simpleString()} in the load")
-    return StructType([StructField(name, kind, True) for name, kind in fields.items()])
-
-
-class _CommitLog:
-    """What a table consists of: numbered records in ``_log``, of which the last one counts.
-
-    A record is written under another name and renamed, so it is there as a whole or not at all. The first
-    record opens the table before any row is written; a folder with content but no record is somebody else's.
+    The first load makes the table, at ``location`` or in the warehouse. Columns that arrive later are added and read as
+    NULL in older rows; columns a load lacks are NULL. A column must not change its type.
     """
+    spark = df.sparkSession
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])  # few files per partition, several for a very large one
+    table = _table(spark, name)
+    if table is None:
+        writer = df.write.format("parquet").option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("path", location) if location else writer
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+        return
+    kinds = {f.name: f.dataType for f in table.schema.fields}
+    for f in df.schema.fields:
+        if kinds.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is {kinds[f.name].simpleString()} in the table and {f.dataType.simpleString()} in the load")
+        if f.name not in table.columns:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{f.name}` {f.dataType.simpleString()})")
+    columns = [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in spark.table(name).columns]
+    df.select(*columns).write.insertInto(name, overwrite=mode == "overwrite")
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-        self.folder = f"{path}/_log"
-
-    def _numbers(self) -> list[int]:
-        names = _children(self.spark, self.folder, "")
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def latest(self) -> dict:
-        numbers = self._numbers()
-        if numbers:
-            return json.loads(read_text(self.spark, f"{self.folder}/{numbers[-1]:012d}.json"))
-        if [n for n in _children(self.spark, self.path, "") if n != "_log"]:
-            raise ValueError(f"{self.path} holds files but no commit record; it is not overwritten")
-        return {"schema": None, "parts": {}, "streams": {}}
 
-    def schema(self, state: dict) -> StructType | None:
-        return StructType.fromJson(state["schema"]) if state["schema"] else None
-
-    def commit(self, state: dict) -> None:
-        number = max(self._numbers(), default=-1) + 1
-        fs, whole = _fs(self.spark, f"{self.folder}/{number:012d}.json")
-        _, part = _fs(self.spark, f"{self.folder}/.{number:012d}-{uuid.uuid4().hex}")
-        out = fs.create(part, False)
-        out.write(bytearray(json.dumps(state).encode()))
-        out.close()
-        if fs.exists(whole) or not fs.rename(part, whole):
-            raise RuntimeError(f"another load has changed {self.path}")
-
-    def open(self) -> dict:
-        """The state a load starts from."""
-        state = self.latest()
-        if not self._numbers():
-            self.commit(state)
-        return state
+class StoredTable:
+    """A table that only takes additions. For targets whose rows are replaced there is ``PeriodTable``."""
 
-    def holds(self, mark: Mark) -> bool:
-        """Whether a batch of a stream, named by the stream's id and its number, has been committed."""
-        return any(s["id"] == mark[0] and s["last"] >= mark[1] for s in self.latest()["streams"].values())
+    def __init__(self, spark: SparkSession, name: str, location: str | None = None):
+        self.spark, self.name, self.location = spark, name, location
 
+    def read(self) -> DataFrame | None:
+        """The table, or None before the first load."""
+        return _table(self.spark, self.name)
 
-def _marked(streams: dict, mark: Mark | None, name: str | None = None) -> dict:
-    return streams if mark is None else streams | {name or mark[0]: {"id": mark[0], "last": mark[1], "folded": False}}
+    def append(self, df: DataFrame) -> None:
+        insert_overwrite(df, self.name, (), self.location, mode="append")
 
 
-class StoredTable:
-    """A table kept as numbered directories: ``base=n`` holds a whole table, ``add=n`` rows added since.
+def load_incremental(table: StoredTable, build: Callable[[DataFrame | None], DataFrame]) -> None:
+    """One run of an incremental model that adds rows: the whole input the first time, a delta after that.
 
-    The commit log lists the directories, their columns and the batches of streams they hold. A failed load
-    changes nothing and can be run again, and a load may read what it replaces.
+    ``build`` gets the current target, or None on the first run, and returns the rows to add.
     """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.log = _CommitLog(spark, self.path)
-
-    def read(self) -> DataFrame | None:
-        """The table as of the last load, in one scan, or None before the first one."""
-        state = self.log.latest()
-        schema = self.log.schema(state)
-        if schema is None:
-            return None
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}" for name in state["parts"]])
-
-    def _write(self, df: DataFrame, kind: str) -> str:
-        taken = [int(n.partition("=")[2]) for prefix in ("base=", "add=") for n in _children(self.spark, self.path, prefix)]
-        name = f"{kind}={max(taken, default=0) + 1}"
-        df.write.mode("errorifexists").parquet(f"{self.path}/{name}")
-        return name
-
-    def replace(self, df: DataFrame, mark: Mark | None = None) -> None:
-        """A new whole table. Rows that streams have added are part of it from now on."""
-        state = self.log.open()
-        schema = _evolved(None, df.schema)
-        named = {stream for stream in state["parts"].values() if stream}
-        streams = {name: s | {"folded": s["folded"] or name in named} for name, s in state["streams"].items()}
-        self.log.commit({"schema": schema.jsonValue(), "parts": {self._write(df, "base"): None}, "streams": _marked(streams, mark)})
-
-    def append(self, df: DataFrame, mark: Mark | None = None, stream: str | None = None) -> None:
-        """Add rows without touching the stored ones. New columns read as NULL in older rows.
-
-        ``stream`` names the stream a batch comes from. If that stream starts anew, with another id, the rows of
-        its earlier life are left out from then on, as it delivers them again.
-        """
-        state = self.log.open()
-        schema = _evolved(self.log.schema(state), df.schema)
-        parts, known = state["parts"], state["streams"].get(stream)
-        if stream and known and known["id"] != mark[0]:
-            if known["folded"]:
-                raise ValueError(f"stream {stream} starts anew, but its rows can no longer be told from others")
-            parts = {name: source for name, source in parts.items() if source != stream}
-        parts = parts | {self._write(df, "add" if parts else "base"): stream}
-        self.log.commit({"schema": schema.jsonValue(), "parts": parts, "streams": _marked(state["streams"], mark, stream)})
-
-    def compact(self) -> None:
-        """Rewrite many additions as one directory."""
-        if len(self.log.latest()["parts"]) > 1:
-            self.replace(self.read())
-
-    def prune(self) -> None:
-        """Delete the directories the table no longer reads."""
-        live = self.log.latest()["parts"]
-        for name in _children(self.spark, self.path, "base=") + _children(self.spark, self.path, "add="):
-            if live and name not in live:
-                _delete(self.spark, f"{self.path}/{name}")
-
-
-def load_incremental(
-    table: StoredTable,
-    build: Callable[[DataFrame | None], DataFrame],
-    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-) -> None:
-    """One run of an incremental model: the whole input the first time, a delta after that.
-
-    ``build`` gets the current target, or None on the first run, and returns the rows to load. They
-    are appended, or, with ``merge``, combined with the target into a new whole table; the first run merges them
-    into an empty one, so that repeated keys follow one rule. A merge uses its delta twice, so the delta is stored
-    first. It rewrites the whole target: large targets belong into a ``PeriodTable``.
-    """
-    target = table.read()
-    rows = build(target)
-    if target is None:
-        table.replace(rows if merge is None else merge(rows.limit(0), rows))
-    elif merge is None:
-        table.append(rows)
-    else:
-        table.replace(merge(target, materialise(rows, "delta")))
-
-
-# Fixed value: Spark's directory name for a NULL partition value.
-_NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
+    table.append(build(table.read()))
 
 
 class PeriodTable:
     """A table partitioned by a date column that holds the first day of each period.
 
-    The period is whatever the caller truncates to: days, months. ``keys`` identify a row for upserts. Each load
-    writes the touched periods, and only those, into a folder of its own; the commit log says for every period
-    which folder holds it, and which columns there are. A load shows as a whole or not at all.
+    The period is whatever the caller truncates to: days, months. ``keys`` identify a row for upserts. Each load writes the
+    touched periods and only those.
     """
 
-    def __init__(self, spark: SparkSession, path: str, period: str, keys: Sequence[str]):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.period = period
-        self.keys = list(keys)
-        self.log = _CommitLog(spark, self.path)
+    def __init__(self, spark: SparkSession, name: str, period: str, keys: Sequence[str], location: str | None = None):
+        self.spark, self.name, self.period, self.keys, self.location = spark, name, period, list(keys), location
+
+    def read(self) -> DataFrame | None:
+        """The table, or None before the first load."""
+        return _table(self.spark, self.name)
 
     def periods(self) -> list[str]:
         """The periods with rows, in order; rows without a period are not listed."""
-        return sorted(p for p in self.log.latest()["parts"] if p != _NULL_DIR)
-
-    def read(self) -> DataFrame | None:
-        """The table as of the last load, or None before the first one. Columns a load lacked read as NULL."""
-        state = self.log.latest()
-        schema = self.log.schema(state)
-        if schema is None:
-            return None
-        paths = [f"{self.path}/{folder}/{self.period}={p}" for p, folder in sorted(state["parts"].items())]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths).select(*schema.names)
+        if self.read() is None:
+            return []
+        listed = [r[0].partition("=")[2] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()]
+        return sorted(p for p in listed if p[:1].isdigit())
 
     def last_period(self) -> DataFrame | None:
         """The rows of the latest period, which holds the high-water mark; no rows if the table is empty, None
@@ -329,86 +195,71 @@ class PeriodTable:
         table, periods = self.read(), self.periods()
         if table is None:
             return None
-        return table.filter(F.col(self.period).cast("string") == periods[-1]) if periods else table.limit(0)
+        return table.filter(F.col(self.period) == F.lit(periods[-1]).cast("date")) if periods else table.limit(0)
 
-    def _store(self, rows: DataFrame) -> tuple[str, dict[str, str]]:
-        """Write rows into a new folder; returns its name and the periods in it.
+    def _write(self, rows: DataFrame) -> None:
+        kind = rows.schema[self.period].dataType
+        if not isinstance(kind, DateType):
+            raise TypeError(f"the period {self.period} must be a date, not {kind.simpleString()}")
+        insert_overwrite(rows, self.name, [self.period], self.location)
 
-        Rows are dealt out by period and evened out by size at run time: few files per period, while a period
-        with very many rows still goes to several tasks.
-        """
-        taken = [int(n.partition("=")[2]) for n in _children(self.spark, self.path, "_load=")]
-        name = f"_load={max(taken, default=0) + 1}"
-        rows.hint("rebalance", F.col(self.period)).write.mode("errorifexists").partitionBy(self.period).parquet(f"{self.path}/{name}")
-        written = _children(self.spark, f"{self.path}/{name}", f"{self.period}=")
-        return name, {n[len(self.period) + 1:]: name for n in written}
-
-    def _load(self, rows: DataFrame, state: dict, kept: Callable[[str], bool], mark: Mark | None, unique: bool = False) -> None:
-        """Put ``rows`` in the place of every period that is not ``kept``."""
-        schema = _evolved(self.log.schema(state), rows.schema)
-        name, written = self._store(rows)
-        if unique and written:
-            self._refuse_repeats(self.spark.read.parquet(f"{self.path}/{name}"))
-        parts = {p: folder for p, folder in state["parts"].items() if kept(p)} | written
-        self.log.commit({"schema": schema.jsonValue(), "parts": parts, "streams": _marked(state["streams"], mark)})
-
-    def _refuse_repeats(self, rows: DataFrame) -> None:
-        twice = rows.dropna(subset=self.keys).groupBy(*self.keys).count().filter("count > 1").select(*self.keys).first()
-        if twice is not None:
-            raise ValueError(f"several rows for the key {tuple(twice)}; name an order that picks one")
+    def _remove(self, periods: Iterable[str | None]) -> None:
+        for p in periods:
+            value = "NULL" if p is None else f"DATE '{p}'"
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{self.period}` = {value})")
 
     def _period_list(self, df: DataFrame) -> set[str | None]:
-        # Calendar periods, not rows: at most one value per partition directory.
+        # Calendar periods, not rows: at most one value per partition.
         return {r[0] for r in df.select(F.col(self.period).cast("string")).distinct().collect()}
 
     def _in(self, touched: set[str | None]) -> Column:
-        named = F.col(self.period).cast("string").isin(sorted(t for t in touched if t is not None))
+        named = F.col(self.period).isin([dt.date.fromisoformat(t) for t in sorted(t for t in touched if t is not None)])
         return named | F.col(self.period).isNull() if None in touched else named
 
+    def _refuse_repeats(self, rows: DataFrame) -> None:
+        twice = rows.dropna(subset=self.keys).groupBy(*self.keys).count().filter("count > 1").select(*self.keys).first()
+        if twice is not None:
+            raise ValueError(f"several rows for the key {tuple(twice)}; name an order that picks one")
+
     def create(self, df: DataFrame) -> None:
-        """A whole new table in the place of what there is."""
-        self._load(df, self.log.open() | {"schema": None}, lambda _: False, None)
+        """A whole new table in the place of what there is; the old one is gone before the new one is written."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self._write(df)
 
     def replace(self, batch: DataFrame, start: dt.date, end_exclusive: dt.date) -> None:
         """Replace the periods that begin in ``[start, end_exclusive)``; those without new rows become empty."""
-        first = F.col(self.period).cast("date")
-        batch = batch.filter((first >= F.lit(start)) & (first < F.lit(end_exclusive)))
-        self._load(batch, self.log.open(), lambda p: not str(start) <= p < str(end_exclusive), None)
+        batch = batch.filter((F.col(self.period) >= F.lit(start)) & (F.col(self.period) < F.lit(end_exclusive)))
+        new = self._period_list(batch)
+        self._write(batch)
+        self._remove(p for p in self.periods() if str(start) <= p < str(end_exclusive) and p not in new)
 
-    def replace_mentioned(self, batch: DataFrame, mark: Mark | None = None) -> None:
+    def replace_mentioned(self, batch: DataFrame) -> None:
         """Replace just the periods the batch has rows for."""
-        self._load(batch, self.log.open(), lambda _: True, mark)
+        self._write(batch)
 
-    def upsert(self, delta: DataFrame, keys_move: bool = True, order: Sequence[str] = (), mark: Mark | None = None) -> None:
+    def upsert(self, delta: DataFrame, keys_move: bool = True, order: Sequence[str] = ()) -> None:
         """Upsert by key; a key may move to another period.
 
         Several rows of one key fail unless ``order`` names the columns that pick one. Rows with a NULL key are
         inserted, never replaced. A narrow pass over keys and periods finds the periods that hold replaced rows; it is
         left out with ``keys_move=False``, for keys that never change their period. Only these periods and
-        those of the delta are rebuilt.
+        those of the delta are rebuilt. The same delta once more changes nothing, but for rows with a NULL key.
         """
-        state = self.log.open()
         if order:
             delta = one_per_key(delta, self.keys, order)
-        if state["schema"] is None:
-            self._load(delta, state, lambda _: True, mark, unique=not order)
-            return
         delta = materialise(delta, "delta")
         if not order:
             self._refuse_repeats(delta)
         target = self.read()
-        touched = self._period_list(delta)
+        if target is None:
+            self._write(delta)
+            return
+        own = self._period_list(delta)
+        left: set[str | None] = set()
         if keys_move:
             hit = target.select(*self.keys, self.period).join(delta.select(*self.keys), self.keys, "left_semi")
-            touched |= self._period_list(hit)
-        names = {_NULL_DIR if p is None else p for p in touched}
-        rows = upsert_merge(target.filter(self._in(touched)), delta, self.keys)
-        self._load(rows, state, lambda p: p not in names, mark)
-
-    def prune(self) -> None:
-        """Delete what no period is read from any more; frames read before a later load lose their files."""
-        live = {(folder, f"{self.period}={p}") for p, folder in self.log.latest()["parts"].items()}
-        for folder in _children(self.spark, self.path, "_load="):
-            for name in _children(self.spark, f"{self.path}/{folder}", f"{self.period}="):
-                if (folder, name) not in live:
-                    _delete(self.spark, f"{self.path}/{folder}/{name}")
+            left = self._period_list(hit) - own
+        rows = upsert_merge(target.filter(self._in(own | left)), delta, self.keys)
+        kept = left and self._period_list(target.filter(self._in(left)).join(delta.select(*self.keys), self.keys, "left_anti"))
+        self._write(rows)
+        self._remove(left - (kept or set()))

@@ -14,7 +14,7 @@ from martmill.functions.columns import (
     initcap, map_codes, rename_project, round_to, scale_by, select_except, select_subset, trunc_month,
 )
 from martmill.operators.incremental import (
-    PeriodTable, StoredTable, inc_anti_key, inc_watermark_strict, load_incremental, upsert_merge,
+    PeriodTable, StoredTable, inc_anti_key, inc_watermark_strict, load_incremental,
 )
 from martmill.operators.joins import join_left
 from martmill.operators.quality import Check, not_null_unique
@@ -164,23 +164,17 @@ def run_fct_order_products(
 ) -> DataFrame:
     """One incremental run against a stored fact, with the CSV copy where the site wants one.
 
-    New keys are appended, with any new columns. Past a high-water mark, rows are merged by key: into a new whole
-    table, or, for a fact stored by the month of ``loaded_at``, into the months concerned.
+    New keys are appended, with any new columns. Past a high-water mark, rows are merged by key into the months of
+    ``loaded_at`` that they concern.
     """
-
-    def build(target: DataFrame | None) -> DataFrame:
-        return fct_order_products(order_products, products, orders, site, target)
-
-    def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
-        return upsert_merge(target, rows, "order_product_id", order=["loaded_at"])
-
+    if isinstance(table, PeriodTable) != (site.strategy == "watermark"):
+        raise ValueError("the watermark strategy, and only that, needs a fact stored by period")
     if isinstance(table, PeriodTable):
-        if site.strategy != "watermark":
-            raise ValueError("a fact stored by period needs the watermark strategy")
-        table.upsert(build(table.last_period()).withColumn(table.period, trunc_month("loaded_at")), order=["loaded_at"])
+        rows = fct_order_products(order_products, products, orders, site, table.last_period())
+        table.upsert(rows.withColumn(table.period, trunc_month("loaded_at")), order=["loaded_at"])
         result = table.read().drop(table.period)
     else:
-        load_incremental(table, build, merge if site.strategy == "watermark" else None)
+        load_incremental(table, lambda target: fct_order_products(order_products, products, orders, site, target))
         result = table.read()
     if site.export_dir:
         export_csv(result, site.export_dir)

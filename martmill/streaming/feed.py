@@ -1,19 +1,17 @@
 """The incremental loads as sinks of a stream.
 
-All state lives in the target and in the stream's checkpoint. The target's commit log notes the stream and the number
-of each batch, so a batch that is delivered twice after a failure is loaded once.
+A batch that is delivered twice after a failure gives the same table: upserts and replaced periods by what they do,
+additions because every batch has a partition of its own, which its second try overwrites.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martmill.operators.incremental import Mark, PeriodTable, StoredTable, one_per_key, read_text, upsert_merge
-from martmill.session import materialise
+from martmill.operators.incremental import PeriodTable, insert_overwrite
 
 
 def drain(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -22,46 +20,33 @@ def drain(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint:
     query.awaitTermination()
 
 
-def _drain_once(stream: DataFrame, table: PeriodTable | StoredTable, load: Callable[[DataFrame, Mark], None], checkpoint: str) -> None:
-    """The same, leaving out batches the table holds."""
-
-    def once(batch: DataFrame, number: int) -> None:
-        mark = (json.loads(read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"], number)
-        if not table.log.holds(mark):
-            load(batch, mark)
-
-    drain(stream, once, checkpoint)
-
-
 def feed_periods(stream: DataFrame, table: PeriodTable, order: Sequence[str], checkpoint: str) -> None:
-    """Upsert into a table by period; the greatest ``order`` wins within a batch."""
-    _drain_once(stream, table, lambda batch, mark: table.upsert(batch, order=order, mark=mark), checkpoint)
-
-
-def feed_merge(stream: DataFrame, table: StoredTable, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> None:
-    """Upsert into a table that is replaced as a whole at every batch; for small targets. Large ones take ``feed_periods``."""
-
-    def load(batch: DataFrame, mark: Mark) -> None:
-        delta = materialise(one_per_key(batch, keys, order), "delta")
-        target = table.read()
-        table.replace(delta if target is None else upsert_merge(target, delta, keys), mark)
-
-    _drain_once(stream, table, load, checkpoint)
+    """Upsert into a table by period; the greatest ``order`` wins within a batch. Rows with a NULL key are inserted, once more
+    if their batch is delivered again."""
+    drain(stream, lambda batch, _: table.upsert(batch, order=order), checkpoint)
 
 
 def feed_replace(stream: DataFrame, table: PeriodTable, checkpoint: str) -> None:
     """Replace every period a batch mentions; for sources that deliver whole periods."""
-    _drain_once(stream, table, table.replace_mentioned, checkpoint)
+    drain(stream, lambda batch, _: table.replace_mentioned(batch), checkpoint)
 
 
-def feed_append(stream: DataFrame, table: StoredTable, batch_column: str, checkpoint: str, name: str) -> None:
-    """Add each batch once, marked with its number.
+def feed_append(stream: DataFrame, name: str, batch_column: str, checkpoint: str, source: str, location: str | None = None) -> None:
+    """Add each batch once to the table ``name``, marked with its stream and number.
 
-    ``name`` tells the streams into one table apart. With a new checkpoint a stream delivers its source again from the
-    start; its earlier rows are left out from its first batch on, whatever the new borders of the batches.
+    ``source`` names the stream among those that feed the table; it is a column of the table, as the batch's number is. A stream
+    with a new checkpoint delivers its source again from the start and numbers from 0: call ``forget_stream`` first.
     """
 
-    def load(batch: DataFrame, mark: Mark) -> None:
-        table.append(batch.withColumn(batch_column, F.lit(mark[1])), mark, name)
+    def load(batch: DataFrame, number: int) -> None:
+        marked = batch.withColumn("stream", F.lit(source)).withColumn(batch_column, F.lit(number).cast("bigint"))
+        insert_overwrite(marked, name, ["stream", batch_column], location)
+
+    drain(stream, load, checkpoint)
+    if stream.sparkSession.catalog.tableExists(name):
+        stream.sparkSession.catalog.refreshTable(name)  # loaded by the stream's own session
+
 
-    _drain_once(stream, table, load, checkpoint)
+def forget_stream(table: DataFrame, name: str, source: str) -> None:
+    """Remove the rows a stream has added to the table."""
+    table.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (stream = '{source}')")

@@ -1,9 +1,10 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from martmill.operators.incremental import PeriodTable, StoredTable
+from martmill.operators.incremental import PeriodTable
 from martmill.streaming import feed
 
 SCHEMA = "k int, n int, d date"
@@ -22,12 +23,16 @@ def source(spark, tmp_path):
     return add, stream
 
 
+def fresh():
+    return f"fed_{uuid.uuid4().hex}"
+
+
 JAN, FEB, MAR = (dt.date(2024, m, 3) for m in (1, 2, 3))
 
 
 def test_upsert_by_period(spark, tmp_path, source, rows):
     add, stream = source
-    table = PeriodTable(spark, str(tmp_path / "t"), "m", ["k"])
+    table = PeriodTable(spark, fresh(), "m", ["k"])
     with_month = lambda: stream().withColumn("m", F.trunc("d", "month"))
     add((1, 1, JAN), (2, 1, FEB))
     feed.feed_periods(with_month(), table, ["n"], str(tmp_path / "cp"))
@@ -38,18 +43,9 @@ def test_upsert_by_period(spark, tmp_path, source, rows):
     assert table.periods() == ["2024-01-01", "2024-03-01"]
 
 
-def test_merge(spark, tmp_path, source, rows):
-    add, stream = source
-    table = StoredTable(spark, str(tmp_path / "t"))
-    for data in ([(1, 1, JAN), (1, 2, JAN)], [(1, 3, FEB), (2, 1, FEB)]):
-        add(*data)
-        feed.feed_merge(stream(), table, ["k"], ["n"], str(tmp_path / "cp"))
-    assert rows(table.read()) == [(1, 3, FEB), (2, 1, FEB)]
-
-
 def test_replace_whole_periods(spark, tmp_path, source, rows):
     add, stream = source
-    table = PeriodTable(spark, str(tmp_path / "t"), "d", ["k"])
+    table = PeriodTable(spark, fresh(), "d", ["k"])
     for data in ([(1, 1, JAN), (2, 1, FEB), (3, 1, MAR)], [(7, 1, JAN), (8, 1, MAR)]):
         add(*data)
         feed.feed_replace(stream(), table, str(tmp_path / "cp"))
@@ -57,40 +53,28 @@ def test_replace_whole_periods(spark, tmp_path, source, rows):
 
 
 def test_append_once(spark, tmp_path, source, rows):
+    """Two streams into one table; a batch that is delivered again takes its own place."""
     add, stream = source
-    table = StoredTable(spark, str(tmp_path / "t"))
+    name = fresh()
     add((1, 1, JAN))
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp"), "lines")
+    feed.feed_append(stream(), name, "batch", str(tmp_path / "a"), "a")
+    feed.feed_append(stream(), name, "batch", str(tmp_path / "b"), "b")
     add((2, 1, FEB))
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp"), "lines")
-    # The stream forgets its progress and delivers everything again.
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "cp2"), "lines")
-    assert rows(table.read(), "k", "batch") == [(1, 0), (2, 1)]
-
-
-def test_two_streams_and_a_replay_with_other_borders(spark, tmp_path, source, rows):
-    add, stream = source
-    table = StoredTable(spark, str(tmp_path / "t"))
-    add((1, 1, JAN))
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "a"), "a")
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "b"), "b")
-    add((2, 1, FEB))
-    feed.feed_append(stream(), table, "batch", str(tmp_path / "a"), "a")
-    assert rows(table.read(), "k", "batch") == [(1, 0), (1, 0), (2, 1)]
-    table.append(spark.createDataFrame([(1, 1, JAN), (2, 1, FEB)], "k int, n int, d date").selectExpr("*", "0 AS batch"), ("another id", 0), "a")
-    assert rows(table.read(), "k", "batch") == [(1, 0), (1, 0), (2, 0)]
-    assert table.log.holds(("another id", 0)) and not table.log.holds(("another id", 1))
-    table.compact()
-    with pytest.raises(ValueError, match="starts anew"):
-        table.append(table.read(), ("third id", 0), "a")
-
-
-def test_rows_without_a_key_pass_every_feed(spark, tmp_path, source, rows):
+    feed.feed_append(stream(), name, "batch", str(tmp_path / "a"), "a")
+    assert rows(spark.table(name), "k", "stream", "batch") == [(1, "a", 0), (1, "b", 0), (2, "a", 1)]
+    (tmp_path / "a" / "commits" / "1").unlink()  # the batch was written, but the stream did not get to note it
+    (tmp_path / "a" / "commits" / ".1.crc").unlink(missing_ok=True)
+    feed.feed_append(stream(), name, "batch", str(tmp_path / "a"), "a")
+    assert rows(spark.table(name), "k", "stream", "batch") == [(1, "a", 0), (1, "b", 0), (2, "a", 1)]
+    feed.forget_stream(spark.table(name), name, "a")
+    feed.feed_append(stream(), name, "batch", str(tmp_path / "new"), "a")
+    assert rows(spark.table(name), "k", "stream") == [(1, "a"), (1, "b"), (2, "a")]
+
+
+def test_rows_without_a_key_pass(spark, tmp_path, source, rows):
     add, stream = source
-    periods, merged = PeriodTable(spark, str(tmp_path / "p"), "m", ["k"]), StoredTable(spark, str(tmp_path / "s"))
+    table = PeriodTable(spark, fresh(), "m", ["k"])
     add((None, 1, JAN), (None, 2, JAN), (1, 1, JAN), (1, 2, JAN))
     for _ in range(2):  # the second time nothing is new
-        feed.feed_periods(stream().withColumn("m", F.trunc("d", "month")), periods, ["n"], str(tmp_path / "c1"))
-        feed.feed_merge(stream(), merged, ["k"], ["n"], str(tmp_path / "c2"))
-    for table in (periods, merged):
-        assert rows(table.read(), "k", "n") == [(1, 2), (None, 1), (None, 2)]
+        feed.feed_periods(stream().withColumn("m", F.trunc("d", "month")), table, ["n"], str(tmp_path / "c1"))
+    assert rows(table.read(), "k", "n") == [(1, 2), (None, 1), (None, 2)]

@@ -22,6 +22,22 @@ NEW = """new AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o
 _OUT = "SELECT order_id, customer_id, CAST(order_total AS DOUBLE) AS order_total, order_date"
 
 
+def _place(g, label):
+    """A new table's name, and a folder of its own."""
+    path = scratch_path(g.spark, label)
+    return f"loaded_{path.rsplit('-', 1)[1]}", path
+
+
+def _stored(g, label):
+    name, path = _place(g, label)
+    return I.StoredTable(g.spark, name, path)
+
+
+def _by_period(g, label, period, keys):
+    name, path = _place(g, label)
+    return I.PeriodTable(g.spark, name, period, keys, path)
+
+
 def _day(text):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -42,7 +58,7 @@ def _new(g):
 
 @query(with_(OLD) + _OUT + " FROM old")
 def inc_full_first_run(g):
-    table = I.StoredTable(g.spark, scratch_path(g.spark, "orders"))
+    table = _stored(g, "orders")
     I.load_incremental(table, lambda target: I.inc_anti_key(_old(g), target, "order_id"))
     return table.read()
 
@@ -50,7 +66,7 @@ def inc_full_first_run(g):
 @query(with_(OLD, NEW) + _OUT + " FROM old UNION ALL " + _OUT + " FROM new WHERE order_id NOT IN (SELECT order_id FROM old)")
 def inc_anti_key(g):
     """Two stored runs; changed prices of known orders are not seen."""
-    table = I.StoredTable(g.spark, scratch_path(g.spark, "orders"))
+    table = _stored(g, "orders")
     for batch in (_old(g), _new(g)):
         I.load_incremental(table, lambda target: I.inc_anti_key(batch, target, "order_id"))
     return table.read()
@@ -68,14 +84,11 @@ def inc_watermark_strict(g):
 @query(with_(OLD, NEW, "taken AS (SELECT * FROM new WHERE order_date >= (SELECT max(order_date) FROM old))") + _OUT + _AFTER)
 def inc_watermark_inclusive(g):
     """Two stored runs: the last day of the first one is loaded again, with its new prices."""
-    table = I.StoredTable(g.spark, scratch_path(g.spark, "orders"))
+    table = _by_period(g, "orders", "month", ["order_id"])
     for batch in (_old(g), _new(g)):
-        I.load_incremental(
-            table,
-            lambda target: I.inc_watermark_inclusive(batch, target, "order_date"),
-            lambda target, rows: I.upsert_merge(target, rows, "order_id"),
-        )
-    return table.read()
+        rows = I.inc_watermark_inclusive(batch, table.last_period(), "order_date")
+        table.upsert(rows.withColumn("month", F.trunc("order_date", "month")))
+    return table.read().drop("month")
 
 
 @query(with_(GEO) + """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
@@ -83,7 +96,7 @@ def inc_watermark_inclusive(g):
 FROM orders LEFT JOIN geo ON o_custkey = customer_id""")
 def fct_orders_incremental(g):
     """The order fact built in two runs equals the fact built in one."""
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "fct-orders"), "order_month", ["order_id"])
+    table = _by_period(g, "fct-orders", "order_month", ["order_id"])
     orders, geo = g.stage("orders"), g.customer_geo()
     early = orders.filter(F.col("order_date") < _day("1998-06-01"))
     for known in (early, orders):
@@ -105,13 +118,12 @@ _BIKE_MONEY = "CAST(product_price AS DOUBLE) AS product_price, CAST(product_cost
 
 @query(with_(BIKE) + f"SELECT * EXCLUDE (loaded_at) REPLACE ({_BIKE_MONEY}) FROM bike_fact")
 def fct_order_products_incremental_anti_key(g):
-    return _two_runs(g, bikeshop.PLAIN, I.StoredTable(g.spark, scratch_path(g.spark, "fct-order-products")))
+    return _two_runs(g, bikeshop.PLAIN, _stored(g, "fct-order-products"))
 
 
 @query(with_(BIKE) + f"SELECT * REPLACE ({_BIKE_MONEY}) FROM bike_fact")
 def fct_order_products_incremental_watermark(g):
-    path = scratch_path(g.spark, "fct-order-products")
-    return _two_runs(g, bikeshop.MERGING, I.PeriodTable(g.spark, path, "loaded_month", ["order_product_id"]))
+    return _two_runs(g, bikeshop.MERGING, _by_period(g, "fct-order-products", "loaded_month", ["order_product_id"]))
 
 
 @query(with_(OLD, NEW) + _OUT + " FROM old WHERE order_id NOT IN (SELECT order_id FROM new) UNION ALL " + _OUT + " FROM new")
@@ -127,7 +139,7 @@ def upsert_merge(g):
 @query(with_(OLD, NEW) + _OUT + " FROM old WHERE order_id NOT IN (SELECT order_id FROM new) UNION ALL " + _OUT + " FROM new")
 def upsert_by_day(g):
     """The same on a table partitioned by month, of which only the touched months are rewritten."""
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "by-month"), "month", ["order_id"])
+    table = _by_period(g, "by-month", "month", ["order_id"])
     month = F.trunc("order_date", "month")
     table.create(_old(g).withColumn("month", month))
     table.upsert(_new(g).withColumn("month", month))
@@ -170,7 +182,7 @@ def microbatch_replace(g):
         F.col("l_shipdate").alias("event_date"),
         F.trunc("l_shipdate", "month").alias("month"),
     )
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "microbatch"), "month", keys)
+    table = _by_period(g, "microbatch", "month", keys)
     table.create(lines)
     batch = lines.filter("month <> DATE '1997-03-01'").withColumn("quantity", (F.col("quantity") + 1).cast("decimal(15,2)"))
     table.replace(batch, dt.date(1997, 1, 1), dt.date(1997, 7, 1))
@@ -201,7 +213,7 @@ def append_new_columns(g):
 def append_new_columns_by_period(g):
     """Three loads, of which the middle one has a column more; the last rewrites months of the first."""
     orders = g.stage("orders").select("order_id", "order_status", "order_total", "order_date").withColumn("month", F.trunc("order_date", "month"))
-    table = I.PeriodTable(g.spark, scratch_path(g.spark, "evolving"), "month", ["order_id"])
+    table = _by_period(g, "evolving", "month", ["order_id"])
     first, second = F.col("order_date") < _day("1996-01-01"), F.col("order_date") < _day("1998-01-01")
     table.upsert(orders.filter(first).drop("order_status"))
     table.upsert(orders.filter(~first & second))
@@ -217,7 +229,7 @@ def upsert_merge_null_keys(g):
     """A third of the rows has no key: none is merged or lost."""
     key = F.when(F.col("order_id") % 3 > 0, F.col("order_id"))
     old, new = (df.select(key.alias("order_id"), "order_total", F.trunc("order_date", "month").alias("month")) for df in (_old(g), _new(g)))
-    periods = I.PeriodTable(g.spark, scratch_path(g.spark, "null-keys"), "month", ["order_id"])
+    periods = _by_period(g, "null-keys", "month", ["order_id"])
     for batch in (old, new):
         periods.upsert(batch)
     return periods.read().select("order_id", "order_total")
@@ -228,9 +240,9 @@ def upsert_merge_null_keys(g):
 def inc_watermark_strict_empty(g):
     """A strict mark on an emptied table, of either kind, lets nothing pass; a table never loaded takes everything."""
     batch = _new(g).withColumn("month", F.trunc("order_date", "month"))
-    stored = I.StoredTable(g.spark, scratch_path(g.spark, "emptied"))
-    stored.replace(batch.limit(0))
-    periods = I.PeriodTable(g.spark, scratch_path(g.spark, "emptied"), "month", ["order_id"])
+    stored = _stored(g, "emptied")
+    stored.append(batch.limit(0))
+    periods = _by_period(g, "emptied", "month", ["order_id"])
     before = periods.last_period()
     fresh = I.inc_watermark_strict(batch, before, "order_date").withColumn("kind", F.lit("never loaded"))
     periods.create(batch)
