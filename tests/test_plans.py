@@ -100,7 +100,7 @@ def test_contract_is_checked_in_the_writing_pass(g):
 
 
 def test_upsert_prunes_untouched_periods(spark, tmp_path):
-    table = I.PeriodTable(spark, str(tmp_path / "t"), "m", ["k"])
+    table = I.PeriodTable(spark, "pruned_periods", "m", ["k"], str(tmp_path / "t"))
     rows = [(n, dt.date(2024, n, 1)) for n in range(1, 7)]
     table.create(spark.createDataFrame(rows, "k int, m date"))
     text = formatted(table.read().filter(table._in({"2024-02-01"})))
