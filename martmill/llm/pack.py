@@ -39,7 +39,7 @@ class WordTokenizer:
     are kept up to ``keep`` words, then the store starts afresh; a word's number is its place in the store.
     """
 
-    def __init__(self, path: str, keep: int = 1_500_000) -> None:
+    def __init__(self, path: str, keep: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
