@@ -1,8 +1,14 @@
 """Sharding by a hierarchical weighted hash tree, in DataFrame functions only.
 
-A row descends region, rack and shard. At each level every child draws ln(u) / weight, where u in (0, 1) is a hash of
-the row's key and the child's name, and the largest draw wins; a child is won in proportion to its weight, and a change
-of weight moves rows only into or out of the subtree that changed. A subtree's weight is the sum of its shards'.
+A row descends region, rack and shard, and the largest draw wins at each level. A shard draws ln(u) / weight, where u in
+(0, 1) is a hash of the row's key and the shard's name; the draw of a rack is the largest of its shards', that of a
+region the largest of its racks'. The largest of such draws is distributed like one draw with the summed weight, so a
+subtree is won in proportion to its weight, and a change of weight moves rows only into or out of the subtree that
+changed. (With draws of their own, racks and regions would let a shard that joins them move rows to its neighbours.)
+A node shares its weight among its children in proportion to theirs.
+
+A shard's place in the tree and its draw do not depend on the number of shards, so for every number one more shard takes
+rows only into itself, and a run with that number gives what ``grown_shard`` says.
 
 Defined cases
 * A null key is hashed like a key of its own: such rows share a shard. A null text has size 8 and the CRC of no bytes.
@@ -25,42 +31,38 @@ Tree = Sequence[tuple[str, float, object]]
 
 def balanced_tree(shards: int = 24, racks: int = 2, regions: int = 3) -> Tree:
     """Shards 0 to ``shards - 1`` of weight 1, dealt over the racks of the regions: (name, weight, children) per node."""
-    per, out, start = -(-shards // (racks * regions)), [], 0
-    for region in range(regions):
+    out = []
+    for region in range(min(regions, shards)):
         members = []
         for rack in range(racks):
-            ids = range(start, min(start + per, shards))
-            start += per
+            ids = range(region + regions * rack, shards, regions * racks)
             if ids:
                 members.append((f"region{region}/rack{rack}", float(len(ids)), [(f"shard{i}", 1.0, i) for i in ids]))
-        if members:
-            out.append((f"region{region}", sum(m[1] for m in members), members))
+        out.append((f"region{region}", sum(m[1] for m in members), members))
     return out
 
 
-def grown(tree: Tree, shard: int, weight: float = 1.0) -> Tree:
-    """The tree with one more shard in a region of its own, so that no other subtree's weight changes."""
-    name = f"grown{shard}"
-    return [*tree, (name, weight, [(f"{name}/rack", weight, [(f"shard{shard}", weight, shard)])])]
-
-
 def draw(key: Column, name: str, weight: float) -> Column:
-    """ln(u) / weight with u from the upper 52 bits of a hash of key and child."""
+    """ln(u) / weight with u from the upper 52 bits of a hash of key and shard."""
     u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(name)), 12).cast("double") + 0.5) / float(2**52)
     return F.ln(u) / F.lit(float(weight))
 
 
+def _winner(key: Column, tree: Tree, total: float) -> Column:
+    """The largest draw below a node of weight ``total``, as (draw, shard); an exact tie goes to the larger shard."""
+    of_children, found = sum(weight for _, weight, _ in tree), []
+    for name, weight, below in tree:
+        share = total * weight / of_children
+        if isinstance(below, int):
+            found.append(F.struct(draw(key, name, share).alias("draw"), F.lit(below).cast("int").alias("shard")))
+        else:
+            found.append(_winner(key, below, share))
+    return F.greatest(*found) if len(found) > 1 else found[0]
+
+
 def descend(key: Column, tree: Tree) -> Column:
-    """The shard of a key: the child with the largest draw at each level; an exact tie goes to the first child."""
-    if len(tree) == 1:
-        below = tree[0][2]
-        return F.lit(below).cast("int") if isinstance(below, int) else descend(key, below)
-    draws = [draw(key, name, weight) for name, weight, _ in tree]
-    best, out = F.greatest(*draws), None
-    for d, (_, _, below) in reversed(list(zip(draws, tree))):
-        inner = F.lit(below).cast("int") if isinstance(below, int) else descend(key, below)
-        out = inner if out is None else F.when(d == best, inner).otherwise(out)
-    return out
+    """The shard of a key: the child with the largest draw at each level."""
+    return _winner(key, tree, sum(weight for _, weight, _ in tree))["shard"]
 
 
 def shard_rows(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 24, cells: int = 1024) -> DataFrame:
@@ -69,7 +71,6 @@ def shard_rows(df: DataFrame, key: str = "doc_id", text: str = "text", shards: i
     Slots: equal rows are counted, each shard's rows fall into ``cells`` cells, rows are numbered within a cell and
     shifted by the rows of the shard's earlier cells. At most ``shards * cells`` offsets are broadcast.
     """
-    tree = balanced_tree(shards)
     value = F.col(key)
     compact = (
         df.select(
@@ -78,8 +79,8 @@ def shard_rows(df: DataFrame, key: str = "doc_id", text: str = "text", shards: i
             F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
         )
         .groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("shard", descend(F.col("doc_id"), tree))
-        .withColumn("grown_shard", descend(F.col("doc_id"), grown(tree, shards)))
+        .withColumn("shard", descend(F.col("doc_id"), balanced_tree(shards)))
+        .withColumn("grown_shard", descend(F.col("doc_id"), balanced_tree(shards + 1)))
         .withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32", "size", F.lit("cell")), F.lit(cells)).cast("int"))
     )
     stored = materialise(compact, "shards")
