@@ -11,6 +11,7 @@ blank, and a blank stands before and after the text.
 Defined cases
 * A null text, or one without letters: ``und`` with score 0. So is every text if nothing was learned.
 * Rows without a language teach nothing. Equal texts get equal results. Ties go to the language first in order.
+* Texts of any length are counted whole; memory follows the longest text, not the number of texts read together.
 * Sums are whole numbers and exact in any order, so reruns agree. An empty table gives no rows.
 * Other columns, whatever their names, are not read.
 """
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from martmill.llm.stores import release
 
 DIM = 1024
+CELLS = 1 << 23  # numbers in a table of counts by group and trigram
 BLANK = 32
 UNDETERMINED = "und"
 _letters: list[np.ndarray] = []
@@ -65,17 +67,12 @@ def _numbered(values: np.ndarray, limit: int = 4_000_000) -> tuple[np.ndarray, n
     return np.flatnonzero(present), (np.cumsum(present, dtype=np.int32) - 1)[values]
 
 
-def gram_counts(texts: list[str | None], groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams, as rows of three code points, and how often each occurs: [group, trigram].
-
-    Every text is a group of its own unless ``groups`` numbers them.
-    """
-    parts = [letters_of(t) if t else np.zeros(0, np.uint32) for t in texts]
-    groups = np.arange(len(texts)) if groups is None else groups
-    n = int(groups.max(initial=-1)) + 1
-    parts, groups = [p for p in parts if len(p) > 2], groups[[len(p) > 2 for p in parts]]
+def gram_counts(parts: list[np.ndarray], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct trigrams of texts given as letters, as rows of three code points, and one (group, trigram) per occurrence."""
+    kept = [len(p) > 2 for p in parts]
+    parts, groups = [p for p, k in zip(parts, kept) if k], groups[kept]
     if not parts:
-        return np.zeros((0, 3), np.int64), np.zeros((n, 0))
+        return np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     lengths = np.array([len(p) for p in parts])
     letters, place = _numbered(np.concatenate(parts))
     size = np.int64(len(letters))
@@ -85,14 +82,22 @@ def gram_counts(texts: list[str | None], groups: np.ndarray | None = None) -> tu
     ends = np.cumsum(lengths)
     inside[ends - 1] = inside[ends - 2] = False
     distinct, of = _numbered(ids[inside[:-2]])
-    owner = np.repeat(groups, lengths - 2)
-    counts = np.bincount(owner * np.int64(len(distinct)) + of, minlength=n * len(distinct)).reshape(n, len(distinct))
-    return np.stack([letters[distinct // size**2], letters[distinct // size % size], letters[distinct % size]], axis=1), counts
+    return np.stack([letters[distinct // size**2], letters[distinct // size % size], letters[distinct % size]], axis=1), np.repeat(groups, lengths - 2), of
 
 
-def bundle(grams: np.ndarray, counts: np.ndarray, dim: int = DIM, block: int = 4096) -> np.ndarray:
-    """The sums of trigram vectors by group: whole numbers, as doubles, and exact in any order."""
-    out = np.zeros((len(counts), dim))
+def bundle(parts: list[np.ndarray], groups: np.ndarray, n: int, dim: int = DIM, block: int = 4096) -> np.ndarray:
+    """The sums of trigram vectors by group, of ``n``: whole numbers, as doubles, and exact in any order.
+
+    Groups whose counts by trigram would take more than ``CELLS`` numbers are halved until they do not or one is left.
+    """
+    grams, owner, of = gram_counts(parts, groups)
+    if n > 1 and n * len(grams) > CELLS:
+        half, low = n // 2, groups < n // 2
+        below, above = [p for p, x in zip(parts, low) if x], [p for p, x in zip(parts, low) if not x]
+        del grams, owner, of
+        return np.concatenate((bundle(below, groups[low], half, dim, block), bundle(above, groups[~low] - half, n - half, dim, block)))
+    out = np.zeros((n, dim))
+    counts = np.bincount(owner * np.int64(len(grams)) + of, minlength=n * len(grams)).reshape(n, len(grams))
     kind = np.float32 if counts.sum(axis=1).max(initial=0) < 2**24 else np.float64
     letters, place = _numbered(grams.ravel())
     place, table = place.reshape(grams.shape), letter_vectors(letters, dim)
@@ -103,10 +108,28 @@ def bundle(grams: np.ndarray, counts: np.ndarray, dim: int = DIM, block: int = 4
     return out
 
 
-def bundles(texts: list[str | None], dim: int = DIM, block: int = 128) -> Iterator[np.ndarray]:
+def runs(texts: list[str | None], rows: int, chars: int = 1 << 21) -> Iterator[slice]:
+    """Runs of at most ``rows`` texts, and of at most ``chars`` characters unless a single text has more."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        size = len(text or "")
+        if i > start and (i - start == rows or held + size > chars):
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _parts(texts: list[str | None]) -> list[np.ndarray]:
+    return [letters_of(t) if t else np.zeros(0, np.uint32) for t in texts]
+
+
+def bundles(texts: list[str | None], dim: int = DIM, rows: int = 128) -> Iterator[np.ndarray]:
     """The vectors of runs of texts; zero where a text has no letters."""
-    for a in range(0, len(texts), block):
-        yield bundle(*gram_counts(texts[a : a + block]), dim)
+    for run in runs(texts, rows):
+        parts = _parts(texts[run])
+        yield bundle(parts, np.arange(len(parts)), len(parts), dim)
 
 
 def prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM) -> tuple[list[str], np.ndarray]:
@@ -119,9 +142,10 @@ def prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dim: int =
         release()
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            names, of = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
-            for a in range(0, batch.num_rows, 512):
-                vectors = bundle(*gram_counts(batch.column(0).slice(a, 512).to_pylist(), of[a : a + 512]), dim)
+            texts, labels = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
+            for run in runs(texts, 512):
+                names, of = np.unique(labels[run], return_inverse=True)
+                vectors = bundle(_parts(texts[run]), of, len(names), dim)
                 for name, vector in zip(names, vectors):
                     sums[name] = sums.get(name, 0) + vector
         if sums:
