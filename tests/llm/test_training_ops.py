@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -11,6 +12,7 @@ import numpy as np
 import pytest
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk
@@ -124,21 +126,41 @@ def test_shards(spark):
     assert 60 < moved < 190  # about one in 25
     assert shard.shard_rows(documents(spark, ROWS[:0])).count() == 0
 
-    def choose(doc_id, tree):  # the rule by hand
-        if len(tree) == 1:
-            return tree[0][2] if isinstance(tree[0][2], int) else choose(doc_id, tree[0][2])
-        draws = []
-        for name, weight, _ in tree:
-            # a long is hashed as 8 bytes, then the name with that hash as its seed
-            first = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=42)
-            h = xxhash.xxh64_intdigest(name.encode(), seed=first)
-            draws.append(math.log(((h >> 12) + 0.5) / 2**52) / weight)
-        below = tree[draws.index(max(draws))][2]
-        return below if isinstance(below, int) else choose(doc_id, below)
+    def drawn(doc_id, node):  # a node's draw by hand, and its shard
+        name, weight, below = node
+        if not isinstance(below, int):
+            return max(drawn(doc_id, child) for child in below)
+        # a long is hashed as 8 bytes, then the name with that hash as its seed
+        first = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=42)
+        h = xxhash.xxh64_intdigest(name.encode(), seed=first)
+        return math.log(((h >> 12) + 0.5) / 2**52) / weight, below
 
     tree = shard.balanced_tree()
-    some = {r[0]: r[4] for r in rows if r[0] is not None and r[0] < 60}
-    assert {d: choose(d, tree) for d in some} == some
+    some = {r[0]: (r[4], r[6]) for r in rows if r[0] is not None and r[0] < 60}
+    assert {d: tuple(max(drawn(d, node) for node in shard.balanced_tree(n))[1] for n in (24, 25)) for d in some} == some
+    assert [len(region[2]) for region in tree] == [2, 2, 2] and all(rack[1] == 4.0 for region in tree for rack in region[2])
+
+
+def test_shards_grow_alike_at_every_number(spark):
+    ids = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    placed = ids.select(*[shard.descend(F.col("doc_id"), shard.balanced_tree(n)).alias(f"s{n}") for n in range(1, 52)]).collect()
+    for n in range(1, 51):
+        assert all(r[f"s{n + 1}"] in (r[f"s{n}"], n) for r in placed)
+        counts = Counter(r[f"s{n + 1}"] for r in placed)
+        assert len(counts) == n + 1 and max(abs(c - 6000 / (n + 1)) for c in counts.values()) < 6 * (6000 / (n + 1)) ** 0.5
+    for n in (1, 5, 23, 24):
+        now = {r["doc_id"]: r["grown_shard"] for r in shard.shard_rows(ids, shards=n).collect()}
+        assert now == {r["doc_id"]: r["shard"] for r in shard.shard_rows(ids, shards=n + 1).collect()}
+
+
+def test_a_changed_weight_moves_rows_in_its_subtree_only(spark):
+    tree = shard.balanced_tree()
+    heavier = [(name, weight * (3 if name == "region1" else 1), below) for name, weight, below in tree]
+    at = lambda t: shard.descend(F.col("id"), t)
+    got = spark.range(20000).select(at(tree).alias("a"), at(heavier).alias("b")).collect()
+    inside = lambda s: s % 3 == 1
+    assert all(r["a"] == r["b"] or (inside(r["b"]) and not inside(r["a"])) for r in got)
+    assert abs(sum(inside(r["b"]) for r in got) - 20000 * 0.6) < 400
 
 
 def test_languages(spark):
@@ -161,6 +183,20 @@ def test_languages(spark):
     assert {g["lang_pred"] for g in langid.predict(documents(spark), *langid.prototypes(documents(spark, ROWS[:0]))).collect()} == {"und"}
 
 
+def test_languages_of_long_texts_without_blanks():
+    r = np.random.default_rng(3)
+    texts = ["".join(map(chr, r.integers(0x4E00, 0x9FA0, 20000))) for _ in range(128)]
+    tracemalloc.start()
+    got = np.concatenate(list(langid.bundles(texts, 64)))
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    for i in (0, 77, 127):  # each text alone, one trigram after the other
+        v = langid.letter_vectors(langid.letters_of(texts[i]), 64).astype(int)
+        assert (got[i] == (np.roll(v[:-2], 2, axis=1) * np.roll(v[1:-1], 1, axis=1) * v[2:]).sum(axis=0)).all()
+    assert [(s.start, s.stop) for s in langid.runs(["a" * 5, None, "", "b" * 30, "c", "d"], 3, 10)] == [(0, 3), (3, 4), (4, 6)]
+    assert list(langid.runs([], 3)) == []
+
+
 def test_syncmers(spark):
     got = [r.asDict() for r in syncmers.fingerprints(documents(spark)).collect()]
     order = sorted(ROWS, key=lambda r: (r[0] is None, r[0] or 0))
