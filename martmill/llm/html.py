@@ -19,6 +19,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -66,8 +67,16 @@ def blocks(html: str) -> list[Block]:
     """Leaf blocks with text, in page order; white space within a block is one blank."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[int, ...], frozenset[int]]] = []  # tag, its ids, the ids down to it
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements, by tag
     links, at, current, end = 0, 0, None, len(html)
 
+    def cut(i: int) -> None:
+        while len(stack) > i:
+            places[stack.pop()[0]].pop()
+
+    def innermost(tags) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=-1)
+
     def text(piece: str) -> None:
         nonlocal current
         if current is None:
@@ -98,10 +107,8 @@ def blocks(html: str) -> list[Block]:
                 links = 0 if closing else 1
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if places[tag]:
+                cut(places[tag][-1])
             current, links = None, 0
             continue
         current, links = None, 0
@@ -110,15 +117,12 @@ def blocks(html: str) -> list[Block]:
             at = closed.end() if closed else end
             continue
         if tag in ENDS_P or tag in ENDS_LIKE:
-            ends = {"p"} | ENDS_LIKE.get(tag, set())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ends:
-                    del stack[i:]
-                    break
-                if stack[i][0] in STOPS:
-                    break
+            ended = innermost({"p"} | ENDS_LIKE.get(tag, set()))
+            if ended >= 0 and ended >= innermost(STOPS):
+                cut(ended)
         if tag not in VOID and not attributes.endswith("/"):
             ids, above = _path_ids(tag, attributes), stack[-1][2] if stack else frozenset()
+            places[tag].append(len(stack))
             stack.append((tag, ids, above if above.issuperset(ids) else above.union(ids)))
     kept = []
     for b in out:
@@ -128,8 +132,9 @@ def blocks(html: str) -> list[Block]:
     return kept
 
 
-def features(page: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of path ids, shares of hashed words, and measures of every block of a page."""
+def features(page: list[Block], start: int = 0, stop: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of path ids, shares of hashed words, and measures of a page's blocks, or of those from start to stop."""
+    of_page, page = len(page), page[start:stop]
     n = len(page)
     paths, words, measures = np.zeros((n, PATHS), np.float32), np.zeros((n, WORDS), np.float32), np.zeros((n, MEASURES), np.float32)
     for i, b in enumerate(page):
@@ -137,7 +142,7 @@ def features(page: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         measures[i, 5] = max(0, len(b.own) - 1)
         tokens = b.text.lower().split(" ")
         words[i] = np.bincount([zlib.crc32(w.encode("utf-8", "replace")) % WORDS for w in tokens], minlength=WORDS) / len(tokens)
-        measures[i, :5] = np.log1p(len(tokens)) / 5, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?", i / n, min(1.0, b.depth / DEPTH)
+        measures[i, :5] = np.log1p(len(tokens)) / 5, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?", (start + i) / of_page, min(1.0, b.depth / DEPTH)
     return paths, words, measures
 
 
@@ -156,30 +161,43 @@ def initial(seed: int = 7) -> dict[str, np.ndarray]:
     return net
 
 
-def _scan(net, d: str, x: np.ndarray, mask: np.ndarray):
-    """One direction over [time, page, width]; padded steps leave the state as it is."""
+def _scan(net, d: str, x: np.ndarray, mask: np.ndarray, keep: bool = True, block: int = 4096):
+    """One direction over [time, page, width]; padded steps leave the state as it is. ``keep``: every step's states."""
     steps, pages, _ = x.shape
     h, c = np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32)
-    z, out, kept = x @ net[f"in_{d}"] + net[f"b_{d}"], np.zeros((steps, pages, HIDDEN), np.float32), {}
+    out, kept, first, z = np.zeros((steps, pages, HIDDEN), np.float32), {}, steps, None
     for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-        gates = z[t] + h @ net[f"re_{d}"]
+        if z is None or not first <= t < first + len(z):
+            first = t // block * block
+            z = x[first : first + block] @ net[f"in_{d}"] + net[f"b_{d}"]
+        gates = z[t - first] + h @ net[f"re_{d}"]
         i, f, o, g = _sigmoid(gates[:, :HIDDEN]), _sigmoid(gates[:, HIDDEN : 2 * HIDDEN]), _sigmoid(gates[:, 2 * HIDDEN : 3 * HIDDEN]), np.tanh(gates[:, 3 * HIDDEN :])
         m, before = mask[t][:, None], (h, c)
         c = m * (f * c + i * g) + (1 - m) * c
         tanh_c = np.tanh(c)
         h = m * (o * tanh_c) + (1 - m) * h
         out[t] = h
-        kept[t] = (i, f, o, g, tanh_c, m, *before)
+        if keep:
+            kept[t] = (i, f, o, g, tanh_c, m, *before)
     return out, kept
 
 
-def forward(net, paths: np.ndarray, words: np.ndarray, measures: np.ndarray, mask: np.ndarray):
-    x = np.tanh(paths @ net["paths"] + words @ net["words"] + measures @ net["measures"] + net["bias"])
-    (f, kept_f), (b, kept_b) = _scan(net, "f", x, mask), _scan(net, "b", x, mask)
+def project(net, paths: np.ndarray, words: np.ndarray, measures: np.ndarray) -> np.ndarray:
+    """What the network reads of a block, from its features."""
+    return np.tanh(paths @ net["paths"] + words @ net["words"] + measures @ net["measures"] + net["bias"])
+
+
+def read(net, x: np.ndarray, mask: np.ndarray, keep: bool = True):
+    """The probability of being article for every block of [time, page, width], and what training needs."""
+    (f, kept_f), (b, kept_b) = _scan(net, "f", x, mask, keep), _scan(net, "b", x, mask, keep)
     joined = np.concatenate([f, b, x], axis=2)
     return _sigmoid((joined @ net["out"] + net["out_bias"])[..., 0]), (x, joined, kept_f, kept_b)
 
 
+def forward(net, paths: np.ndarray, words: np.ndarray, measures: np.ndarray, mask: np.ndarray):
+    return read(net, project(net, paths, words, measures), mask)
+
+
 def gradients(net, paths, words, measures, mask, labels):
     """Gradients of the mean cross entropy over the blocks of a batch: back-propagation through time."""
     p, (x, joined, kept_f, kept_b) = forward(net, paths, words, measures, mask)
@@ -357,8 +375,11 @@ def train(texts: list[str], layouts: int = 3000, epochs: int = 4, batch: int = 1
     return net
 
 
-def label(net, pages: list[list[Block]], budget: int = 6_000) -> list[np.ndarray]:
-    """Article (True) or not for every block of every page; pages of like length share a pass."""
+def label(net, pages: list[list[Block]], budget: int = 6_000, block: int = 2048) -> list[np.ndarray]:
+    """Article (True) or not for every block of every page; pages of like length share a pass.
+
+    Features are projected ``block`` blocks at a time, and no step's states are kept.
+    """
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
     a = 0
@@ -367,7 +388,8 @@ def label(net, pages: list[list[Block]], budget: int = 6_000) -> list[np.ndarray
         while b < len(order) and (b - a + 1) * len(pages[order[b]]) <= budget:
             b += 1
         own = order[a:b]
-        p, _ = forward(net, *_padded([features(pages[i]) for i in own]))
+        read_of = [(np.concatenate([project(net, *features(pages[i], k, k + block)) for k in range(0, len(pages[i]), block)]),) for i in own]
+        p, _ = read(net, *_padded(read_of), keep=False)
         for j, i in enumerate(own):
             out[i] = p[: len(pages[i]), j] > 0.5
         a = b
