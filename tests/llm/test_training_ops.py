@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import struct
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -113,6 +114,28 @@ def test_html_below_many_ancestors():
     assert right / total > 0.93
 
 
+def test_long_and_deep_pages():
+    net, r = html.initial(), random.Random(8)
+    whole = [html.blocks(html.layout(r, [LONG])[0]) for _ in range(5)]
+    by_slices = html.label(net, whole, block=7)
+    p, _ = html.forward(net, *html._padded([html.features(page) for page in whole]))
+    for i, page in enumerate(whole):  # blocks too close to the bound for another order of summing are left out
+        sure = np.abs(p[: len(page), i] - 0.5) > 1e-5
+        assert (by_slices[i] == (p[: len(page), i] > 0.5))[sure].all() and sure.any()
+    page = html.blocks("<body><article>" + "<p>one two three" * 60_000)
+    tracemalloc.start()
+    assert len(html.label(net, [page])[0]) == len(page) == 60_000
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    for opened in ("<h1>", "<table><tr><td><p>", "<div>"):  # each time twice as deep: about twice, not four times as long
+        took = []
+        for n in (8000, 32000):
+            start = time.process_time()
+            assert len(html.blocks("<p><button>" + f"{opened}x" * n)) == n
+            took.append(time.process_time() - start)
+        assert took[1] < 9 * took[0] + 0.2
+
+
 def test_shards(spark):
     rows = [tuple(r) for r in shard.shard_rows(documents(spark, ROWS * 20 + [(i, "x", "en", "a") for i in range(3000)])).collect()]
     assert len(rows) == 20 * len(ROWS) + 3000
