@@ -8,6 +8,7 @@ import time
 import tracemalloc
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from martmill.llm import html, jaccard, langid, mix, mixlm, pack, shard, syncmers, topk
 from martmill.llm.components import components
+from martmill.llm.queries import op2_html_extraction
 from martmill.llm.ship import shipped
 
 LONG = " ".join(f"word{i % 977}x{i % 31}" for i in range(6000))
@@ -136,6 +138,45 @@ def test_long_and_deep_pages():
         assert took[1] < 9 * took[0] + 0.2
 
 
+class ArticleReader(HTMLParser):
+    """The lines of a page's article element, by the standard library's reader and the element's own tags."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.lines = False, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.inside = True
+        if tag == "br":
+            self.handle_data(" ")
+        elif tag != "b":
+            self.lines.append("")
+
+    def handle_endtag(self, tag):
+        if tag == "article":
+            self.inside = False
+        if tag != "b":
+            self.lines.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.lines[-1] += data
+
+
+def test_given_pages_give_their_articles(spark):
+    root = "/root/testdata/sf0.1"
+    got = {r["page_id"]: r for r in op2_html_extraction(spark, root).collect()}
+    pages = spark.read.parquet(f"{root}/pages.parquet").collect()
+    assert len(got) == len(pages) > 2000
+    for page in pages:
+        reader = ArticleReader()
+        reader.feed(page["html"] or "")
+        reader.close()
+        expected = "\n".join(x for x in (" ".join(line.split()) for line in reader.lines) if x)
+        assert (got[page["page_id"]]["text"], got[page["page_id"]]["n_chars"]) == (expected, len(expected))
+
+
 def test_shards(spark):
     rows = [tuple(r) for r in shard.shard_rows(documents(spark, ROWS * 20 + [(i, "x", "en", "a") for i in range(3000)])).collect()]
     assert len(rows) == 20 * len(ROWS) + 3000
