@@ -20,6 +20,8 @@ MERGE_MAX_MB = 5000
 MICROBATCH_MIN_ROWS = 1_000_000
 # Statements that only ever add rows.
 APPEND_STATEMENTS = ("INSERT", "CTAS")
+# Bytes of view names up to which they go to every task whole; with more, names and texts are shuffled.
+SENT_NAMES = 8 * 2**20
 
 
 def _recent(c: str, as_of: dt.date | Column, days: int) -> Column:
@@ -46,6 +48,7 @@ def join_text_match(queries: DataFrame, views: DataFrame, carry: Sequence[str] =
     A hit always spans a dot, with the schema at the end of what stands before and the name at the start of what
     follows. So each text is cut at its dots, what follows a dot is looked up by equality once for each
     length that names have, and the schema decides. The texts are read once, and no text meets every view.
+    Spark's estimates do not see that texts are cut into many rows, so the join is chosen by the counted bytes of the names.
 
     ``queries``: ``query_id, query_text`` and the columns to ``carry`` along; ``views``: ``view_name``.
     """
@@ -56,7 +59,7 @@ def join_text_match(queries: DataFrame, views: DataFrame, carry: Sequence[str] =
     ).where(F.length("_name") > 0)
     # One row: the lengths that names have, at most as many as an identifier may have characters.
     sizes = index.agg(
-        F.collect_set(F.length("_name")), F.max(F.length("_schema")), F.max(F.size(F.split("_name", r"\.")))
+        F.collect_set(F.length("_name")), F.max(F.length("_schema")), F.max(F.size(F.split("_name", r"\."))), F.sum(F.octet_length("view_name"))
     ).first()
     if not sizes[0]:
         return queries.select("query_id", F.lit(None).cast("string").alias("view_name"), *carry).limit(0)
@@ -70,7 +73,8 @@ def join_text_match(queries: DataFrame, views: DataFrame, carry: Sequence[str] =
         "query_id", *carry, F.right("_p.p0", F.lit(longest)).alias("_before"), F.concat_ws(".", *[f"_p.p{i + 1}" for i in range(parts)]).alias("_after")
     )
     held = beside.withColumn("_n", F.explode(lengths)).where(F.col("_n") <= F.length("_after"))
-    hits = held.withColumn("_name", F.left("_after", "_n")).join(index, "_name").filter(F.endswith("_before", "_schema"))
+    index = index.hint("broadcast" if sizes[3] <= SENT_NAMES else "merge")
+    hits = held.select("query_id", *carry, "_before", F.left("_after", "_n").alias("_name")).join(index, "_name").filter(F.endswith("_before", "_schema"))
     return hits.select("query_id", "view_name", *carry).distinct()
 
 

@@ -297,3 +297,21 @@ def test_attribution_needs_every_table_of_many(spark, rows):
         queries, spark.createDataFrame(scans, "query_id int, table_name string"), spark.createDataFrame(below, "view_name string, table_name string"), dt.date(2024, 1, 8)
     )
     assert rows(got) == [(1, "s.wide"), (3, "s.slim")]
+
+
+@pytest.mark.parametrize("sent", [workload.SENT_NAMES, 0])
+def test_text_match_never_sends_the_texts_to_every_task(spark, rows, monkeypatch, sent):
+    """More names than Spark would broadcast, beside texts that look small until they are cut: the names' counted size decides."""
+    monkeypatch.setattr(workload, "SENT_NAMES", sent)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        views = spark.range(3000).select(F.concat(F.lit("s.v_"), F.col("id").cast("string"), F.lit("x")).alias("view_name"))
+        queries = spark.range(600).select(F.col("id").alias("query_id"), F.concat(F.lit("from S.V_"), (F.col("id") * 7).cast("string"), F.lit("x, t.v_1x")).alias("query_text"))
+        out = workload.join_text_match(queries, views)
+        got = rows(out)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert got == sorted(((i, f"s.v_{7 * i}x") for i in range(429)), key=repr)
+        assert ("BroadcastHashJoin" in plan) == (sent > 0) and ("SortMergeJoin" in plan) == (sent == 0)
+        assert "BuildLeft" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
