@@ -38,6 +38,17 @@ def test_tune_sets_what_plans_rely_on(spark):
     assert all(spark.conf.get(k) == v for k, v in S.RUNTIME_CONF.items())
 
 
+def test_tune_bounds_what_a_task_reads_and_keeps_smaller_settings(spark):
+    before = spark.conf.get(S.ADVISORY_CONF)
+    try:
+        for given, want in (("64m", f"{S.ADVISORY_BYTES}b"), ("67108864b", f"{S.ADVISORY_BYTES}b"), ("16k", "16k"), ("8m", "8m")):
+            spark.conf.set(S.ADVISORY_CONF, given)
+            S.tune(spark)
+            assert spark.conf.get(S.ADVISORY_CONF) == want
+    finally:
+        spark.conf.set(S.ADVISORY_CONF, before)
+
+
 def test_counted_write(spark):
     path = S.scratch_path(spark, "counted")
     got = S.write_counted(spark.range(10), path, n=F.count(F.lit(1)), top=F.max("id"))
