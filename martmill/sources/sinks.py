@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martmill.operators.cuts import order_number
+from martmill.session import materialise
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -20,6 +21,12 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 _CURVE_BITS = 6
 
 
+def _below(number: Column, bounds: Sequence[float]) -> Column:
+    """How many of the sorted bounds lie below a number, by halving: a place beyond the last bound is NULL, and so not below."""
+    halves = F.array(*[F.lit(1 << bit) for bit in reversed(range(_CURVE_BITS))])
+    return F.aggregate(halves, F.lit(0), lambda at, step: at + F.when(F.get(F.lit(bounds), at + step - 1) < number, step).otherwise(0))
+
+
 def curve_position(df: DataFrame, columns: Sequence[str]) -> Column:
     """A row's place on a Z-curve through the columns: the bits of their range numbers, taken in turn.
 
@@ -31,12 +38,11 @@ def curve_position(df: DataFrame, columns: Sequence[str]) -> Column:
     found = df.agg(*[F.percentile_approx(n, F.array(*map(F.lit, steps)), 10_000) for n in numbers]).first()
     place = F.lit(0).cast("bigint")
     for k, (number, cuts) in enumerate(zip(numbers, found)):
-        bounds = sorted(set(cuts or []))
-        at = F.size(F.filter(F.lit(bounds), lambda b: b < number)) if bounds else F.lit(0)
-        at = F.coalesce(at, F.lit(0)).cast("bigint")
-        for bit in range(_CURVE_BITS):
-            one = F.shiftright(at, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            place = place + F.shiftleft(one, bit * len(columns) + k)
+        bounds = sorted(b for b in set(cuts or []) if b == b)  # nothing is above NaN
+        at = _below(number, bounds) if bounds else F.lit(0)
+        # A range's bits on the curve, by its number: the number is found once a row.
+        bits = [sum((n >> bit & 1) << (bit * len(columns) + k) for bit in range(_CURVE_BITS)) for n in range(len(bounds) + 1)]
+        place = place + F.lit(bits).cast("array<bigint>")[at]
     return place
 
 
@@ -61,8 +67,12 @@ def publish_table(
     ``spread`` names the table's key: it goes into the range bounds behind the other columns, so that one very
     frequent value still fills several tasks and files. ``files`` fixes their number (with adaptive execution, by
     size otherwise).
+
+    The curve, the range bounds and the build itself each read all rows, so an ordered build stores them first, once.
     """
     order = list(dict.fromkeys([*partition_by, *sort]))
+    if order or cluster:
+        df = materialise(df, "unordered")
     if cluster:
         df = df.withColumn("_curve", curve_position(df, cluster))
         order.append("_curve")

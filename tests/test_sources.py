@@ -150,3 +150,26 @@ def test_unknown_customers_stay_in_the_priority_summary(spark, rows):
     assert rows(tpch.order_priorities_summary(orders, geo)) == [
         ("EU", "m", "HIGH", 2, 11), (None, None, "HIGH", 1, 1), (None, None, "LOW", 1, 2),
     ]
+
+
+def test_an_ordered_build_computes_its_rows_once(spark, tmp_path):
+    """Curve, range bounds and build read stored rows: a job that counts its rows sees each once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("id", "id % 37 AS a", "id % 91 AS b").mapInArrow(count, "id long, a long, b long")
+    out = sinks.publish_table(df, "counted_build", str(tmp_path / "t"), spread=["id"], cluster=["a", "b"], files=8)
+    assert out.count() == 1000 and seen.value == 1000
+
+
+def test_curve_places_interleave_the_bits_of_both_range_numbers(spark):
+    df = spark.range(64).selectExpr("id AS a", "63 - id AS b").unionByName(spark.createDataFrame([(None, 0)], "a long, b long"))
+    got = {(r["a"], r["b"]): r["p"] for r in df.withColumn("p", sinks.curve_position(df, ["a", "b"])).collect()}
+    cuts = {c: sorted(set(df.agg(F.percentile_approx(c, F.array(*[F.lit(i / 64) for i in range(1, 64)]), 10_000)).first()[0])) for c in ("a", "b")}
+    for (a, b), place in got.items():
+        at = [sum(c < v for c in cuts[n]) if v is not None else 0 for n, v in (("a", a), ("b", b))]
+        assert place == sum((at[k] >> bit & 1) << (2 * bit + k) for bit in range(6) for k in range(2))
