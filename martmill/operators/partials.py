@@ -94,16 +94,18 @@ def apply_delta(spark: SparkSession, path: str, rollup: Rollup, delta: DataFrame
     see some slots before it and some after.
     """
     slot = F.pmod(F.xxhash64(*rollup.keys), F.lit(slots)).cast("int").alias(_SLOT)
-    new = materialise(rollup.parts(delta).select("*", slot), "delta-parts")
-    touched = [r[0] for r in new.select(_SLOT).distinct().collect()]  # ``slots`` at most
     old = stored_parts(spark, path)
     if old is None:
-        rows = new.withColumn(_BATCH, F.lit(batch))
+        rows = rollup.parts(delta).select("*", slot)
     else:
-        old = old.where(F.col(_SLOT).isin(touched))
-        done = [r[0] for r in old.groupBy(_SLOT).agg(F.max(_BATCH).alias("b")).where(F.col("b") >= batch).collect()]
-        both = [df.where(~F.col(_SLOT).isin(done)).drop(_BATCH, _SLOT) for df in (old, new)]
-        rows = materialise(rollup.merged(*both).select("*", slot).withColumn(_BATCH, F.lit(batch)), "merged-parts")
+        touched = {r[0] for r in delta.select(slot).distinct().collect()}  # ``slots`` at most
+        done = {r[0] for r in old.groupBy(_SLOT).agg(F.max(_BATCH).alias("b")).where(F.col("b") >= batch).collect()}
+        fresh = sorted(touched - done)
+        if not fresh:
+            return
+        new = rollup.parts(delta.where(slot.isin(fresh)))
+        rows = rollup.merged(old.where(F.col(_SLOT).isin(fresh)).drop(_BATCH, _SLOT), new).select("*", slot)
+    rows = materialise(rows.withColumn(_BATCH, F.lit(batch)), "merged-parts")
     dealt = rows.hint("rebalance", F.col(_SLOT))
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_SLOT).parquet(path)
 

@@ -71,3 +71,21 @@ def test_a_load_that_stopped_half_way_is_completed(spark, rows, tmp_path):
 def test_an_unknown_expression_fails(spark):
     with pytest.raises(Exception, match="nope"):
         P.Rollup(["k"], sums={"s": "nope"}).parts(frame(spark, 5))
+
+
+def test_a_repeated_delta_computes_no_parts(spark, tmp_path, monkeypatch):
+    """A batch that every slot has taken is told by its keys; one half of whose slots are new is completed."""
+    rollup = P.Rollup(["k"], sums={"s": "v"}, distinct={"n": "id"})
+    delta = spark.range(100).selectExpr("id % 10 AS k", "id AS v", "id")
+    path = str(tmp_path / "parts")
+    P.apply_delta(spark, path, rollup, delta.where("k < 5"), 1, slots=4)
+    P.apply_delta(spark, path, rollup, delta, 2, slots=4)
+    want = sorted((k, sum(v for v in range(100) if v % 10 == k) * (2 if k < 5 else 1), 10) for k in range(10))
+    assert sorted(tuple(r) for r in rollup.finished(P.stored_parts(spark, path)).collect()) == want
+
+    def never(self, df):
+        raise AssertionError("parts of a batch already taken")
+
+    monkeypatch.setattr(P.Rollup, "parts", never)
+    P.apply_delta(spark, path, rollup, delta, 2, slots=4)
+    assert sorted(tuple(r) for r in rollup.finished(P.stored_parts(spark, path)).collect()) == want

@@ -6,7 +6,7 @@ from martmill.operators import metrics as M
 from martmill.operators import partials as P
 from martmill.operators import ranking as R
 from martmill.plans import jaffle, tpch
-from martmill.session import scratch_path
+from martmill.session import materialise, scratch_path
 from verification import query
 from verification.jaffle import dim_order, fct_order_items, fct_order_items_v2
 from verification.sqltext import DIM_ORDER, ITEMS, RFM, with_
@@ -15,7 +15,7 @@ from verification.tpch import CUSTOMER_REVENUE, DAILY_SALES
 
 def _from_deltas(g, rollup, rows, number):
     """Three deltas that touch the same groups, the second one loaded twice, as after a failed try."""
-    path = scratch_path(g.spark, "parts")
+    path, rows = scratch_path(g.spark, "parts"), materialise(rows, "delta-rows")
     for batch in (1, 2, 2, 3):
         P.apply_delta(g.spark, path, rollup, rows.filter(number % 3 == batch - 1), batch, slots=8)
     return rollup.finished(P.stored_parts(g.spark, path))
