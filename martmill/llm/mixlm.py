@@ -7,12 +7,18 @@ slots whose counts come from the training words of the whole corpus, and the spe
 text alone. Weights chosen by a gate (what each predictor has seen) mix them, and a correction by the mixed odds
 refines the result. Beside its spelling, a word can come by name, with its share of the training words of the corpus, of
 one class (a training label, such as the language) or of the text so far; how much each way counts is learned, too. Every
-word is spelled, however frequent it is. All that is learned starts anew with each text, from values fitted to a bounded sample, and is taught by every block after that block has
-been scored; blocks double from 8 words. The words' log probabilities add up to the text's.
+word is spelled, however frequent it is. All that is learned starts anew with each text, from values fitted to all
+training texts, and is taught by every block after that block has been scored; blocks double from 8 words. The words' log
+probabilities add up to the text's.
+
+The starting values: every training text is read once as it will be scored, but with weights that stay, and with its own
+occurrences of each word taken out of the word's counts and of its bits'. Slopes and curvatures of all texts' bits add up
+by gate and bucket, and one damped Newton step over all weights and corrections together gives where texts start.
 
 Word counts are exact: each split of the corpus sends its distinct words with their training counts to hash ranges, which
 add them up and send every split the corpus counts of its words; the texts wait as word numbers. Only the two tables of
-bit counts (2 * SLOTS slots each, whatever the input), the sample's words and one number per byte reach the driver.
+bit counts (2 * SLOTS slots each, whatever the input), the sums of the Newton step (some 8000 numbers) and one number per
+byte reach the driver.
 
 Defined cases
 * A null or empty text is the end alone. Equal texts get equal scores. Repeated rows are scored, and learned from, each.
@@ -47,6 +53,9 @@ FIRST_BLOCK, LAST_BLOCK, GROUP_WORDS = 8, 1024, 16384
 GROUP_TEXTS = 128
 WORDS_A_TASK = 1_000_000
 CHUNKS = 16
+DAMPING, LONGEST_STEP = 4.0, 1.0  # of the step from the first weights to those that texts start from
+CROSS = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]  # pairs of predictors
+EVIDENCE = GATES * (3 + len(CROSS)) + 3 * GATES * BUCKETS + 2 * BUCKETS
 
 
 class Code:
@@ -126,7 +135,7 @@ def odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def start_weights() -> np.ndarray:
-    """[gate, predictor]: where learning begins, before the sample."""
+    """[gate, predictor]: where learning begins, before any text."""
     out = np.zeros((GATES, 3), np.float32)
     for gate in range(GATES):
         word, recent = gate // 20, gate // 4 % 5
@@ -135,20 +144,20 @@ def start_weights() -> np.ndarray:
 
 
 class State:
-    """Weights [text * GATES + gate, predictor] and corrections [text * BUCKETS + bucket], with the sums of squared
+    """Weights [predictor, text * GATES + gate] and corrections [text * BUCKETS + bucket], with the sums of squared
     gradients that set their pace; and by text how many words came by name from the corpus, from each class and
     from the text itself, and by their spelling."""
 
     def __init__(self, weights: np.ndarray, fix: np.ndarray, named: np.ndarray, texts: int = 1) -> None:
         self.named = np.tile(named, (texts, 1)).astype(np.float64)
-        self.weights, self.fix = np.tile(weights, (texts, 1)).astype(np.float32), np.tile(fix, texts).astype(np.float32)
+        self.weights, self.fix = np.tile(weights.T, texts).astype(np.float32), np.tile(fix, texts).astype(np.float32)
         self.power, self.fix_power = np.full(self.weights.shape, PACE, np.float32), np.full(self.fix.shape, PACE, np.float32)
 
     def learn(self, gate, bucket, miss, x, rate: float) -> None:
         for k in range(3):
-            g = np.bincount(gate, miss * x[k], len(self.weights))
-            self.power[:, k] += g * g
-            self.weights[:, k] += rate * g / np.sqrt(self.power[:, k])
+            g = np.bincount(gate, miss * x[k], self.weights.shape[1])
+            self.power[k] += g * g
+            self.weights[k] += rate * g / np.sqrt(self.power[k])
         g = np.bincount(bucket, miss, len(self.fix))
         self.fix_power += g * g
         self.fix += rate * g / np.sqrt(self.fix_power)
@@ -164,16 +173,16 @@ class Mixer:
         self.gate = seen_one.astype(np.int16) * 20
         self.start, self.rate = start, rate
 
-    def group(self, texts: list[np.ndarray], shared: State | None = None, rate: float | None = None) -> np.ndarray:
+    def group(self, texts: list[np.ndarray], own: "Own | None" = None) -> np.ndarray:
         """Natural log probability of each text, block by block, all texts in step.
 
-        With ``shared``, all texts use and teach one state, to fit the starting weights.
+        With ``own``, the weights stay, and what the bits teach is added up there.
         """
-        n, words, rate = len(texts), len(self.s.first), self.rate if rate is None else rate
+        n, words = len(texts), len(self.s.first)
         lengths = np.array([len(t) for t in texts])
         total = np.zeros(n)
-        state, apart = (shared, 0) if shared else (State(*self.start, n), 1)
-        counts = np.zeros((2, n * LOCAL), np.float32)
+        state = State(*self.start, n)
+        counts = np.zeros(2 * n * LOCAL, np.float32)  # zeros and ones side by side
         came, came_often = np.zeros(0, np.int64), np.zeros(0)
         at, block = 0, FIRST_BLOCK
         while at < lengths.max(initial=0):
@@ -185,74 +194,144 @@ class Mixer:
             held = state.named / state.named.sum(axis=1, keepdims=True)
             place = np.minimum(np.searchsorted(came, pair), max(0, len(came) - 1))
             before = np.where(came[place] == pair, came_often[place], 0) / max(1, at) if len(came) else np.zeros(len(pair))
-            ways = held[of_text * apart] * np.concatenate([self.share[word], before[:, None], np.zeros((len(word), 1))], axis=1)
-            learn = at + block < lengths.max() or shared is not None
-            ways[:, -1] = held[of_text * apart, -1] * self._spell(state, apart, counts, held, of_text, word, times.astype(np.float32), rate if learn else None)
+            share = self.share[word] if own is None else own.share(of_text, word, pair)
+            ways = held[of_text] * np.concatenate([share, before[:, None], np.zeros((len(word), 1))], axis=1)
+            learn = at + block < lengths.max()
+            ways[:, -1] = held[of_text, -1] * self._spell(state, counts, held, of_text, word, pair, times.astype(np.float32), learn, own)
             both = np.maximum(ways.sum(axis=1), 1e-300)
             total += np.bincount(of_text, np.log(both) * times, n)
-            if learn:
+            if learn or own is not None:
                 came, where = np.unique(np.concatenate([came, pair]), return_inverse=True)
                 came_often = np.bincount(where, np.concatenate([came_often, times]), len(came))
                 for k in range(ways.shape[1]):
-                    state.named[:, k] += np.bincount(of_text * apart, ways[:, k] / both * times, len(state.named))
+                    state.named[:, k] += np.bincount(of_text, ways[:, k] / both * times, len(state.named))
             at, block = at + block, min(2 * block, LAST_BLOCK)
+        if own is not None:
+            own.named += (state.named - self.start[2]).sum(axis=0)
         return total
 
-    def _spell(self, state: State, apart: int, counts: np.ndarray, held: np.ndarray, of_text, word, often, rate: float | None) -> np.ndarray:
-        """The probability of each word's spelling in its text; with a rate, the bits then teach the state."""
+    def _spell(self, state: State, counts: np.ndarray, held: np.ndarray, of_text, word, pair, often, learn: bool, own: "Own | None") -> np.ndarray:
+        """The probability of each word's spelling in its text; the bits then teach the state, or are added up in ``own``."""
         s = self.s
         bits = s.count[word]
         pos = np.repeat(s.first[word] - (np.cumsum(bits) - bits), bits) + np.arange(bits.sum())
-        text, times = np.repeat(of_text, bits), np.repeat(often, bits)
-        own = text * LOCAL + s.local[pos]
-        zeros, ones = counts[0][own], counts[1][own]
+        text, times, bit = np.repeat(of_text, bits), np.repeat(often, bits), s.bit[pos]
+        local = (text * LOCAL + s.local[pos]) * 2
+        zeros, ones = counts[local], counts[local + 1]
         seen = zeros + ones
         group = np.where(held[:, 1:-2].max(axis=1, initial=0) > 0.3, held[:, 1:-2].argmax(axis=1) + 1, 0) if held.shape[1] > 3 else np.zeros(len(held), int)
-        recent = recent_slot(s.recent[pos], group[text * apart])
-        gate = text * (GATES * apart) + self.gate[pos] + self.seen_two[recent] * 4 + (seen > 0) + (seen >= 3) + ((zeros > 0) & (ones > 0))
-        x = self.one[pos], self.two[recent], np.log((ones + 0.2) / (zeros + 0.2))
-        w = state.weights[gate]
-        mix = w[:, 0] * x[0] + w[:, 1] * x[1] + w[:, 2] * x[2]
+        recent = recent_slot(s.recent[pos], group[text])
+        if own is None:
+            one, gate, two, seen_two = self.one[pos], self.gate[pos], self.two[recent], self.seen_two[recent]
+        else:
+            one, gate, two, seen_two = own.odds(s.slot[pos], recent, bit, np.repeat(own.often(pair), bits), (group == 0) | (group == own.groups), text)
+        gate = gate + (seen_two * np.int16(4) + (seen > 0) + (seen >= 3) + ((zeros > 0) & (ones > 0)))
+        x = one, two, np.log((ones + np.float32(0.2)) / (zeros + np.float32(0.2)))
+        place = text * GATES + gate
+        w = state.weights[:, place]
+        mix = w[0] * x[0] + w[1] * x[1] + w[2] * x[2]
         np.clip(mix, -11, 11, out=mix)
-        bucket = text * (BUCKETS * apart) + (mix + 11.5).astype(np.int64)
-        mix += state.fix[bucket]
-        bit = s.bit[pos]
+        bucket = (mix + 11.5).astype(np.int64)
+        at = text * BUCKETS + bucket
+        mix += state.fix[at]
         p = 1 / (1 + np.exp(np.where(bit == 1, -mix, mix)))  # of the bit that came
-        if rate is not None:
-            state.learn(gate, bucket, np.where(bit == 1, 1 - p, p - 1) * times, x, rate)
-            counts[1] += np.bincount(own, times * bit, counts.shape[1])
-            counts[0] += np.bincount(own, times * (1 - bit), counts.shape[1])
+        if own is not None:
+            own.add(gate, bucket, np.where(bit == 1, 1 - p, p - 1) * times, p * (1 - p) * times, x)
+        elif learn:
+            state.learn(place, at, np.where(bit == 1, 1 - p, p - 1) * times, x, self.rate)
+        if learn:
+            np.add.at(counts, local + bit, times)
         return np.exp(np.add.reduceat(np.log(np.maximum(p, 1e-12)), np.cumsum(bits) - bits))
 
-    def fit(self, texts: list[np.ndarray], epochs: int = 6) -> tuple[np.ndarray, ...]:
-        """Starting weights, corrections and share of named words from a sample of texts, which the tables must not have counted."""
-        state, even = State(*self.start), self.start[2]
-        named = np.zeros_like(even)
-        for epoch in range(epochs):
-            for a in range(0, len(texts), 8):
-                state.named = np.array(even)
-                self.group(texts[a : a + 8], state, 0.1 / (1 + epoch))
-                named += state.named - even
-        if named.shape[1] > 3:
-            named[:, 1:-2] = named[:, 1:-2].mean()  # a text may be of any class
-        return state.weights, state.fix, named / max(named.sum(), 1e-9) * PRIOR + 1e-3
-
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probabilities; texts of like length go in one group."""
-        out, order, a = np.zeros(len(texts)), sorted(range(len(texts)), key=lambda i: len(texts[i])), 0
-        while a < len(order):
-            b = a + 1
-            while b < len(order) and b - a < GROUP_TEXTS and (b + 1 - a) * min(LAST_BLOCK, len(texts[order[b]])) <= GROUP_WORDS:
-                b += 1
-            out[order[a:b]] = self.group([texts[i] for i in order[a:b]])
-            a = b
+        out = np.zeros(len(texts))
+        for some in alike(texts):
+            out[some] = self.group([texts[i] for i in some])
         return out
 
 
+def alike(texts: list[np.ndarray]) -> Iterator[list[int]]:
+    """Groups of texts of like length, by place."""
+    order, a = sorted(range(len(texts)), key=lambda i: len(texts[i])), 0
+    while a < len(order):
+        b = a + 1
+        while b < len(order) and b - a < GROUP_TEXTS and (b + 1 - a) * min(LAST_BLOCK, len(texts[order[b]])) <= GROUP_WORDS:
+            b += 1
+        yield order[a:b]
+        a = b
+
+
+class Own:
+    """A group of training texts seen by a corpus without them, and the sums of what their bits teach.
+
+    Of each text, its occurrences of a word are taken out of that word's counts and of the counts of that word's bits.
+    """
+
+    def __init__(self, counts: np.ndarray, totals: np.ndarray, tables: np.ndarray) -> None:
+        self.counts, self.totals, self.tables = counts, totals, tables
+        self.sums, self.named = np.zeros(EVIDENCE), np.zeros(len(totals) + 2)
+
+    def begin(self, texts: list[np.ndarray], groups: np.ndarray) -> None:
+        self.groups, self.lengths = groups, np.array([len(t) for t in texts])
+        self.pairs, self.times = np.unique(np.repeat(np.arange(len(texts)), self.lengths) * np.int64(self.counts.shape[1]) + np.concatenate(texts), return_counts=True)
+
+    def often(self, pair: np.ndarray) -> np.ndarray:
+        """How often a text has a word."""
+        return self.times[np.searchsorted(self.pairs, pair)].astype(np.float32)
+
+    def share(self, of_text, word, pair) -> np.ndarray:
+        left, rest = self.counts[:, word].T.astype(float), np.repeat(self.totals[None, :].astype(float), len(word), axis=0)
+        times, group = self.often(pair), self.groups[of_text]
+        left[:, 0] -= times
+        rest[:, 0] -= self.lengths[of_text]
+        some = np.flatnonzero(group)
+        left[some, group[some]] -= times[some]
+        rest[some, group[some]] -= self.lengths[of_text[some]]
+        return np.maximum(left, 0) / np.maximum(rest, 1)
+
+    def odds(self, slot, recent, bit, times, counted: np.ndarray, text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Log odds and states of the word slots and of the slots of the last bytes; ``counted``: by text, whether the
+        latter hold the text itself."""
+        out = []
+        for table, at, taken in ((self.tables[0], slot, times), (self.tables[1], recent, times * counted[text])):
+            at = at.astype(np.int64) * 2
+            x, state = odds(np.maximum(table[at] - taken * (1 - bit), 0), np.maximum(table[at + 1] - taken * bit, 0))
+            out.append((x, state))
+        (one, seen_one), (two, seen_two) = out
+        return one, seen_one.astype(np.int16) * np.int16(20), two, seen_two
+
+    def add(self, gate, bucket, miss, curve, x) -> None:
+        both, parts = gate * np.int64(BUCKETS) + bucket, []
+        parts += [np.bincount(gate, miss * x[k], GATES) for k in range(3)]
+        bent = [curve * x[k] for k in range(3)]
+        parts += [np.bincount(gate, bent[k] * x[m], GATES) for k, m in CROSS]
+        parts += [np.bincount(both, bent[k], GATES * BUCKETS) for k in range(3)]
+        parts += [np.bincount(bucket, miss, BUCKETS), np.bincount(bucket, curve, BUCKETS)]
+        self.sums += np.concatenate(parts)
+
+
+def stepped(weights: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and corrections after one Newton step, damped and bounded, from these weights and no correction."""
+    by_gate = sums[: 9 * GATES].reshape(9, GATES)
+    across = sums[9 * GATES : -2 * BUCKETS].reshape(3, GATES, BUCKETS)
+    slope = np.concatenate([by_gate[:3].T.ravel(), sums[-2 * BUCKETS : -BUCKETS]])
+    curve = np.zeros((3 * GATES + BUCKETS,) * 2)
+    gates, buckets = 3 * np.arange(GATES), 3 * GATES + np.arange(BUCKETS)
+    for (k, m), own in zip(CROSS, by_gate[3:]):
+        curve[gates + k, gates + m] = curve[gates + m, gates + k] = own
+    for k in range(3):
+        curve[np.ix_(gates + k, buckets)] = across[k]
+        curve[np.ix_(buckets, gates + k)] = across[k].T
+    curve[buckets, buckets] = sums[-BUCKETS:]
+    step = np.clip(np.linalg.solve(curve + DAMPING * np.eye(len(curve)), slope), -LONGEST_STEP, LONGEST_STEP)
+    step = step.round(4)  # the order in which tasks' sums are added leaves no trace
+    return weights + step[: 3 * GATES].reshape(GATES, 3).astype(np.float32), step[3 * GATES :].astype(np.float32)
+
+
 # --- the corpus ------------------------------------------------------------------------------------------------------
 STORED = "split long, range int, words binary, numbers binary, ids binary, lengths binary, tokens binary"
 ANSWERS = "split long, range int, words binary, numbers binary, totals array<long>, symbols array<long>"
-SAMPLE, SAMPLE_CHARS = 256, 8000
 
 
 def text_words(text: str | None) -> list[bytes]:
@@ -269,11 +348,14 @@ def _unpacked(blob: bytes) -> list[bytes]:
 
 
 def _numbers(array: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(array).tobytes(), 1)
+    """Packed: all first bytes, then all second ones, and so on, most of which are zeros."""
+    array = np.ascontiguousarray(array).reshape(-1)
+    return zlib.compress(array.view(np.uint8).reshape(-1, array.itemsize).T.tobytes(), 1)
 
 
 def _read(blob: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(blob), kind)
+    kind = np.dtype(kind)
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -313,7 +395,7 @@ def _split(ranges: int, classes: int):
                 tokens.append(numbers)
                 out, doc_id = held_out.as_py(), doc_id.as_py()
                 groups.append(-1 if out else group.as_py())
-                ids.append((doc_id or 0, doc_id is None, out))
+                ids.append((doc_id or 0, doc_id is None, out, groups[-1]))
                 held += len(numbers)
                 if held >= SPLIT_WORDS:
                     yield flush()
@@ -382,64 +464,70 @@ def add_bits(tables: np.ndarray, spelling: Spelling, counts: np.ndarray, sign: i
             np.add.at(tables[1], recent_slot(spelling.recent[held], k).astype(np.int64) * 2 + bit, times)
 
 
-def _added(table: pa.Table) -> pa.Table:
-    total = sum(_read(b.as_py(), np.float32).astype(np.float64) for b in table.column("counts"))
-    return pa.Table.from_batches([_batch([(table.column("chunk")[0].as_py(), _numbers(total.astype(np.float32)))], "chunk int, counts binary")])
+def _added(kind):
+    def run(table: pa.Table) -> pa.Table:
+        total = sum(_read(b.as_py(), kind).astype(np.float64) for b in table.column("counts"))
+        return pa.Table.from_batches([_batch([(table.column("chunk")[0].as_py(), _numbers(total.astype(kind)))], "chunk int, counts binary")])
 
+    return run
 
-def _corpus_counts(answers: DataFrame, wanted: set[bytes], classes: int) -> dict[bytes, np.ndarray]:
-    """Corpus counts of the sample's words."""
-    sent = answers.sparkSession.sparkContext.broadcast(wanted)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob, numbers in zip(batch.column("words"), batch.column("numbers")):
-                words = _unpacked(blob.as_py())
-                held = [i for i, w in enumerate(words) if w in sent.value]
-                if held:
-                    counts = _read(numbers.as_py(), np.int64).reshape(classes + 1, -1)
-                    yield _batch([(words[i], counts[:, i].tolist()) for i in held], "word binary, counts array<long>")
-
-    found = answers.select("words", "numbers").mapInArrow(run, "word binary, counts array<long>").toArrow()
-    return {w: np.array(c) for w, c in zip(found.column("word").to_pylist(), found.column("counts").to_pylist())}
-
-
-def starting_point(texts: list[tuple[list[bytes], int]], counts: dict[bytes, np.ndarray], tables: np.ndarray, totals: np.ndarray, code: Code) -> tuple[np.ndarray, ...]:
-    """Starting values fitted to sample texts, each with its class, whose own words are taken out of all counts."""
-    classes = len(totals) - 1
-    start = start_weights(), np.zeros(BUCKETS, np.float32), np.full((1, classes + 3), 1.0)
-    if not texts:
-        return start
-    index: defaultdict[bytes, int] = defaultdict()
-    index.default_factory = index.__len__
-    numbers = [np.fromiter(map(index.__getitem__, words), np.int64) for words, _ in texts]
-    own = np.zeros((classes + 1, len(index)), np.int64)
-    for at, (_, group) in zip(numbers, texts):
-        once = np.bincount(at, minlength=len(index))
-        own[0] += once
-        if group:
-            own[group] += once
-    words = list(index)
-    spelling = Spelling(words, code)
-    left = np.maximum(np.array([counts.get(w, np.zeros(classes + 1, np.int64)) for w in words]).T - own, 0)
-    tables = tables.copy()
-    add_bits(tables, spelling, own, -1)
-    np.maximum(tables, 0, out=tables)
-    share = (left / np.maximum(totals - own.sum(axis=1), 1)[:, None]).T
-    mixer = Mixer(spelling, share, odds(tables[0, 0::2][spelling.slot], tables[0, 1::2][spelling.slot]), odds(tables[1, 0::2], tables[1, 1::2]), start)
-    return mixer.fit(numbers)
+def _of_split(stored: pa.Table, answers: pa.Table, classes: int):
+    """Of a split: words, their counts by class, rows of (id, whether it is null, held out, class), and texts as word numbers."""
+    row = stored.slice(0, 1).to_pylist()[0]
+    words, order = _unpacked(row["words"]), _read(row["numbers"], np.int32)
+    ids, lengths, every = _read(row["ids"], np.int64).reshape(-1, 4), _read(row["lengths"], np.int32), _read(row["tokens"], np.uint32)
+    parts = sorted(zip(answers.column("range").to_pylist(), answers.column("numbers").to_pylist()))
+    counts = np.zeros((classes + 1, len(words)), np.int64)
+    counts[:, order] = np.concatenate([_read(b, np.int64).reshape(classes + 1, -1) for _, b in parts], axis=1)
+    return words, counts, ids, lengths, every
+
+
+def first_start(classes: int) -> tuple[np.ndarray, ...]:
+    """Where reading the training texts begins: no corrections, and all ways alike."""
+    return start_weights(), np.zeros(BUCKETS, np.float32), np.full((1, classes + 3), 1.0)
+
+
+def evidence(mixer: Mixer, own: Own, texts: list[np.ndarray], groups: np.ndarray) -> np.ndarray:
+    """What the training texts' bits and words teach together."""
+    for some in alike(texts):
+        held = [texts[i] for i in some]
+        own.begin(held, groups[some])
+        mixer.group(held, own)
+    return np.concatenate([own.sums, own.named])
+
+
+def _evidence(model, classes: int):
+    def run(key, stored: pa.Table, answers: pa.Table) -> pa.Table:
+        """Of a split: what its training texts teach, in chunks."""
+        code, tables, totals = model.value
+        words, counts, ids, lengths, every = _of_split(stored, answers, classes)
+        texts = np.split(every.astype(np.int64), np.cumsum(lengths)[:-1])
+        spelling, learned = Spelling(words, code), np.flatnonzero(ids[:, 3] >= 0)
+        even = np.zeros(0, np.float32), np.zeros(0, np.int8)
+        mixer = Mixer(spelling, np.zeros((0, classes + 1)), even, even, first_start(classes))
+        sums = evidence(mixer, Own(counts, totals, tables), [texts[i] for i in learned], ids[learned, 3])
+        return pa.Table.from_batches([_batch([(i, _numbers(x)) for i, x in enumerate(np.array_split(sums, CHUNKS))], "chunk int, counts binary")])
+
+    return run
+
+
+def starting_point(sums: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
+    """Starting weights, corrections and share of named words from what all training texts teach."""
+    if not sums[EVIDENCE:].any():  # no training text
+        return first_start(classes)
+    weights, fix = stepped(start_weights(), sums[:EVIDENCE])
+    named = sums[None, EVIDENCE:].copy()
+    if classes:
+        named[:, 1:-2] = named[:, 1:-2].mean()  # a text may be of any class
+    return weights, fix, (named / max(named.sum(), 1e-9) * PRIOR).round(6) + 1e-3
 
 
 def _score(model, classes: int):
     def run(key, stored: pa.Table, answers: pa.Table) -> pa.Table:
         """Of a split: its texts' scores."""
         code, one, two, start, totals, distinct = model.value
-        row = stored.slice(0, 1).to_pylist()[0]
-        words, order = _unpacked(row["words"]), _read(row["numbers"], np.int32)
-        ids, lengths, every = _read(row["ids"], np.int64).reshape(-1, 3), _read(row["lengths"], np.int32), _read(row["tokens"], np.uint32)
-        parts = sorted(zip(answers.column("range").to_pylist(), answers.column("numbers").to_pylist()))
-        counts = np.zeros((classes + 1, len(words)), np.int64)
-        counts[:, order] = np.concatenate([_read(b, np.int64).reshape(classes + 1, -1) for _, b in parts], axis=1)
+        words, counts, ids, lengths, every = _of_split(stored, answers, classes)
         spelling = Spelling(words, code)
         share = (counts / np.maximum(totals, 1)[:, None]).T
         mixer = Mixer(spelling, share, (one[0][spelling.slot], one[1][spelling.slot]), two, start)
@@ -482,23 +570,21 @@ def scores(df: DataFrame, held_out, key: str = "doc_id", text: str = "text", gro
 
     tasks = max(1, -(-distinct // WORDS_A_TASK))
     sent = spark.sparkContext.broadcast(code)
-    chunks = learned.select("words", "numbers").repartition(tasks).mapInArrow(_bit_counts(sent, classes), "chunk int, counts binary").groupBy("chunk").applyInArrow(_added, "chunk int, counts binary").toArrow()
+    chunks = learned.select("words", "numbers").repartition(tasks).mapInArrow(_bit_counts(sent, classes), "chunk int, counts binary").groupBy("chunk").applyInArrow(_added(np.float32), "chunk int, counts binary").toArrow()
     tables, size = np.zeros((2, 2 * SLOTS), np.float32), 2 * SLOTS // CHUNKS
     for chunk, blob in zip(chunks.column("chunk").to_pylist(), chunks.column("counts")):
         t, c = divmod(chunk, CHUNKS)
         tables[t, c * size : (c + 1) * size] = _read(blob.as_py(), np.float32)
     del chunks
 
-    fair = docs.where(~F.col("held") & F.char_length("text").between(1, SAMPLE_CHARS))
-    fair = fair.select(F.xxhash64("text").alias("h"), "text", "class")
-    least = [r["h"] for r in fair.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]  # only numbers are sorted
-    fair = fair.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min_by("text", "class").alias("text"), F.min("class").alias("class")).orderBy("h") if least else None
-    sample = [(text_words(r["text"]), r["class"]) for r in fair.collect()] if fair else []
-    counts = _corpus_counts(learned, {w for words, _ in sample for w in words}, classes)
-    start = starting_point(sample, counts, tables, totals, code)
+    texts, told = stored.where(F.col("range").isNull()).groupBy("split"), answers.where(F.col("split") >= 0).select(F.col("split").alias("to"), "range", "numbers").groupBy("to")
+    bare = spark.sparkContext.broadcast((code, tables, totals))
+    sums = texts.cogroup(told).applyInArrow(_evidence(bare, classes), "chunk int, counts binary").groupBy("chunk").applyInArrow(_added(np.float64), "chunk int, counts binary").toArrow()
+    taught = sorted(zip(sums.column("chunk").to_pylist(), sums.column("counts")))
+    start = starting_point(np.concatenate([_read(b.as_py(), np.float64) for _, b in taught]) if taught else np.zeros(EVIDENCE + classes + 3), classes)
+    bare.unpersist()
     model = spark.sparkContext.broadcast((code, odds(tables[0, 0::2], tables[0, 1::2]), odds(tables[1, 0::2], tables[1, 1::2]), start, totals, distinct))
-    del tables
-    out = stored.where(F.col("range").isNull()).groupBy("split").cogroup(answers.where(F.col("split") >= 0).select(F.col("split").alias("to"), "range", "numbers").groupBy("to")).applyInArrow(
-        _score(model, classes), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    del tables, bare
+    out = texts.cogroup(told).applyInArrow(_score(model, classes), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(totals[0])).cast("long").alias("train_tokens"), "base_score", "score",
                       (-F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes")).alias("bits_per_byte"))

@@ -441,6 +441,49 @@ def test_language_model_on_prose(spark):
     assert sum(x["score"] for x in own) > sum(x["base_score"] for x in own)
 
 
+def test_all_training_texts_teach_where_texts_start(spark, monkeypatch):
+    """Long texts do, too, and each of many: the sums are those of the parts."""
+    starts, point = [], mixlm.starting_point
+    monkeypatch.setattr(mixlm, "starting_point", lambda *a: starts.append((a, point(*a))) or starts[-1][1])
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(["stone", "stones", "tree", "river", f"w{r.randint(0, 500)}"]) for _ in range(2500)), "en", "a") for i in range(1, 5)]
+    assert all(len(t) > 8000 for _, t, *_ in rows)
+    got = mixlm.scores(documents(spark, rows), F.lit(False)).collect()
+    (_, (weights, fix, named)), = starts
+    assert len(got) == 4 and abs(weights - mixlm.start_weights()).max() > 0.01 and abs(fix).max() > 0
+    words = sorted({w for _, t, *_ in rows for w in mixlm.text_words(t)})
+    number = {w: i for i, w in enumerate(words)}
+    texts = [np.array([number[w] for w in mixlm.text_words(t)]) for _, t, *_ in rows]
+    once = np.array([np.bincount(t, minlength=len(words)) for t in texts])
+    counts, code = np.stack([once.sum(axis=0)] * 2), mixlm.Code(np.ones(257))
+    spelling, tables = mixlm.Spelling(words, code), np.zeros((2, 2 * mixlm.SLOTS), np.float32)
+    mixlm.add_bits(tables, spelling, counts)
+    even = np.zeros(0, np.float32), np.zeros(0, np.int8)
+    mixer = mixlm.Mixer(spelling, np.zeros((0, 2)), even, even, mixlm.first_start(1))
+    taught = lambda some: mixlm.evidence(mixer, mixlm.Own(counts, counts.sum(axis=1), tables), [texts[i] for i in some], np.ones(len(some), int))
+    every = taught([0, 1, 2, 3])
+    assert np.allclose(every, taught([0, 2]) + taught([1, 3]), rtol=1e-3, atol=1e-2) and every[mixlm.EVIDENCE :].sum() == pytest.approx(sum(map(len, texts)))
+
+
+def test_a_text_is_judged_without_its_own_words():
+    """A word that only one text has is unknown to it, one that two texts have is known by half."""
+    words = [b"", b"alone", b"both"]
+    texts = [np.array([1, 1, 2, 0]), np.array([2, 0])]
+    counts = np.array([[2, 2, 2], [2, 2, 2]])
+    spelling, tables = mixlm.Spelling(words, mixlm.Code(np.ones(257))), np.zeros((2, 2 * mixlm.SLOTS), np.float32)
+    mixlm.add_bits(tables, spelling, counts)
+    own = mixlm.Own(counts, counts.sum(axis=1), tables)
+    own.begin(texts, np.array([1, 0]))
+    pair = np.array([0, 1, 2, 3, 5])  # text * 3 + word
+    assert own.often(pair).tolist() == [1, 2, 1, 1, 1]
+    share = own.share(pair // 3, pair % 3, pair)
+    assert share[:, 0].tolist() == [0.5, 0, 0.5, 0.25, 0.25] and share[:3, 1].tolist() == [0.5, 0, 0.5] and share[3:, 1].tolist() == [2 / 6, 2 / 6]
+    bits = slice(spelling.first[1], spelling.first[1] + spelling.count[1])
+    ones = np.ones(spelling.count[1], np.float32)
+    _, seen, _, _ = own.odds(spelling.slot[bits], mixlm.recent_slot(spelling.recent[bits], 0), spelling.bit[bits], 2 * ones, np.array([True, True]), np.zeros(len(ones), int))
+    assert seen[-1] == 0 and (seen >= 0).all()
+
+
 def test_spelling_is_a_probability():
     """Over all short words of two letters, the bits' probabilities add up to at most 1."""
     counts = np.zeros(257)
