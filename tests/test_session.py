@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +55,15 @@ def test_counted_write(spark):
     got = S.write_counted(spark.range(10), path, n=F.count(F.lit(1)), top=F.max("id"))
     assert got == {"n": 10, "top": 9} and spark.read.parquet(path).count() == 10
     assert S.write_counted(spark.range(0), S.scratch_path(spark, "none"), top=F.max("id")) == {"top": None}
+
+
+def test_python_workers_get_texts_in_bounded_batches(spark):
+    """Ten thousand long rows are not one batch."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts = S.tune(spark).range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("t"))
+    got = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert len(got) > 1 and sum(got) >= 20_000_000 and max(got) <= 2 * S.BATCH_BYTES
