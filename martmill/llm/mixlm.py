@@ -49,13 +49,16 @@ GATES = 100
 BUCKETS = 24
 RATE, PACE, PRIOR = 0.05, 1.0, 6.0
 SPLIT_WORDS = 1_000_000
-FIRST_BLOCK, LAST_BLOCK, GROUP_WORDS = 8, 1024, 16384
-GROUP_TEXTS = 128
+FIRST_BLOCK, LAST_BLOCK, GROUP_WORDS = 8, 1024, 65536
+GROUP_TEXTS = 512
+BITS_AT_ONCE = 131_072  # a step's arrays
 WORDS_A_TASK = 1_000_000
 CHUNKS = 16
 DAMPING, LONGEST_STEP = 4.0, 1.0  # of the step from the first weights to those that texts start from
 CROSS = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]  # pairs of predictors
 EVIDENCE = GATES * (3 + len(CROSS)) + 3 * GATES * BUCKETS + 2 * BUCKETS
+LOCAL_BITS = LOCAL.bit_length()  # of a place in a text's own table with the bit's value
+CONTEXT_AT = LOCAL_BITS + 3  # the rest of a bit's description, after the state of its word slot
 
 
 class Code:
@@ -86,11 +89,11 @@ class Spelling:
     """The bits of a list of distinct words, word after word: ``first`` and ``count`` by word; per bit its value, its
     slots in the two corpus tables and in a text's own table."""
 
-    def __init__(self, words: list[bytes], code: Code, block: int = 10_000) -> None:
+    def __init__(self, words: list[bytes], code: Code, block: int = 1000) -> None:
         if len(words) > block:  # in blocks, to keep the steps between small
             parts = [Spelling(words[a : a + block], code) for a in range(0, len(words), block)]
             for name in ("bit", "slot", "recent", "local", "count"):
-                setattr(self, name, np.concatenate([getattr(p, name) for p in parts]))
+                setattr(self, name, np.concatenate([p.__dict__.pop(name) for p in parts]))
             self.first = np.cumsum(self.count) - self.count
             return
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
@@ -115,13 +118,17 @@ class Spelling:
             one = mixed(np.repeat(spelled, steps) + node * np.uint64(0x9E3779B97F4A7C15))
             two = mixed(np.repeat(mixed(recent + np.uint64(77)), steps) + node * np.uint64(0xC2B2AE3D27D4EB4F))
         self.bit = code.bits[at].astype(np.int8)
-        self.slot, self.recent = (one % np.uint64(SLOTS)).astype(np.int32), (two >> np.uint64(11)).astype(np.int32)
-        self.local = ((one >> np.uint64(40)) % np.uint64(LOCAL)).astype(np.int16)
+        self.slot, self.recent = (one & np.uint64(SLOTS - 1)).astype(np.int32), (two >> np.uint64(11)).astype(np.int32)
+        self.local = ((one >> np.uint64(40)) & np.uint64(LOCAL - 1)).astype(np.int16)
         last = np.cumsum(steps)[ends - 1] if len(words) else np.zeros(0, np.int64)
         self.first = np.concatenate([[0], last[:-1]]) if len(words) else last
         self.count = last - self.first
 
 
+def _steps(bits: int) -> Iterator[slice]:
+    return (slice(a, a + BITS_AT_ONCE) for a in range(0, bits, BITS_AT_ONCE))
+
+
 def recent_slot(recent: np.ndarray, group) -> np.ndarray:
     """The slot of the last bytes within a class (0: any)."""
     return (recent ^ (np.asarray(group) * 0x2545F491)) & (SLOTS - 1)
@@ -130,8 +137,8 @@ def recent_slot(recent: np.ndarray, group) -> np.ndarray:
 def odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of a one, and what was seen: 0 nothing, 1 one bit only and rarely, 2 one bit only, 3 both, 4 both often."""
     seen, both = zeros + ones, (zeros > 0) & (ones > 0)
-    state = np.where(seen <= 0, 0, np.where(both, 3 + (seen >= 64), 1 + (seen >= 4)))
-    return np.log((ones + 0.05) / (zeros + 0.05)).astype(np.float32), state.astype(np.int8)
+    state = sum(x.view(np.int8) for x in (seen > 0, both | (seen >= 4), both, both & (seen >= 64)))
+    return np.log((ones + 0.05) / (zeros + 0.05)).astype(np.float32, copy=False), state
 
 
 def start_weights() -> np.ndarray:
@@ -153,95 +160,148 @@ class State:
         self.weights, self.fix = np.tile(weights.T, texts).astype(np.float32), np.tile(fix, texts).astype(np.float32)
         self.power, self.fix_power = np.full(self.weights.shape, PACE, np.float32), np.full(self.fix.shape, PACE, np.float32)
 
-    def learn(self, gate, bucket, miss, x, rate: float) -> None:
+    def learn(self, texts: slice, gate, bucket, miss, x, rate: float) -> None:
+        """Teaches the state of some neighbouring texts; ``gate`` and ``bucket`` count from the first of them."""
+        gates, buckets = (slice(texts.start * n, texts.stop * n) for n in (GATES, BUCKETS))
         for k in range(3):
-            g = np.bincount(gate, miss * x[k], self.weights.shape[1])
-            self.power[k] += g * g
-            self.weights[k] += rate * g / np.sqrt(self.power[k])
-        g = np.bincount(bucket, miss, len(self.fix))
-        self.fix_power += g * g
-        self.fix += rate * g / np.sqrt(self.fix_power)
+            g = np.bincount(gate, miss * x[k], gates.stop - gates.start)
+            self.power[k, gates] += g * g
+            self.weights[k, gates] += rate * g / np.sqrt(self.power[k, gates])
+        g = np.bincount(bucket, miss, buckets.stop - buckets.start)
+        self.fix_power[buckets] += g * g
+        self.fix[buckets] += rate * g / np.sqrt(self.fix_power[buckets])
 
 
 class Mixer:
-    """Scores texts, given as word numbers of a spelling, against the corpus tables."""
+    """Scores texts, given as word numbers of a spelling, against the corpus tables.
+
+    What is fixed of a bit is packed in one number: its value, its place in a text's own table, the state of its word
+    slot, and the number of its context (the last bytes) among those of the spelling, by which the tables are kept.
+    """
 
     def __init__(self, spelling: Spelling, share: np.ndarray, word_table, recent_table, start: tuple[np.ndarray, ...], rate: float = RATE) -> None:
-        self.s, self.share = spelling, share
-        self.one, seen_one = word_table
-        self.two, self.seen_two = recent_table  # by slot
-        self.gate = seen_one.astype(np.int16) * 20
+        self.first, self.count, self.slot, self.share = spelling.first, spelling.count, spelling.slot, share
         self.start, self.rate = start, rate
+        self.classes = start[2].shape[1] - 3
+        self.one, seen_one = word_table  # by bit
+        held = np.zeros(SLOTS, bool)
+        for some in _steps(len(spelling.bit)):
+            held[spelling.recent[some] & (SLOTS - 1)] = True
+        self.contexts, number = np.flatnonzero(held), np.cumsum(held) - 1 << CONTEXT_AT
+        self.fixed = np.empty(len(spelling.bit), np.int64)
+        for some in _steps(len(self.fixed)):
+            self.fixed[some] = number[spelling.recent[some] & (SLOTS - 1)] | spelling.local[some].astype(np.int64) << 1 | spelling.bit[some]
+            if len(seen_one):
+                self.fixed[some] |= seen_one[some].astype(np.int64) << LOCAL_BITS
+        if len(recent_table[0]):
+            slots = self._slots()
+            self.two, self.seen_two = (by_slot[slots] for by_slot in recent_table)
+
+    def _slots(self) -> np.ndarray:
+        """The slots of the contexts, class after class."""
+        return np.concatenate([recent_slot(self.contexts, k) for k in range(self.classes + 1)])
+
+    def narrowed(self, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What two corpus tables hold of the spelling: by bit, and by class and context."""
+        word, recent = (t.view(np.complex64) for t in tables)  # a slot's zeros and ones in one go
+        by_bit = np.empty(len(self.slot), np.complex64)
+        for some in _steps(len(by_bit)):
+            by_bit[some] = word[self.slot[some]]
+        return by_bit.view(np.float32), recent[self._slots()].view(np.float32)
 
     def group(self, texts: list[np.ndarray], own: "Own | None" = None) -> np.ndarray:
         """Natural log probability of each text, block by block, all texts in step.
 
         With ``own``, the weights stay, and what the bits teach is added up there.
         """
-        n, words = len(texts), len(self.s.first)
-        lengths = np.array([len(t) for t in texts])
-        total = np.zeros(n)
+        n, lengths = len(texts), np.array([len(t) for t in texts])
+        starts = np.cumsum(lengths) - lengths
+        pairs, every = numbered(texts, len(self.first)) if own is None else (own.pairs, own.every)
+        text_of, word_of = np.divmod(pairs, len(self.first))
+        shares = self.share[word_of] if own is None else own.share(text_of, word_of, pairs)
+        total, came = np.zeros(n), np.zeros(len(pairs))
         state = State(*self.start, n)
         counts = np.zeros(2 * n * LOCAL, np.float32)  # zeros and ones side by side
-        came, came_often = np.zeros(0, np.int64), np.zeros(0)
         at, block = 0, FIRST_BLOCK
         while at < lengths.max(initial=0):
             live = np.flatnonzero(lengths > at)
-            pieces = [texts[i][at : at + block] for i in live]
-            text = np.repeat(live, [len(p) for p in pieces])
-            pair, times = np.unique(text * np.int64(words) + np.concatenate(pieces), return_counts=True)
-            of_text, word = np.divmod(pair, words)
+            now = np.bincount(np.concatenate([every[starts[i] + at : starts[i] + min(at + block, lengths[i])] for i in live]), minlength=len(pairs))
+            pair = np.flatnonzero(now)
+            of_text, word, times = text_of[pair], word_of[pair], now[pair]
             held = state.named / state.named.sum(axis=1, keepdims=True)
-            place = np.minimum(np.searchsorted(came, pair), max(0, len(came) - 1))
-            before = np.where(came[place] == pair, came_often[place], 0) / max(1, at) if len(came) else np.zeros(len(pair))
-            share = self.share[word] if own is None else own.share(of_text, word, pair)
-            ways = held[of_text] * np.concatenate([share, before[:, None], np.zeros((len(word), 1))], axis=1)
-            learn = at + block < lengths.max()
-            ways[:, -1] = held[of_text, -1] * self._spell(state, counts, held, of_text, word, pair, times.astype(np.float32), learn, own)
+            ways = held[of_text] * np.concatenate([shares[pair], (came[pair] / max(1, at))[:, None], np.zeros((len(word), 1))], axis=1)
+            ways[:, -1] = held[of_text, -1] * self._spell(state, counts, held, of_text, word, pair, times.astype(np.float32), lengths > at + block, own)
             both = np.maximum(ways.sum(axis=1), 1e-300)
             total += np.bincount(of_text, np.log(both) * times, n)
-            if learn or own is not None:
-                came, where = np.unique(np.concatenate([came, pair]), return_inverse=True)
-                came_often = np.bincount(where, np.concatenate([came_often, times]), len(came))
+            if own is not None or at + block < lengths.max():
+                came[pair] += times
                 for k in range(ways.shape[1]):
-                    state.named[:, k] += np.bincount(of_text, ways[:, k] / both * times, len(state.named))
+                    state.named[:, k] += np.bincount(of_text, ways[:, k] / both * times, n)
             at, block = at + block, min(2 * block, LAST_BLOCK)
         if own is not None:
             own.named += (state.named - self.start[2]).sum(axis=0)
         return total
 
-    def _spell(self, state: State, counts: np.ndarray, held: np.ndarray, of_text, word, pair, often, learn: bool, own: "Own | None") -> np.ndarray:
-        """The probability of each word's spelling in its text; the bits then teach the state, or are added up in ``own``."""
-        s = self.s
-        bits = s.count[word]
-        pos = np.repeat(s.first[word] - (np.cumsum(bits) - bits), bits) + np.arange(bits.sum())
-        text, times, bit = np.repeat(of_text, bits), np.repeat(often, bits), s.bit[pos]
-        local = (text * LOCAL + s.local[pos]) * 2
-        zeros, ones = counts[local], counts[local + 1]
-        seen = zeros + ones
+    def _spell(self, state: State, counts: np.ndarray, held: np.ndarray, of_text, word, pair, often, going, own: "Own | None") -> np.ndarray:
+        """The probability of each word's spelling in its text; the bits then teach the state, or are added up in ``own``.
+
+        A few texts at a time, and only those that go on learn.
+        """
         group = np.where(held[:, 1:-2].max(axis=1, initial=0) > 0.3, held[:, 1:-2].argmax(axis=1) + 1, 0) if held.shape[1] > 3 else np.zeros(len(held), int)
-        recent = recent_slot(s.recent[pos], group[text])
+        bits, out = self.count[word], np.empty(len(word), np.float32)
+        begins = np.flatnonzero(np.diff(of_text, prepend=-1))
+        cuts = begins[np.diff((np.cumsum(bits) - bits)[begins] // BITS_AT_ONCE, prepend=-1) > 0]
+        for a, b in zip(cuts, [*cuts[1:], len(word)]):
+            texts = slice(of_text[a], of_text[b - 1] + 1)
+            out[a:b] = self._spell_some(state, counts, group, texts, of_text[a:b], word[a:b], pair[a:b], often[a:b], going[texts].any(), own)
+        return np.exp(out)
+
+    def _spell_some(self, state: State, counts: np.ndarray, group: np.ndarray, texts: slice, of_text, word, pair, often, learn: bool, own: "Own | None") -> np.ndarray:
+        """Natural log probability of each word's spelling, of some neighbouring texts."""
+        bits = self.count[word]
+        starts = np.cumsum(bits) - bits
+        spread = lambda x: np.repeat(x, bits)
+        pos = spread(self.first[word] - starts)
+        pos += np.arange(len(pos))
+        fixed = self.fixed.take(pos)
+        side = (fixed & (2 * LOCAL - 1)) + spread(of_text * (2 * LOCAL))
+        zeros, ones = counts.take(side & -2), counts.take(side | 1)
+        bit = (fixed & 1).astype(np.int8)
+        times = spread(often)
+        context = (fixed >> CONTEXT_AT) + spread(group[of_text] * len(self.contexts))
         if own is None:
-            one, gate, two, seen_two = self.one[pos], self.gate[pos], self.two[recent], self.seen_two[recent]
+            text = spread(of_text - texts.start)
+            one, gate = self.one.take(pos), ((fixed >> LOCAL_BITS) & 7).astype(np.int8) * np.int8(20)
+            two, seen_two = self.two.take(context), self.seen_two.take(context)
         else:
-            one, gate, two, seen_two = own.odds(s.slot[pos], recent, bit, np.repeat(own.often(pair), bits), (group == 0) | (group == own.groups), text)
-        gate = gate + (seen_two * np.int16(4) + (seen > 0) + (seen >= 3) + ((zeros > 0) & (ones > 0)))
+            counted = (group == 0) | (group == own.groups)
+            text = None if counted[texts].all() else spread(of_text)
+            one, gate, two, seen_two = own.odds(pos, context, bit, spread(own.times[pair].astype(np.float32)), counted, text)
+        seen = zeros + ones
+        gate = gate + seen_two * np.int8(4) + sum(x.view(np.int8) for x in (seen > 0, seen >= 3, (zeros > 0) & (ones > 0)))
         x = one, two, np.log((ones + np.float32(0.2)) / (zeros + np.float32(0.2)))
-        place = text * GATES + gate
-        w = state.weights[:, place]
-        mix = w[0] * x[0] + w[1] * x[1] + w[2] * x[2]
+        place = gate.astype(np.int64) if own is not None else text * GATES + gate
+        gates, buckets = (slice(texts.start * n, texts.stop * n) for n in (GATES, BUCKETS))
+        mix, two_, three = (state.weights[k, gates].take(place) for k in range(3))
+        mix *= x[0]
+        two_ *= x[1]
+        mix += two_
+        three *= x[2]
+        mix += three
         np.clip(mix, -11, 11, out=mix)
         bucket = (mix + 11.5).astype(np.int64)
-        at = text * BUCKETS + bucket
-        mix += state.fix[at]
-        p = 1 / (1 + np.exp(np.where(bit == 1, -mix, mix)))  # of the bit that came
+        at = bucket if own is not None else text * BUCKETS + bucket
+        mix += state.fix[buckets].take(at)
+        sign = 1 - 2 * bit.astype(np.float32)
+        p = 1 / (1 + np.exp(mix * sign))  # of the bit that came
+        miss = (p - 1) * sign * times
         if own is not None:
-            own.add(gate, bucket, np.where(bit == 1, 1 - p, p - 1) * times, p * (1 - p) * times, x)
+            own.add(place, bucket, miss, p * (1 - p) * times, x)
         elif learn:
-            state.learn(place, at, np.where(bit == 1, 1 - p, p - 1) * times, x, self.rate)
+            state.learn(texts, place, at, miss, x, self.rate)
         if learn:
-            np.add.at(counts, local + bit, times)
-        return np.exp(np.add.reduceat(np.log(np.maximum(p, 1e-12)), np.cumsum(bits) - bits))
+            np.add.at(counts, side, times)
+        return np.add.reduceat(np.log(np.maximum(p, 1e-12)), starts)
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probabilities; texts of like length go in one group."""
@@ -251,6 +311,21 @@ class Mixer:
         return out
 
 
+def numbered(texts: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of text and word (text * words + word) in order, and the number of each word's pair."""
+    lengths = [len(t) for t in texts]
+    shift = np.int64(sum(lengths)).item().bit_length()
+    pair = np.repeat(np.arange(len(texts)), lengths) * np.int64(words) + np.concatenate(texts)
+    if (len(texts) * words << shift).bit_length() > 63:
+        return np.unique(pair, return_inverse=True)
+    both = np.sort(pair << shift | np.arange(len(pair)))  # numbers sort faster than places
+    pair = both >> shift
+    new = np.diff(pair, prepend=-1) > 0
+    number = np.empty(len(pair), np.int64)
+    number[both & ((1 << shift) - 1)] = np.cumsum(new) - 1
+    return pair[new], number
+
+
 def alike(texts: list[np.ndarray]) -> Iterator[list[int]]:
     """Groups of texts of like length, by place."""
     order, a = sorted(range(len(texts)), key=lambda i: len(texts[i])), 0
@@ -270,11 +345,12 @@ class Own:
 
     def __init__(self, counts: np.ndarray, totals: np.ndarray, tables: np.ndarray) -> None:
         self.counts, self.totals, self.tables = counts, totals, tables
-        self.sums, self.named = np.zeros(EVIDENCE), np.zeros(len(totals) + 2)
+        self.cells, self.named = np.zeros((8 + len(CROSS), GATES * BUCKETS)), np.zeros(len(totals) + 2)
 
     def begin(self, texts: list[np.ndarray], groups: np.ndarray) -> None:
         self.groups, self.lengths = groups, np.array([len(t) for t in texts])
-        self.pairs, self.times = np.unique(np.repeat(np.arange(len(texts)), self.lengths) * np.int64(self.counts.shape[1]) + np.concatenate(texts), return_counts=True)
+        self.pairs, self.every = numbered(texts, self.counts.shape[1])
+        self.times = np.bincount(self.every, minlength=len(self.pairs))
 
     def often(self, pair: np.ndarray) -> np.ndarray:
         """How often a text has a word."""
@@ -292,23 +368,34 @@ class Own:
 
     def odds(self, slot, recent, bit, times, counted: np.ndarray, text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Log odds and states of the word slots and of the slots of the last bytes; ``counted``: by text, whether the
-        latter hold the text itself."""
+        latter hold the text itself (all do, if ``text`` is None)."""
         out = []
-        for table, at, taken in ((self.tables[0], slot, times), (self.tables[1], recent, times * counted[text])):
-            at = at.astype(np.int64) * 2
-            x, state = odds(np.maximum(table[at] - taken * (1 - bit), 0), np.maximum(table[at + 1] - taken * bit, 0))
-            out.append((x, state))
-        (one, seen_one), (two, seen_two) = out
-        return one, seen_one.astype(np.int16) * np.int16(20), two, seen_two
+        for table, at, taken in ((self.tables[0], slot, times), (self.tables[1], recent, times if text is None else times * counted[text])):
+            zeros, ones = table.view(np.complex64).take(at).view(np.float32).reshape(-1, 2).T  # both in one go
+            of_ones = taken * bit
+            out += odds(np.maximum(zeros - (taken - of_ones), 0), np.maximum(ones - of_ones, 0))
+        one, seen_one, two, seen_two = out
+        return one, seen_one * np.int8(20), two, seen_two
 
     def add(self, gate, bucket, miss, curve, x) -> None:
-        both, parts = gate * np.int64(BUCKETS) + bucket, []
-        parts += [np.bincount(gate, miss * x[k], GATES) for k in range(3)]
-        bent = [curve * x[k] for k in range(3)]
-        parts += [np.bincount(gate, bent[k] * x[m], GATES) for k, m in CROSS]
-        parts += [np.bincount(both, bent[k], GATES * BUCKETS) for k in range(3)]
-        parts += [np.bincount(bucket, miss, BUCKETS), np.bincount(bucket, curve, BUCKETS)]
-        self.sums += np.concatenate(parts)
+        """Adds to the sums by gate and bucket: slopes, curvatures of pairs of predictors and of each with the
+        correction, and the correction's slope and curvature."""
+        cell = (gate * BUCKETS + bucket).astype(np.int16)
+        order = np.argsort(cell, kind="stable")
+        cell, miss, curve, *x = (v.take(order) for v in (cell, miss, curve, *x))
+        first = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
+        parts = np.empty((len(self.cells), len(cell)), np.float32)
+        for k in range(3):
+            np.multiply(miss, x[k], parts[k])
+            np.multiply(curve, x[k], parts[3 + len(CROSS) + k])
+        for i, (k, m) in enumerate(CROSS):
+            np.multiply(parts[3 + len(CROSS) + k], x[m], parts[3 + i])
+        parts[-2], parts[-1] = miss, curve
+        self.cells[:, cell[first]] += np.add.reduceat(parts, first, axis=1)
+
+    def sums(self) -> np.ndarray:
+        cells = self.cells.reshape(-1, GATES, BUCKETS)
+        return np.concatenate([cells[: 3 + len(CROSS)].sum(axis=2).ravel(), cells[3 + len(CROSS) : -2].ravel(), cells[-2:].sum(axis=1).ravel()])
 
 
 def stepped(weights: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -371,9 +458,8 @@ def _split(ranges: int, classes: int):
         part, flushes = TaskContext.get().partitionId(), 0
 
         def flush() -> pa.RecordBatch:
-            words, texts = list(known), [np.fromiter(t, np.uint32, len(t)) for t in tokens]
-            lengths = np.array([len(t) for t in texts], np.int32)
-            every, n = np.concatenate(texts), len(words)
+            words, lengths = list(known), np.array([len(t) for t in tokens], np.int32)
+            every, n = np.concatenate(tokens), len(words)
             group = np.repeat(np.array(groups), lengths)
             counts = np.stack([np.bincount(every[group >= 0], minlength=n), *(np.bincount(every[group == k], minlength=n) for k in range(1, classes + 1))])
             home = np.fromiter((zlib.crc32(w) % ranges for w in words), np.int64, n)
@@ -391,12 +477,12 @@ def _split(ranges: int, classes: int):
         known, tokens, groups, ids, held = begin()
         for batch in batches:
             for doc_id, text, held_out, group in zip(*(batch.column(i) for i in range(4))):
-                numbers = list(map(known.__getitem__, text_words(text.as_py())))
-                tokens.append(numbers)
+                own = text_words(text.as_py())
+                tokens.append(np.fromiter(map(known.__getitem__, own), np.uint32, len(own)))
                 out, doc_id = held_out.as_py(), doc_id.as_py()
                 groups.append(-1 if out else group.as_py())
                 ids.append((doc_id or 0, doc_id is None, out, groups[-1]))
-                held += len(numbers)
+                held += len(own)
                 if held >= SPLIT_WORDS:
                     yield flush()
                     flushes += 1
@@ -490,11 +576,12 @@ def first_start(classes: int) -> tuple[np.ndarray, ...]:
 
 def evidence(mixer: Mixer, own: Own, texts: list[np.ndarray], groups: np.ndarray) -> np.ndarray:
     """What the training texts' bits and words teach together."""
+    own.tables = mixer.narrowed(own.tables)
     for some in alike(texts):
         held = [texts[i] for i in some]
         own.begin(held, groups[some])
         mixer.group(held, own)
-    return np.concatenate([own.sums, own.named])
+    return np.concatenate([own.sums(), own.named])
 
 
 def _evidence(model, classes: int):
@@ -503,9 +590,8 @@ def _evidence(model, classes: int):
         code, tables, totals = model.value
         words, counts, ids, lengths, every = _of_split(stored, answers, classes)
         texts = np.split(every.astype(np.int64), np.cumsum(lengths)[:-1])
-        spelling, learned = Spelling(words, code), np.flatnonzero(ids[:, 3] >= 0)
-        even = np.zeros(0, np.float32), np.zeros(0, np.int8)
-        mixer = Mixer(spelling, np.zeros((0, classes + 1)), even, even, first_start(classes))
+        even, learned = (np.zeros(0, np.float32), np.zeros(0, np.int8)), np.flatnonzero(ids[:, 3] >= 0)
+        mixer = Mixer(Spelling(words, code), np.zeros((0, classes + 1)), even, even, first_start(classes))
         sums = evidence(mixer, Own(counts, totals, tables), [texts[i] for i in learned], ids[learned, 3])
         return pa.Table.from_batches([_batch([(i, _numbers(x)) for i, x in enumerate(np.array_split(sums, CHUNKS))], "chunk int, counts binary")])
 
@@ -531,6 +617,7 @@ def _score(model, classes: int):
         spelling = Spelling(words, code)
         share = (counts / np.maximum(totals, 1)[:, None]).T
         mixer = Mixer(spelling, share, (one[0][spelling.slot], one[1][spelling.slot]), two, start)
+        mixer.slot = spelling = None  # their memory is needed
         starts = np.cumsum(lengths) - lengths
         texts = np.split(every.astype(np.int64), starts[1:])
         base = np.log10((counts[0] + 0.1) / (totals[0] + 0.1 * (distinct + 1)))

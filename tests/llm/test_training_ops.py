@@ -509,6 +509,79 @@ def test_frequent_words_are_spelled():
     assert (rare == often).all() and (often > -500).all()
 
 
+def plain_scores(words, texts, code, share, tables, start, rate=mixlm.RATE):
+    """The mixer's scores, bit by bit and text by text, without groups, packed bits or narrowed tables."""
+    s, out = mixlm.Spelling(words, code), []
+    (one, seen_one), (two, seen_two) = (mixlm.odds(t[0::2], t[1::2]) for t in tables)
+    for text in texts:
+        weights, fix, named = start[0].astype(np.float32).copy(), start[1].astype(np.float32).copy(), start[2][0].copy()
+        power, fix_power = np.full(weights.shape, mixlm.PACE, np.float32), np.full(fix.shape, mixlm.PACE, np.float32)
+        own, came, total, at, block = np.zeros((mixlm.LOCAL, 2)), Counter(), 0.0, 0, mixlm.FIRST_BLOCK
+        while at < len(text):
+            held, times = named / named.sum(), Counter(text[at : at + block].tolist())
+            group = int(held[1:-2].argmax()) + 1 if len(held) > 3 and held[1:-2].max() > 0.3 else 0
+            slope, fix_slope, bits, gain = np.zeros(weights.shape), np.zeros(fix.shape), [], np.zeros(len(named))
+            for w, n in times.items():
+                spelled = 0.0
+                for i in range(s.first[w], s.first[w] + s.count[w]):
+                    bit, slot = int(s.bit[i]), int(mixlm.recent_slot(s.recent[i], group))
+                    zeros, ones = own[s.local[i]]
+                    gate = seen_one[s.slot[i]] * 20 + seen_two[slot] * 4 + (zeros + ones > 0) + (zeros + ones >= 3) + (zeros > 0 and ones > 0)
+                    x = np.array([one[s.slot[i]], two[slot], math.log((ones + 0.2) / (zeros + 0.2))])
+                    mixed = min(11.0, max(-11.0, float(weights[gate] @ x)))
+                    bucket = int(mixed + 11.5)
+                    p = 1 / (1 + math.exp(-(mixed + fix[bucket])))
+                    spelled += math.log(max(1e-12, p if bit else 1 - p))
+                    slope[gate] += (bit - p) * n * x
+                    fix_slope[bucket] += (bit - p) * n
+                    bits.append((s.local[i], bit, n))
+                ways = held * np.array([*share[w], came[w] / max(1, at), math.exp(spelled)])
+                total += math.log(ways.sum()) * n
+                gain += ways / ways.sum() * n
+            named += gain
+            came.update(times)
+            for place, bit, n in bits:
+                own[place, bit] += n
+            power += slope * slope
+            weights += rate * slope / np.sqrt(power)
+            fix_power += fix_slope * fix_slope
+            fix += rate * fix_slope / np.sqrt(fix_power)
+            at, block = at + block, min(2 * block, mixlm.LAST_BLOCK)
+        out.append(total)
+    return out
+
+
+def test_mixer_against_single_bits(monkeypatch):
+    """Many bits of many texts in one step score as one bit after the other, and however many go in a step."""
+    r = random.Random(12)
+    words = [b"", *sorted({bytes(r.choice(b"abcde") for _ in range(r.randint(1, 6))) for _ in range(60)})]
+    texts = [np.array([*(min(int(r.paretovariate(0.6)), len(words) - 1) for _ in range(n)), 0]) for n in (0, 1, 7, 8, 30, 30, 31, 90, 200)]
+    counts = np.array([[r.choice([0, 1, 5, 70]) for _ in words] for _ in range(3)])
+    counts[0] = counts[1] + counts[2]
+    code, tables = mixlm.Code(np.arange(257)), np.zeros((2, 2 * mixlm.SLOTS), np.float32)
+    spelling = mixlm.Spelling(words, code)
+    mixlm.add_bits(tables, spelling, counts)
+    share = (counts / counts.sum(axis=1)[:, None]).T
+    start = mixlm.start_weights(), np.linspace(-0.1, 0.1, mixlm.BUCKETS), np.array([[1.0, 1.5, 0.2, 1.0, 2.0]])
+    by_slot = [mixlm.odds(t[0::2], t[1::2]) for t in tables]
+    score = lambda: mixlm.Mixer(spelling, share, tuple(x[spelling.slot] for x in by_slot[0]), by_slot[1], start).score(texts)
+    got = score()
+    assert np.allclose(got, plain_scores(words, texts, code, share, tables, start), rtol=1e-5)
+    own = lambda: mixlm.evidence(mixlm.Mixer(spelling, share, (np.zeros(0), np.zeros(0)), (np.zeros(0), np.zeros(0)), mixlm.first_start(2)), mixlm.Own(counts, counts.sum(axis=1), tables), texts, np.arange(len(texts)) % 3)
+    taught = own()
+    monkeypatch.setattr(mixlm, "BITS_AT_ONCE", 300)
+    assert (score() == got).all() and np.allclose(own(), taught, rtol=1e-5, atol=1e-4)
+
+
+def test_numbered_pairs():
+    r = np.random.default_rng(3)
+    texts = [r.integers(0, 50, n) for n in (0, 3, 40, 200)]
+    for words in (50, 2**60):  # numbers too large to be packed with their places, too
+        pairs, number = mixlm.numbered(texts, words)
+        want = np.unique(np.repeat(np.arange(4), [len(t) for t in texts]) * words + np.concatenate(texts), return_inverse=True)
+        assert (pairs == want[0]).all() and (number == want[1]).all()
+
+
 def test_mix(spark):
     r = random.Random(9)
     rows = ROWS + [(1000 + i, " ".join("w" for _ in range(r.randint(1, 30))), "en", r.choice(["a", "b", "c", "d", None, "big", "big"])) for i in range(900)]
